@@ -2,17 +2,18 @@
 one task holding a whole group.
 
 Rows of ordinary keys go through a plain window. Rows of heavy keys, or of the
-whole table where there is no key, are sorted across the cluster and cut into
-contiguous runs, one per sorted partition; each run is scanned on its own and
+whole table where there is no key, are ranged over the cluster and cut into
+contiguous runs, one per range partition; each run is scanned on its own and
 then gets the carry of the runs before it. The carry table has one row per run,
 so it is bounded by the number of partitions plus the number of heavy keys.
 
-The sort is checkpointed before its partition numbers are used: range bounds
-are sampled anew whenever a sort is planned, and rows and carries must agree.
+The ranges are checkpointed before their partition numbers are used: bounds are
+sampled anew whenever ranges are planned, and rows and carries must agree.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -36,18 +37,20 @@ def ordered_runs(
 
     The flag tells whether any group was cut.
     """
-    light = None
-    hot = df
-    if keys:
-        heavy = heavy_keys(df, keys, min_rows)
-        if heavy is None:
-            return df.withColumn("_run", F.lit(-1)), False
-        marked = mark_heavy(df, keys, heavy)
-        light = marked.where(F.col("_n").isNull()).drop("_n").withColumn("_run", F.lit(-1))
-        hot = marked.where(F.col("_n").isNotNull()).drop("_n")
     checkpoint_root(df.sparkSession)
-    cut = hot.orderBy(*keys, *order).withColumn("_run", F.spark_partition_id()).checkpoint()
-    return (cut if light is None else light.unionByName(cut)), True
+    if not keys:
+        sorted_rows = df.orderBy(*order)
+        return sorted_rows.withColumn("_run", F.spark_partition_id()).checkpoint(), True
+    heavy = heavy_keys(df, keys, min_rows)
+    if heavy is None:
+        return df.withColumn("_run", F.lit(-1)), False
+    marked = mark_heavy(df, keys, heavy)
+    light = marked.where(F.col("_n").isNull()).drop("_n").withColumn("_run", F.lit(-1))
+    hot = marked.where(F.col("_n").isNotNull()).drop("_n")
+    n_runs = math.ceil(heavy.agg(F.sum("_n")).head()[0] / min_rows)
+    sorted_rows = hot.repartitionByRange(n_runs, *keys, *order)
+    cut = sorted_rows.withColumn("_run", F.spark_partition_id()).checkpoint()
+    return light.unionByName(cut), True
 
 
 def _with_carry(
