@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+WHITE_SPACE = r"\s+"
+
+
 def _literal_pattern(part: str) -> str:
     return re.escape(part)
 
@@ -18,7 +21,7 @@ def _literal_replacement(part: str) -> str:
 
 def words(text: Column) -> Column:
     """Words of a text, cut at white space, without empty ones."""
-    return F.filter(F.split(text, r"\s+"), lambda word: word != "")
+    return F.filter(F.split(text, WHITE_SPACE), lambda word: word != "")
 
 
 def word_count(text: Column) -> Column:

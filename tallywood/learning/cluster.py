@@ -16,7 +16,7 @@ from tallywood.functions import squared_distance
 from tallywood.learning.features import category_stages
 from tallywood.operators.groups import weighted_entropy
 from tallywood.operators.ranking import at_least_nth_largest
-from tallywood.plans import persisted, spread_join
+from tallywood.plans import find_heavy, persisted, spread_join
 
 # Iteration settings, numbers of clusters tried, and the number of
 # clusters and the rank of the threshold used to find anomalies.
@@ -116,7 +116,7 @@ def distance_to_center(
     df: DataFrame, group: str, vector: str, centers: DataFrame, name: str = "distance"
 ) -> DataFrame:
     """Squared distance of every row to the center of its group."""
-    joined = spread_join(df, centers, [group], "inner")
+    joined = spread_join(df, centers, [group], "inner", find_heavy(df, [group]))
     measured = joined.withColumn(name, squared_distance(F.col(vector), F.col("center")))
     return measured.drop("center")
 

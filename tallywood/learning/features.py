@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import number_rows, spread_join
+from tallywood.plans import heavy_among, number_rows, spread_join
 
 # Spark's indexer holds all values of a column on the driver, so the columns
 # that go into a model are checked against this first.
@@ -61,8 +61,9 @@ def frequency_index(
     counts = (fit_on if fit_on is not None else df).where(F.col(column).isNotNull())
     counts = counts.groupBy(column).agg(F.count(F.lit(1)).alias("_count"))
     numbered = number_rows(counts, [F.desc("_count"), column], "_place")
+    heavy = heavy_among(numbered, [column], "_count")
     index = numbered.select(column, F.col("_place").cast("double").alias(name))
-    return spread_join(df, index, [column], "left")
+    return spread_join(df, index, [column], "left", heavy)
 
 
 def category_stages(

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from tallywood.operators.joins import resolve_alias
 from tallywood.plans import (
+    HeavyKeys,
     checkpoint_root,
+    heavy_among,
+    materialized,
     number_rows,
     number_within,
     persisted,
@@ -31,18 +34,17 @@ USER_STEP = 31
 
 
 def interaction_counts(
-    plays: DataFrame, user: str, item: str, count: str, aliases: DataFrame | None = None
+    plays: DataFrame,
+    user: str,
+    item: str,
+    count: str,
+    aliases: DataFrame | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Summed count per (user, item); ``aliases`` has columns ``item``, ``alias``.
-
-    Counts are summed before aliases are looked up, so the join sees each pair
-    once, and again after, where aliases have merged items.
-    """
-    pairs = plays.groupBy(user, item).agg(F.sum(count).alias(count))
-    if aliases is None:
-        return pairs
-    resolved = resolve_alias(pairs, item, aliases, "item", "alias")
-    return resolved.groupBy(user, item).agg(F.sum(count).alias(count))
+    """Summed count per (user, item); ``aliases`` has columns ``item``, ``alias``."""
+    if aliases is not None:
+        plays = resolve_alias(plays, item, aliases, "item", "alias", heavy)
+    return plays.groupBy(user, item).agg(F.sum(count).alias(count))
 
 
 def popularity(train: DataFrame, item: str, count: str) -> DataFrame:
@@ -51,10 +53,10 @@ def popularity(train: DataFrame, item: str, count: str) -> DataFrame:
 
 
 def predict_popularity(
-    pairs: DataFrame, scores: DataFrame, item: str, min_rows: int = HEAVY_ROWS
+    pairs: DataFrame, scores: DataFrame, item: str, heavy: HeavyKeys | None = None
 ) -> DataFrame:
     """Pairs with their item's popularity; null for an item never seen."""
-    return spread_join(pairs, scores, [item], "left", min_rows)
+    return spread_join(pairs, scores, [item], "left", heavy)
 
 
 def fit_als(
@@ -103,11 +105,13 @@ def sample_negatives(
     per positive are always enough. The draws are made from the positives'
     rows, wherever they are, and not per user.
     """
-    pairs = positives.select(user, item).distinct()
+    pairs = materialized(positives.select(user, item).distinct(), "positives")
+    wanted = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_wanted"))
+    heavy = heavy_among(wanted, [user], "_wanted", min_rows)
     catalog = number_rows(items.select(item).distinct(), [item], "_at")
     n_items = catalog.count()
     stride = next(s for s in STRIDES if n_items % s)
-    placed = number_within(pairs, [user], [item], "_place", min_rows)
+    placed = number_within(pairs, [user], [item], "_place", heavy)
     place = F.col("_place")
     draws = placed.select(
         user, F.explode(F.array(2 * place, 2 * place + 1)).alias("_draw")
@@ -115,10 +119,9 @@ def sample_negatives(
     walk = F.col(user) * USER_STEP + F.col("_draw") * stride + seed
     drawn = draws.withColumn("_at", F.pmod(walk, F.lit(n_items))).join(catalog, "_at").drop("_at")
     others = drawn.join(pairs, [user, item], "left_anti")
-    ranked = number_within(others, [user], ["_draw"], "_rank", min_rows)
-    wanted = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_wanted"))
+    ranked = number_within(others, [user], ["_draw"], "_rank", heavy)
     return (
-        spread_join(ranked, wanted, [user], "inner", min_rows)
+        spread_join(ranked, wanted, [user], "inner", heavy)
         .where(F.col("_rank") < F.col("_wanted"))
         .select(user, item)
     )
@@ -130,13 +133,14 @@ def user_auc(
     predict: Callable[[DataFrame], DataFrame],
     user: str,
     item: str,
-    min_rows: int = HEAVY_ROWS,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Per user: pairs of a positive and a negative, those ranked right, their share.
 
     A pair is right when the positive scores higher; one with a missing score
     is not. The pairs are never made: a positive is right with as many
     negatives as score below it, which is a running count along the scores.
+    ``heavy`` names the users with very many rows.
     """
 
     def scored(pairs: DataFrame, is_positive: int) -> DataFrame:
@@ -155,7 +159,7 @@ def user_auc(
         .withColumn("_scored_neg", F.when(F.col("prediction").isNotNull(), F.col("neg")).otherwise(0))
     )
     running = running_sums(
-        per_score, ["prediction"], {"_through": "_scored_neg"}, [user], min_rows
+        per_score, ["prediction"], {"_through": "_scored_neg"}, [user], heavy
     )
     below = F.col("_through") - F.col("_scored_neg")
     right = F.when(F.col("prediction").isNotNull(), F.col("pos") * below).otherwise(0)
@@ -171,8 +175,8 @@ def mean_user_auc(
     predict: Callable[[DataFrame], DataFrame],
     user: str,
     item: str,
-    min_rows: int = HEAVY_ROWS,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Mean of ``user_auc`` over the users."""
-    per_user = user_auc(positives, negatives, predict, user, item, min_rows)
+    per_user = user_auc(positives, negatives, predict, user, item, heavy)
     return per_user.agg(F.avg("auc").alias("auc"), F.count(F.lit(1)).alias("n_users"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.functions import suffixed, words
+from tallywood.functions import suffixed
+from tallywood.functions.text import WHITE_SPACE
 from tallywood.operators.groups import count_by, exact_sum
-from tallywood.plans import number_within
+from tallywood.plans import materialized, number_within
 from tallywood.plans.skew import HEAVY_ROWS
 
 # Values joined into one text; a longer group continues in further parts.
@@ -15,8 +16,9 @@ PART_VALUES = 100_000
 
 
 def count_words(df: DataFrame, text: str) -> DataFrame:
-    """Occurrences of every word."""
-    return count_by(df.select(F.explode(words(F.col(text))).alias("word")), "word")
+    """Occurrences of every word, cut at white space."""
+    every = df.select(F.explode(F.split(F.col(text), WHITE_SPACE)).alias("word"))
+    return count_by(every.where(F.col("word") != ""), "word")
 
 
 def sum_by_key(df: DataFrame, key: str, value: Column, name: str = "total") -> DataFrame:
@@ -65,7 +67,11 @@ def concat_by_key(
     task holds more than one part.
     """
     placed = number_within(
-        df.select(key, F.col(value).alias("_value")), [key], ["_value"], "_at", min_rows
+        df.select(key, F.col(value).alias("_value")),
+        [key],
+        ["_value"],
+        "_at",
+        min_rows=min_rows,
     )
     parts = placed.withColumn("part", F.floor(F.col("_at") / part_values).cast("bigint"))
     in_order = F.sort_array(F.collect_list(F.struct("_at", "_value")))
@@ -75,13 +81,41 @@ def concat_by_key(
     )
 
 
+def joined_set(
+    df: DataFrame,
+    key: str,
+    value: str,
+    name: str,
+    separator: str = ",",
+    part_values: int = PART_VALUES,
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Distinct values of a key, sorted and joined to text, as ``(key, part, <name>)``.
+
+    No set can outgrow the column's own distinct values. Where a sketch finds
+    those few, each task gathers the sets of its rows before the shuffle;
+    otherwise the values go into parts as in ``concat_by_key``.
+    """
+    domain = df.agg(F.approx_count_distinct(value)).head()[0]
+    if domain <= part_values:
+        in_order = F.sort_array(F.collect_set(value))
+        texts = F.transform(in_order, lambda one: one.cast("string"))
+        sets = df.groupBy(key).agg(F.concat_ws(separator, texts).alias(name))
+        return sets.select(key, F.lit(0).cast("bigint").alias("part"), name)
+    distinct = materialized(df.select(key, value).distinct(), "distinct-values")
+    grouped = concat_by_key(distinct, key, value, separator, part_values, min_rows)
+    return grouped.select(key, "part", F.col("joined").alias(name))
+
+
 def words_by_frequency(
     word_counts: DataFrame, part_values: int = PART_VALUES, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Words that occur equally often, sorted and run together, per frequency.
 
     Takes ``(word, n)`` and returns ``(n, part, words)``; see
-    ``concat_by_key`` for the parts.
+    ``concat_by_key`` for the parts. The counts are written out once, as they
+    are read twice and go back to all the text.
     """
-    grouped = concat_by_key(word_counts, "n", "word", "", part_values, min_rows)
+    counts = materialized(word_counts, "word-counts")
+    grouped = concat_by_key(counts, "n", "word", "", part_values, min_rows)
     return grouped.select("n", "part", F.col("joined").alias("words"))

@@ -21,7 +21,9 @@ def first_last_non_null(
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """First and last non-null value of a column up to each row of its group."""
-    return running_first_last(df, keys, order, {first: column}, {last: column}, min_rows)
+    return running_first_last(
+        df, keys, order, {first: column}, {last: column}, min_rows=min_rows
+    )
 
 
 def forward_fill(

@@ -4,12 +4,15 @@ from tallywood.plans.ordered import (
     running_first_last,
     running_sums,
 )
-from tallywood.plans.scratch import checkpoint_root, persisted, scratch_path
-from tallywood.plans.skew import heavy_keys, spread_join
+from tallywood.plans.scratch import checkpoint_root, materialized, persisted, scratch_path
+from tallywood.plans.skew import HeavyKeys, find_heavy, heavy_among, spread_join
 
 __all__ = [
+    "HeavyKeys",
     "checkpoint_root",
-    "heavy_keys",
+    "find_heavy",
+    "heavy_among",
+    "materialized",
     "number_rows",
     "number_within",
     "persisted",

@@ -21,38 +21,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywood.plans.scratch import checkpoint_root
-from tallywood.plans.skew import HEAVY_ROWS, heavy_keys, mark_heavy
+from tallywood.plans.skew import HEAVY_ROWS, HeavyKeys, find_heavy, mark_heavy
 
 # monotonically_increasing_id holds the partition above this bit and the
 # position in the partition below it.
 POSITION_BITS = 33
 
+# Stands for heavy keys that are still to be found.
+FIND = "find"
+
 Order = str | Column
 
 
 def ordered_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Order], min_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[Order], heavy: HeavyKeys | None
 ) -> tuple[DataFrame, bool]:
     """Add ``_run``: -1 for whole groups, else the number of a contiguous run.
 
     The flag tells whether any group was cut.
     """
-    checkpoint_root(df.sparkSession)
     if not keys:
+        checkpoint_root(df.sparkSession)
         sorted_rows = df.orderBy(*order)
         return sorted_rows.withColumn("_run", F.spark_partition_id()).checkpoint(), True
-    heavy = heavy_keys(df, keys, min_rows)
     if heavy is None:
         return df.withColumn("_run", F.lit(-1)), False
-    marked = mark_heavy(df, keys, heavy)
+    checkpoint_root(df.sparkSession)
+    marked = mark_heavy(df, heavy)
     light = marked.where(F.col("_n").isNull()).drop("_n").withColumn("_run", F.lit(-1))
     hot = marked.where(F.col("_n").isNotNull()).drop("_n")
-    n_runs = math.ceil(heavy.agg(F.sum("_n")).head()[0] / min_rows)
-    sorted_rows = hot.repartitionByRange(n_runs, *keys, *order)
-    cut = sorted_rows.withColumn("_run", F.spark_partition_id()).checkpoint()
+    n_runs = math.ceil(heavy.rows / heavy.min_rows)
+    ranged = hot.repartitionByRange(n_runs, *keys, *order)
+    cut = ranged.withColumn("_run", F.spark_partition_id()).checkpoint()
     return light.unionByName(cut), True
 
 
+def _heavy(
+    df: DataFrame, keys: Sequence[str], heavy: HeavyKeys | str | None, min_rows: int
+) -> HeavyKeys | None:
+    if heavy != FIND:
+        return heavy
+    return find_heavy(df, keys, min_rows) if keys else None
+
+
 def _with_carry(
     scanned: DataFrame,
     run_values: DataFrame,
@@ -87,14 +98,16 @@ def running_sums(
     order: Sequence[Order],
     sums: Mapping[str, Order],
     keys: Sequence[str] = (),
+    heavy: HeavyKeys | str | None = FIND,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add running sums ``{output: expression}`` up to and including each row.
 
-    ``order`` must be a total order within a key.
+    ``order`` must be a total order within a key. Heavy keys are looked for,
+    unless the caller knows them.
     """
     exprs = {name: F.col(e) if isinstance(e, str) else e for name, e in sums.items()}
-    runs, cut = ordered_runs(df, keys, order, min_rows)
+    runs, cut = ordered_runs(df, keys, order, _heavy(df, keys, heavy, min_rows))
     so_far = (
         Window.partitionBy(*keys, "_run")
         .orderBy(*order)
@@ -128,6 +141,7 @@ def running_first_last(
     order: Sequence[str],
     first: Mapping[str, str] | None = None,
     last: Mapping[str, str] | None = None,
+    heavy: HeavyKeys | str | None = FIND,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add the first / last non-null value of a column up to each row.
@@ -136,7 +150,7 @@ def running_first_last(
     a total order within a key.
     """
     first, last = dict(first or {}), dict(last or {})
-    runs, cut = ordered_runs(df, keys, order, min_rows)
+    runs, cut = ordered_runs(df, keys, order, _heavy(df, keys, heavy, min_rows))
     so_far = (
         Window.partitionBy(*keys, "_run")
         .orderBy(*order)
@@ -185,10 +199,11 @@ def number_within(
     keys: Sequence[str],
     order: Sequence[Order],
     name: str,
+    heavy: HeavyKeys | str | None = FIND,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add the row's position in its group, from 0."""
-    numbered = running_sums(df, order, {name: F.lit(1).cast("long")}, keys, min_rows)
+    numbered = running_sums(df, order, {name: F.lit(1).cast("long")}, keys, heavy, min_rows)
     return numbered.withColumn(name, F.col(name) - 1)
 
 

@@ -43,6 +43,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and go on from the written table.
+
+    For results that are costly and read more than once: later steps scan only
+    the columns they need, and a lost executor costs none of the work before.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def persisted(
     *frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK

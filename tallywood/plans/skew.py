@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,18 +17,39 @@ HEAVY_ROWS = 5_000_000
 MOST_HEAVY = 100_000
 
 
-def heavy_keys(
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Heavy keys with their row counts ``_n``, as a small local table."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    rows: int
+    min_rows: int
+
+    def renamed(self, *keys: str) -> HeavyKeys:
+        """The same keys under other column names."""
+        frame = self.frame.toDF(*keys, "_n")
+        return HeavyKeys(frame, keys, self.rows, self.min_rows)
+
+
+def find_heavy(
     df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS
-) -> DataFrame | None:
-    """Keys with at least ``min_rows`` rows and their counts ``_n``, or None.
+) -> HeavyKeys | None:
+    """Keys with at least ``min_rows`` rows, or None: one pass over the key columns."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return heavy_among(counts, keys, "_n", min_rows)
+
 
-    One pass over the key columns with map-side counts. The result is held as
-    a local table of at most ``MOST_HEAVY`` rows, so that every later use sees
-    the same keys and may broadcast it.
+def heavy_among(
+    counts: DataFrame, keys: Sequence[str], count: str, min_rows: int = HEAVY_ROWS
+) -> HeavyKeys | None:
+    """Like ``find_heavy``, from counts per key that are there already.
+
+    At most the ``MOST_HEAVY`` largest keys come to the driver; held there,
+    every later use sees the same ones.
     """
     largest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        counts.select(*keys, F.col(count).cast("bigint").alias("_n"))
         .where(F.col("_n") >= min_rows)
         .orderBy(F.desc("_n"), *keys)
         .limit(MOST_HEAVY)
@@ -35,15 +57,18 @@ def heavy_keys(
     rows = largest.collect()
     if not rows:
         return None
-    return df.sparkSession.createDataFrame(rows, largest.schema)
+    frame = counts.sparkSession.createDataFrame(rows, largest.schema)
+    return HeavyKeys(frame, tuple(keys), sum(r["_n"] for r in rows), min_rows)
 
 
-def mark_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
+def mark_heavy(df: DataFrame, heavy: HeavyKeys) -> DataFrame:
     """Add ``_n``: the row count of a heavy key, null for any other key."""
-    flags = heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys], "_n")
-    same = reduce(Column.__and__, [df[k].eqNullSafe(flags[f"_heavy_{k}"]) for k in keys])
+    flags = heavy.frame.toDF(*[f"_heavy_{k}" for k in heavy.keys], "_n")
+    same = reduce(
+        Column.__and__, [df[k].eqNullSafe(flags[f"_heavy_{k}"]) for k in heavy.keys]
+    )
     marked = df.join(F.broadcast(flags), same, "left")
-    return marked.drop(*[f"_heavy_{k}" for k in keys])
+    return marked.drop(*[f"_heavy_{k}" for k in heavy.keys])
 
 
 def spread_join(
@@ -51,36 +76,29 @@ def spread_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    min_rows: int = HEAVY_ROWS,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Join rows to a table on keys that may be very unevenly filled.
 
-    Rows of a heavy key go to as many salts as it has multiples of
+    Rows of a heavy key go to as many salts as the key has multiples of
     ``min_rows``, and only the matching lookup rows are repeated that often.
-    Without heavy keys this is a plain join, which Spark broadcasts when the
-    lookup's measured size allows. The salt is a hash of the row, so a retried
-    task sends every row where it went before.
+    The salt is a hash of the row, so a retried task sends every row where it
+    went before.
+
+    Without ``heavy`` this is Spark's join: it broadcasts a lookup whose
+    measured size allows it, and otherwise splits the skewed partitions it
+    finds at run time.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     keys = list(keys)
-    heavy = heavy_keys(fact, keys, min_rows)
     if heavy is None:
         return fact.join(lookup, keys, how)
-    salts = F.ceil(F.col("_n") / F.lit(min_rows)).cast("int")
-    salted_fact = mark_heavy(fact, keys, heavy).withColumn(
-        "_salt",
-        F.when(
-            F.col("_n").isNotNull(), F.pmod(F.xxhash64(*fact.columns), salts).cast("int")
-        ).otherwise(0),
-    )
-    salted_lookup = mark_heavy(lookup, keys, heavy).withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_n").isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
+    salts = F.ceil(F.col("_n") / F.lit(heavy.min_rows)).cast("int")
+    is_heavy = F.col("_n").isNotNull()
+    salt = F.pmod(F.xxhash64(*fact.columns), salts).cast("int")
+    every_salt = F.when(is_heavy, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
+    salted_fact = mark_heavy(fact, heavy).withColumn("_salt", F.when(is_heavy, salt).otherwise(0))
+    salted_lookup = mark_heavy(lookup, heavy).withColumn("_salt", F.explode(every_salt))
     joined = salted_fact.drop("_n").join(salted_lookup.drop("_n"), [*keys, "_salt"], how)
     return joined.drop("_salt")

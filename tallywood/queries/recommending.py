@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.learning import recommend
+from tallywood.plans import find_heavy, materialized
 from tallywood.queries.registry import Tables, query
 from tallywood.queries.relational import ALIAS_SQL, part_aliases
 
@@ -32,12 +33,16 @@ def pairs(t: Tables) -> DataFrame:
 HELD_OUT_SQL = '("user" * 7 + item * 13) % 10 = 0'
 
 
-def holdout(t: Tables) -> tuple[DataFrame, DataFrame]:
+def holdout(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
     held_out = F.pmod(F.col("user") * 7 + F.col("item") * 13, F.lit(10)) == 0
-    whole = pairs(t)
     return whole.where(~held_out), whole.where(held_out)
 
 
+def written_pairs(t: Tables) -> DataFrame:
+    """The pairs as a table of their own, for queries that read them several times."""
+    return materialized(pairs(t), "pairs")
+
+
 @query(
     "interaction_counts",
     f"""SELECT "user", coalesce(alias, p.item) AS item, CAST(sum(plays) AS BIGINT) AS plays
@@ -45,7 +50,11 @@ def holdout(t: Tables) -> tuple[DataFrame, DataFrame]:
         GROUP BY 1, 2""",
 )
 def interaction_counts(t: Tables) -> DataFrame:
-    return recommend.interaction_counts(plays(t), "user", "item", "plays", part_aliases(t))
+    heavy = find_heavy(t.lineitem, ["l_partkey"])
+    heavy = heavy and heavy.renamed("item")
+    return recommend.interaction_counts(
+        plays(t), "user", "item", "plays", part_aliases(t), heavy
+    )
 
 
 @query(
@@ -64,7 +73,7 @@ POPULARITY_SQL = f"""SELECT item, CAST(sum(plays) AS BIGINT) AS prediction
 
 @query("popularity_scores", POPULARITY_SQL)
 def popularity_scores(t: Tables) -> DataFrame:
-    train, _ = holdout(t)
+    train, _ = holdout(pairs(t))
     return recommend.popularity(train, "item", "plays")
 
 
@@ -74,8 +83,11 @@ def popularity_scores(t: Tables) -> DataFrame:
         FROM ({PAIRS_SQL}) p LEFT JOIN ({POPULARITY_SQL}) s ON p.item = s.item""",
 )
 def popularity_predict(t: Tables) -> DataFrame:
-    scores = popularity_scores(t)
-    return recommend.predict_popularity(pairs(t).select("user", "item"), scores, "item")
+    whole = written_pairs(t)
+    train, _ = holdout(whole)
+    scores = recommend.popularity(train, "item", "plays")
+    heavy = find_heavy(whole, ["item"])
+    return recommend.predict_popularity(whole.select("user", "item"), scores, "item", heavy)
 
 
 @query(
@@ -90,7 +102,7 @@ def popularity_left_join(t: Tables) -> DataFrame:
     large = t.lineitem.where("l_quantity > 45").withColumnRenamed("l_partkey", "item")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"))
     scores = recommend.popularity(large, "item", "l_linenumber")
-    return recommend.predict_popularity(lines, scores, "item")
+    return recommend.predict_popularity(lines, scores, "item", find_heavy(lines, ["item"]))
 
 
 NEGATIVES_SQL = f"""
@@ -119,8 +131,9 @@ NEGATIVES_SQL = f"""
 
 @query("negative_samples", f"""{NEGATIVES_SQL} SELECT "user", item FROM neg""")
 def negative_samples(t: Tables) -> DataFrame:
-    _, held_out = holdout(t)
-    return recommend.sample_negatives(held_out, pairs(t), "user", "item")
+    whole = written_pairs(t)
+    _, held_out = holdout(whole)
+    return recommend.sample_negatives(held_out, whole, "user", "item")
 
 
 @query(
@@ -136,31 +149,35 @@ def negative_samples(t: Tables) -> DataFrame:
         SELECT round(avg(correct / total), 9) AS auc, count(*) AS n_users FROM u""",
 )
 def mean_user_auc_popularity(t: Tables) -> DataFrame:
-    train, held_out = holdout(t)
+    whole = written_pairs(t)
+    train, held_out = holdout(whole)
     scores = recommend.popularity(train, "item", "plays")
-    negatives = recommend.sample_negatives(held_out, pairs(t), "user", "item")
+    heavy_items = find_heavy(whole, ["item"])
 
     def predict(rows: DataFrame) -> DataFrame:
-        return recommend.predict_popularity(rows, scores, "item")
+        return recommend.predict_popularity(rows, scores, "item", heavy_items)
 
-    found = recommend.mean_user_auc(held_out, negatives, predict, "user", "item")
+    negatives = recommend.sample_negatives(held_out, whole, "user", "item")
+    found = recommend.mean_user_auc(
+        held_out, negatives, predict, "user", "item", find_heavy(held_out, ["user"])
+    )
     return found.select(F.round("auc", 9).alias("auc"), "n_users")
 
 
-def _als(t: Tables, train: DataFrame):
+def _als(train: DataFrame):
     return recommend.fit_als(train, "user", "item", "plays", seed=11, maxIter=3)
 
 
 @query("als_predict")
 def als_predict(t: Tables) -> DataFrame:
-    train, held_out = holdout(t)
-    return _als(t, train).transform(held_out.select("user", "item"))
+    train, held_out = holdout(written_pairs(t))
+    return _als(train).transform(held_out.select("user", "item"))
 
 
 @query("als_top_n")
 def als_top_n(t: Tables) -> DataFrame:
     """Five items for the customer with the most orders."""
-    model = _als(t, pairs(t))
+    model = _als(pairs(t))
     best = t.orders.groupBy(F.col("o_custkey").alias("user")).count()
     one = best.orderBy(F.desc("count"), "user").limit(1)
     return recommend.recommend(model, one, "user", "item", 5)
@@ -168,7 +185,10 @@ def als_top_n(t: Tables) -> DataFrame:
 
 @query("mean_user_auc_als")
 def mean_user_auc_als(t: Tables) -> DataFrame:
-    train, held_out = holdout(t)
-    model = _als(t, train)
-    negatives = recommend.sample_negatives(held_out, pairs(t), "user", "item")
-    return recommend.mean_user_auc(held_out, negatives, model.transform, "user", "item")
+    whole = written_pairs(t)
+    train, held_out = holdout(whole)
+    model = _als(train)
+    negatives = recommend.sample_negatives(held_out, whole, "user", "item")
+    return recommend.mean_user_auc(
+        held_out, negatives, model.transform, "user", "item", find_heavy(held_out, ["user"])
+    )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.operators import groups, joins, ranking, rows, windows
-from tallywood.plans import spread_join
+from tallywood.functions import parse_or
+from tallywood.operators import groups, joins, pairs, ranking, rows, windows
+from tallywood.plans import find_heavy, spread_join
 from tallywood.queries.registry import Tables, query
 
 # --- rows --------------------------------------------------------------------
@@ -113,8 +114,6 @@ def parse_or_drop(t: Tables) -> DataFrame:
        FROM events""",
 )
 def parse_or_default(t: Tables) -> DataFrame:
-    from tallywood.functions import parse_or
-
     return _dirty_events(t).select(
         "event_id", parse_or(F.col("value_text"), "double", 0.0).alias("value")
     )
@@ -262,7 +261,8 @@ ALIAS_SQL = """SELECT p_partkey AS item, p_partkey - p_partkey % 10 AS alias
 )
 def alias_broadcast_resolve(t: Tables) -> DataFrame:
     plays = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"))
-    return joins.resolve_alias(plays, "item", part_aliases(t), "item", "alias")
+    heavy = find_heavy(plays, ["item"])
+    return joins.resolve_alias(plays, "item", part_aliases(t), "item", "alias", heavy)
 
 
 @query(
@@ -300,7 +300,7 @@ def member_orders(t: Tables) -> DataFrame:
     buyers = t.customer.join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     ).select(F.col("c_custkey").alias("o_custkey"), "n_name", "c_mktsegment")
-    joined = spread_join(t.orders, buyers, ["o_custkey"])
+    joined = spread_join(t.orders, buyers, ["o_custkey"], heavy=find_heavy(t.orders, ["o_custkey"]))
     return joined.select(
         F.col("n_name").alias("area"),
         F.col("o_orderstatus").alias("goods"),
@@ -417,11 +417,12 @@ def conditional_ratio_mean(t: Tables) -> DataFrame:
 
 @query(
     "set_concat_per_group",
-    """SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
+    """SELECT user_id, CAST(0 AS BIGINT) AS part,
+              string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
        FROM events GROUP BY user_id""",
 )
 def set_concat_per_group(t: Tables) -> DataFrame:
-    return groups.joined_set(t.events, "user_id", "event_type", "event_types")
+    return pairs.joined_set(t.events, "user_id", "event_type", "event_types")
 
 
 @query(

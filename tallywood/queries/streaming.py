@@ -13,7 +13,7 @@ from tallywood.queries.registry import Tables, query
 def _event_messages(t: Tables) -> DataFrame:
     """The event table as a stream of binary key and value."""
     schema = t.events.schema
-    stream = streaming.file_topic(t.spark, t.folder, schema, glob="events.parquet")
+    stream = streaming.file_topic(t.spark, f"{t.folder}/events.parquet*", schema)
     return sources.publish(stream, F.col("event_id"), F.col("props"), "events")
 
 

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import running_sums, spread_join
+from tallywood.plans import heavy_among, materialized, running_sums, spread_join
 from tallywood.plans.skew import HEAVY_ROWS
 
+# Columns whose pairs are still one comfortable aggregate.
+MOST_COVARIANCES = 16
+
 
 def pearson_vectors(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of the dimensions of a vector column.
@@ -27,11 +31,33 @@ def pearson_vectors(df: DataFrame, features: str, names: Sequence[str]) -> DataF
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of numeric columns; rows with a null are left out."""
-    assembler = VectorAssembler(
-        inputCols=list(columns), outputCol="_features", handleInvalid="skip"
+    """Pearson correlation of numeric columns; rows with a null are left out.
+
+    One aggregate of covariances for a moderate number of columns, which grow
+    as its square; Spark ML's matrix for more.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    if len(columns) > MOST_COVARIANCES:
+        assembler = VectorAssembler(inputCols=list(columns), outputCol="_features")
+        return pearson_vectors(assembler.transform(rows), "_features", columns)
+    pairs = list(combinations(range(len(columns)), 2))
+    sums = rows.agg(
+        *[F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(columns)],
+        *[F.covar_pop(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs],
     )
-    return pearson_vectors(assembler.transform(df.select(*columns)), "_features", columns)
+
+    def cell(i: int, j: int) -> Column:
+        both = F.col(f"_s{i}") * F.col(f"_s{j}")
+        covariance = F.col(f"_c{min(i, j)}_{max(i, j)}") if i != j else None
+        value = F.lit(1.0) if i == j else F.when(both == 0, F.lit(float("nan"))).otherwise(
+            F.try_divide(covariance, both)
+        )
+        return F.struct(
+            F.lit(columns[i]).alias("i"), F.lit(columns[j]).alias("j"), value.alias("corr")
+        )
+
+    size = range(len(columns))
+    return sums.select(F.inline(F.array(*[cell(i, j) for i in size for j in size])))
 
 
 def average_ranks(
@@ -41,17 +67,22 @@ def average_ranks(
 
     Ranks come from counts of the distinct values, so a value that a large
     share of the rows has in common is one row of the ordered scan. Joining
-    them back is a broadcast while the distinct values are few, and is spread
-    over the tasks otherwise.
+    them back is a broadcast while the distinct values are few; otherwise the
+    counts tell which values to spread over several tasks.
     """
-    out = df.select(*columns).dropna()
-    base = out
+    base = df.select(*columns).dropna()
+    out = base
     for column in columns:
         counts = base.groupBy(column).agg(F.count(F.lit(1)).alias("_count"))
-        so_far = running_sums(counts, [column], {"_through": "_count"}, min_rows=min_rows)
         rank = F.col("_through") - (F.col("_count") - 1) / 2.0
-        ranks = so_far.select(column, rank.alias("_rank"))
-        joined = spread_join(out, ranks, [column], "inner", min_rows)
+        ranks = materialized(
+            running_sums(counts, [column], {"_through": "_count"}).select(
+                column, "_count", rank.alias("_rank")
+            ),
+            "ranks",
+        )
+        heavy = heavy_among(ranks, [column], "_count", min_rows)
+        joined = spread_join(out, ranks.drop("_count"), [column], "inner", heavy)
         out = joined.withColumn(column, F.col("_rank")).drop("_rank")
     return out.select(*columns)
 

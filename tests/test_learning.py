@@ -11,6 +11,7 @@ from pyspark.ml.feature import HashingTF, StringIndexer, Tokenizer
 from pyspark.sql import functions as F
 
 from tallywood.learning import cluster, features, models, recommend, tuning
+from tallywood.plans import find_heavy
 
 
 def test_frequency_index_equals_string_indexer(spark):
@@ -164,12 +165,14 @@ def test_user_auc_equals_comparing_all_pairs(spark, taste, min_rows):
     )
 
     def predict(rows):
-        return recommend.predict_popularity(rows, scores, "item", min_rows)
+        return recommend.predict_popularity(rows, scores, "item", find_heavy(rows, ["item"], min_rows))
 
     negatives = recommend.sample_negatives(taste, taste.select("item"), "user", "item")
+    heavy = find_heavy(taste, ["user"], min_rows)
+    assert (heavy is None) == (min_rows > 1000)
     got = {
         r["user"]: (r["correct"], r["total"])
-        for r in recommend.user_auc(taste, negatives, predict, "user", "item", min_rows).collect()
+        for r in recommend.user_auc(taste, negatives, predict, "user", "item", heavy).collect()
     }
     score = {i: i * 37 % 11 for i in range(60) if i % 5}
     pos, neg = defaultdict(list), defaultdict(list)
@@ -185,7 +188,7 @@ def test_user_auc_equals_comparing_all_pairs(spark, taste, min_rows):
             )
             expected[user] = (right, len(pos[user]) * len(neg[user]))
     assert got == expected
-    mean = recommend.mean_user_auc(taste, negatives, predict, "user", "item", min_rows).head()
+    mean = recommend.mean_user_auc(taste, negatives, predict, "user", "item", heavy).head()
     assert mean["n_users"] == len(expected)
     assert mean["auc"] == pytest.approx(sum(c / t for c, t in expected.values()) / len(expected))
 

@@ -137,7 +137,7 @@ def test_map_values(spark):
 
 
 def test_joined_set_and_extract(employees):
-    sets = groups.joined_set(employees, "name", "role", "cs")
+    sets = pairs.joined_set(employees, "name", "role", "cs")
     assert as_map(sets, "name", "cs")["bob"] == "Developer,F_1,M_2,R_1"
     extracted = sets.withColumn("ext", fn.extract_whole(F.col("cs"), r"M_(\d+)"))
     assert as_map(extracted, "name", "ext") == {"bob": "M_2", "mark": "", "carl": "", "peter": ""}
@@ -314,3 +314,10 @@ def test_union_keeps_duplicates_and_matches_names(spark):
     b = spark.createDataFrame([(2, 1)], "y int, x int")
     out = rows.union_rows(a, b, ["loss"]).collect()
     assert [tuple(r) for r in out] == [(1, 2), (1, 2)]
+
+
+def test_joined_set_in_parts(spark):
+    frame = spark.range(60).select(F.lit("k").alias("k"), (F.col("id") % 20).alias("v"))
+    out = pairs.joined_set(frame, "k", "v", "vs", part_values=8).orderBy("part").collect()
+    assert ",".join(r["vs"] for r in out) == ",".join(str(i) for i in range(20))
+    assert len(out) == 3

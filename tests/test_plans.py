@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallywood import plans
 from tallywood.operators import windows
 from tallywood.plans.ordered import ordered_runs
-from tallywood.plans.skew import heavy_keys
+from tallywood.plans import find_heavy
 
 
 def rows_of(frame):
@@ -33,15 +33,17 @@ def skewed(spark):
 
 
 def test_heavy_keys_are_the_large_ones(skewed):
-    found = {r["k"]: r["_n"] for r in heavy_keys(skewed, ["k"], 200).collect()}
+    heavy = find_heavy(skewed, ["k"], 200)
+    found = {r["k"]: r["_n"] for r in heavy.frame.collect()}
     counts = {r["k"]: r["count"] for r in skewed.groupBy("k").count().collect()}
     assert found == {k: n for k, n in counts.items() if n >= 200}
     assert set(found) == {0, None}
-    assert heavy_keys(skewed, ["k"], 10**6) is None
+    assert heavy.rows == sum(found.values())
+    assert find_heavy(skewed, ["k"], 10**6) is None
 
 
 def test_heavy_groups_are_cut_into_runs(skewed):
-    runs, cut = ordered_runs(skewed, ["k"], ["at"], 200)
+    runs, cut = ordered_runs(skewed, ["k"], ["at"], find_heavy(skewed, ["k"], 200))
     assert cut
     per_key = {
         r["k"]: r["runs"]
@@ -59,7 +61,7 @@ def test_running_sums(skewed, min_rows):
             Window.partitionBy("k").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
         ),
     )
-    got = plans.running_sums(skewed, ["at"], {"s": "v"}, ["k"], min_rows)
+    got = plans.running_sums(skewed, ["at"], {"s": "v"}, ["k"], min_rows=min_rows)
     assert rows_of(got) == rows_of(expected)
 
 
@@ -95,7 +97,7 @@ def test_number_within(skewed, min_rows):
     expected = skewed.withColumn(
         "n", F.row_number().over(Window.partitionBy("k").orderBy("at")).cast("long") - 1
     )
-    got = plans.number_within(skewed, ["k"], ["at"], "n", min_rows)
+    got = plans.number_within(skewed, ["k"], ["at"], "n", min_rows=min_rows)
     assert rows_of(got) == rows_of(expected)
 
 
@@ -111,7 +113,7 @@ def test_spread_join(spark, skewed, how, min_rows):
     lookup = spark.createDataFrame(
         [(k, f"name{k}") for k in list(range(0, 150)) + [3]], "k int, name string"
     )
-    got = plans.spread_join(skewed, lookup, ["k"], how, min_rows)
+    got = plans.spread_join(skewed, lookup, ["k"], how, find_heavy(skewed, ["k"], min_rows))
     assert rows_of(got) == rows_of(skewed.join(lookup, ["k"], how))
 
 
