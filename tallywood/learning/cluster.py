@@ -79,7 +79,7 @@ def cost_sweep(
     prepared: DataFrame, features: str, ks: Sequence[int], seed: int = 1, **params
 ) -> list[tuple[int, float]]:
     """Training cost per number of clusters; the vectors are cached meanwhile."""
-    with persisted(prepared.select(features)) as (vectors,):
+    with persisted(prepared.select(features)) as vectors:
         return [
             (k, float(fit_kmeans(vectors, features, k, seed, **params).summary.trainingCost))
             for k in ks
@@ -91,7 +91,7 @@ def entropy_sweep(
 ) -> DataFrame:
     """Size-weighted label entropy of the clusters, per number of clusters."""
     out = None
-    with persisted(prepared.select(features, label)) as (rows,):
+    with persisted(prepared.select(features, label)) as rows:
         models = [(k, fit_kmeans(rows, features, k, seed, **params)) for k in ks]
     for k, model in models:
         clustered = model.transform(prepared.select(features, label))

@@ -72,7 +72,7 @@ def fit_als(
         seed=seed,
         **{**ALS_SMALL, **params},
     )
-    with persisted(train) as (rows,):
+    with persisted(train) as rows:
         return als.fit(rows)
 
 

@@ -43,7 +43,7 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    with persisted(df) as (rows,):
+    with persisted(df) as rows:
         return validator.fit(rows)
 
 
@@ -66,7 +66,7 @@ def validate_once(
         seed=seed,
         parallelism=parallelism,
     )
-    with persisted(df) as (rows,):
+    with persisted(df) as rows:
         return validator.fit(rows)
 
 

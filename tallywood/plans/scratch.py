@@ -55,13 +55,14 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def persisted(
-    *frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
-) -> Iterator[tuple[DataFrame, ...]]:
-    """Cache frames for the block that reads them more than once."""
-    held = tuple(frame.persist(level) for frame in frames)
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Cache a frame for the block that reads it many times.
+
+    The rows are first evened out to partitions of the advisory size, so that
+    no pass waits for a few large input splits.
+    """
+    held = df.hint("rebalance").persist(level)
     try:
         yield held
     finally:
-        for frame in held:
-            frame.unpersist()
+        held.unpersist()

@@ -9,13 +9,17 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywood.plans import materialized
+
 
 def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Statistic and degrees of freedom per feature.
 
     With observed counts O, row totals R and column totals C over N rows the
     statistic is N (sum O^2 / (R C) - 1). Empty cells add nothing to it, so
-    the full table of rows and columns is never laid out.
+    the full table of rows and columns is never laid out. The counts are
+    written out, since every total is made from them and not from the rows.
+    Pairs with a null are left out.
     """
     pairs = F.array(
         *[
@@ -23,8 +27,9 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
             for f in features
         ]
     )
-    long = df.select(F.col(label).cast("string").alias("label"), F.inline(pairs))
-    cells = long.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("o"))
+    long = df.select(F.col(label).cast("string").alias("label"), F.inline(pairs)).dropna()
+    counts = long.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("o"))
+    cells = materialized(counts, "contingency")
     rows = cells.groupBy("feature", "value").agg(F.sum("o").alias("r"))
     columns = cells.groupBy("feature", "label").agg(F.sum("o").alias("c"))
     shape = rows.groupBy("feature").agg(
