@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,14 +9,6 @@ from pyspark.sql import functions as F
 WHITE_SPACE = r"\s+"
 
 
-def _literal_pattern(part: str) -> str:
-    return re.escape(part)
-
-
-def _literal_replacement(part: str) -> str:
-    return part.replace("\\", "\\\\").replace("$", "\\$")
-
-
 def words(text: Column) -> Column:
     """Words of a text, cut at white space, without empty ones."""
     return F.filter(F.split(text, WHITE_SPACE), lambda word: word != "")
@@ -52,9 +42,9 @@ def delete_all(text: Column, part: str) -> Column:
 
 
 def replace_first(text: Column, part: str, by: str) -> Column:
-    """The lazy prefix may span lines, so that only the first match counts."""
-    pattern = rf"(?s)\A(.*?){_literal_pattern(part)}"
-    return F.regexp_replace(text, pattern, "$1" + _literal_replacement(by))
+    at = F.locate(part, text)
+    replaced = F.overlay(text, F.lit(by), at, F.lit(len(part)))
+    return F.when(at > 0, replaced).otherwise(text)
 
 
 def replace_all(text: Column, part: str, by: str) -> Column:

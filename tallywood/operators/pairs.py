@@ -47,6 +47,11 @@ def average_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
     return out.withColumn("average", F.col("total") / F.col("n"))
 
 
+def with_unique_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """Ids that are unique but neither consecutive nor kept if rows move."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def map_values(df: DataFrame, value: str, suffix: str = "_") -> DataFrame:
     """Values with a suffix; keys stay."""
     return df.withColumn(value, suffixed(F.col(value), suffix))

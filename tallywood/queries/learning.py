@@ -45,12 +45,6 @@ def assemble_features(t: Tables) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
 
 
-INDEX_SQL = """SELECT l_shipmonth, CAST(row_number() OVER (ORDER BY n DESC, l_shipmonth) - 1
-                                        AS DOUBLE) AS month_index
-               FROM (SELECT month(l_shipdate) AS l_shipmonth, count(*) AS n
-                     FROM lineitem GROUP BY 1)"""
-
-
 @query(
     "string_index",
     """SELECT p_partkey, name_index
@@ -100,7 +94,13 @@ def standard_scale(t: Tables) -> DataFrame:
     )
 
 
-@query("vector_index")
+@query(
+    "vector_index",
+    """SELECT l_orderkey, l_linenumber,
+              [CAST(dense_rank() OVER (ORDER BY l_linenumber) - 1 AS DOUBLE), l_extendedprice]
+                AS indexed
+       FROM lineitem""",
+)
 def vector_index(t: Tables) -> DataFrame:
     rows = features.assemble(t.lineitem, ["l_linenumber", "l_extendedprice"])
     indexed = features.index_vector(rows, "features", "indexed", max_categories=40)
@@ -128,6 +128,20 @@ def hashing_tf(t: Tables) -> DataFrame:
     return hashed.select("doc_id", vector_to_array("terms").alias("terms"))
 
 
+@query(
+    "hashing_tf_totals",
+    """SELECT doc_id, CAST(n_tokens AS DOUBLE) AS total
+       FROM (SELECT doc_id, CASE WHEN text = '' THEN 1 WHEN trimmed = '' THEN 0
+                                 ELSE len(regexp_split_to_array(trimmed, '\\s')) END AS n_tokens
+             FROM (SELECT doc_id, text, regexp_replace(lower(text), '\\s+$', '') AS trimmed
+                   FROM documents))""",
+)
+def hashing_tf_totals(t: Tables) -> DataFrame:
+    """Hashed frequencies add up to the number of tokens, collisions or not."""
+    total = F.aggregate("terms", F.lit(0.0), lambda a, b: a + b)
+    return hashing_tf(t).select("doc_id", total.alias("total"))
+
+
 # --- model inputs ----------------------------------------------------------------
 
 CHURN_FEATURES = ["n_orders", "spent", "mean_price", "c_nationkey", "segment_index"]
@@ -172,9 +186,10 @@ def claim_rows(t: Tables) -> DataFrame:
     )
 
 
-def claim_stages(one_hot: bool) -> list:
-    """Categories are indexed on all rows' values; only linear models need one-hot."""
-    encoding, encoded = features.category_stages(CLAIM_CATEGORIES, one_hot, invalid="keep")
+def claim_stages(rows: DataFrame, one_hot: bool) -> list:
+    """Stages for the categories that are few enough; only linear models need one-hot."""
+    categories = features.low_cardinality(rows, CLAIM_CATEGORIES)
+    encoding, encoded = features.category_stages(categories, one_hot, invalid="keep")
     assembler = VectorAssembler(inputCols=[*CLAIM_NUMBERS, *encoded], outputCol="features")
     return [*encoding, assembler]
 
@@ -186,7 +201,7 @@ def claim_split(t: Tables) -> list[DataFrame]:
 def _claim_predictions(t: Tables, kind: str, grid: dict, one_hot: bool, **params) -> DataFrame:
     train, held_out = claim_split(t)
     model = estimator(kind, **params)
-    search = Pipeline(stages=[*claim_stages(one_hot), model])
+    search = Pipeline(stages=[*claim_stages(train, one_hot), model])
     best = tuning.cross_validate(
         train, search, tuning.param_grid(grid, model), RegressionEvaluator(), 2, SEED
     )
@@ -324,7 +339,7 @@ def grid_search_leaderboard(t: Tables) -> DataFrame:
 def feature_importance_table(t: Tables) -> DataFrame:
     rows = claim_rows(t)
     model = Pipeline(
-        stages=[*claim_stages(False), estimator("forest_regression", numTrees=5, maxDepth=5)]
+        stages=[*claim_stages(rows, False), estimator("forest_regression", numTrees=5, maxDepth=5)]
     ).fit(rows)
     names = features.feature_names(model.transform(rows), "features")
     return features.importance_table(model, names, rows)
@@ -365,6 +380,10 @@ CLUSTER_CATEGORIES = ["l_returnflag", "l_linestatus"]
 CLUSTER_LABEL = "l_linenumber"
 
 
+def _cluster_categories(t: Tables) -> list[str]:
+    return features.low_cardinality(t.lineitem, CLUSTER_CATEGORIES)
+
+
 def _vectors(t: Tables) -> DataFrame:
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
     return t.embeddings.select("vec_id", "label", vector.alias("features"))
@@ -386,7 +405,11 @@ def cluster_centers_table(t: Tables) -> DataFrame:
 @query("kmeans_cost_sweep")
 def kmeans_cost_sweep(t: Tables) -> DataFrame:
     """Training cost on raw, scaled, and one-hot and scaled columns."""
-    variants = {"raw": ((), False), "scaled": ((), True), "mixed": (CLUSTER_CATEGORIES, True)}
+    variants = {
+        "raw": ((), False),
+        "scaled": ((), True),
+        "mixed": (_cluster_categories(t), True),
+    }
     rows = []
     for name, (categories, scaled) in variants.items():
         stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, categories, scaled)
@@ -398,7 +421,7 @@ def kmeans_cost_sweep(t: Tables) -> DataFrame:
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(t: Tables) -> DataFrame:
-    stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, CLUSTER_CATEGORIES, True)
+    stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, _cluster_categories(t), True)
     prepared = cluster.prepare(t.lineitem, stages)
     return cluster.entropy_sweep(prepared, vector, CLUSTER_LABEL, [4, 8], maxIter=10, tol=1.0e-5)
 
@@ -407,7 +430,7 @@ def kmeans_entropy_sweep(t: Tables) -> DataFrame:
 def kmeans_cluster_labels(t: Tables) -> DataFrame:
     """Rows per cluster and label."""
     model, _ = cluster.fit_pipeline(
-        t.lineitem, CLUSTER_NUMBERS, CLUSTER_CATEGORIES, 6, maxIter=10, tol=1.0e-5
+        t.lineitem, CLUSTER_NUMBERS, _cluster_categories(t), 6, maxIter=10, tol=1.0e-5
     )
     clustered = model.transform(t.lineitem)
     return clustered.groupBy("cluster", CLUSTER_LABEL).count().orderBy("cluster", CLUSTER_LABEL)
@@ -416,7 +439,7 @@ def kmeans_cluster_labels(t: Tables) -> DataFrame:
 @query("kmeans_anomalies")
 def kmeans_anomalies(t: Tables) -> DataFrame:
     model, vector = cluster.fit_pipeline(
-        t.lineitem, CLUSTER_NUMBERS, CLUSTER_CATEGORIES, 6, maxIter=10, tol=1.0e-5
+        t.lineitem, CLUSTER_NUMBERS, _cluster_categories(t), 6, maxIter=10, tol=1.0e-5
     )
     return cluster.kmeans_anomalies(t.lineitem, model, vector).drop("distance")
 

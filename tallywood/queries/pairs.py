@@ -73,7 +73,16 @@ def row_index_sorted(t: Tables) -> DataFrame:
 
 @query("unique_row_id")
 def unique_row_id(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", F.monotonically_increasing_id().alias("id"))
+    return pairs.with_unique_id(t.orders.select("o_orderkey"))
+
+
+@query(
+    "unique_row_id_count",
+    "SELECT count(*) AS n_rows, count(*) AS n_ids FROM orders",
+)
+def unique_row_id_count(t: Tables) -> DataFrame:
+    ids = unique_row_id(t).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return ids.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"))
 
 
 @query(

@@ -131,6 +131,18 @@ def random_split_sizes(t: Tables) -> DataFrame:
     return sizes[0].unionAll(sizes[1])
 
 
+@query(
+    "key_split_is_whole",
+    "SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_keys FROM lineitem",
+)
+def key_split_is_whole(t: Tables) -> DataFrame:
+    """Both parts together have every row, and no key is in both."""
+    parts = rows.key_split(t.lineitem.select("l_orderkey"), ["l_orderkey"], [0.9, 0.1], seed=1)
+    counted = [groups.count_by(p, "l_orderkey") for p in parts]
+    both = counted[0].unionAll(counted[1])
+    return both.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"))
+
+
 @query("key_split_sizes")
 def key_split_sizes(t: Tables) -> DataFrame:
     parts = rows.key_split(t.orders.select("o_orderkey"), ["o_orderkey"], [0.9, 0.1], seed=1)

@@ -181,7 +181,7 @@ def keyed_upsert_latest(t: Tables) -> DataFrame:
     return stored.select("event_id", "user_id", "event_type", "value")
 
 
-@query("keyed_uuid_write")
+@query("keyed_uuid_write", "SELECT * FROM customer")
 def keyed_uuid_write(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "uuid-keyed")
     sources.keyed_write(t.customer, path)
