@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # A key with fewer rows than this is sorted or joined by one task without harm.
 HEAVY_ROWS = 5_000_000
+# Rows of a heavy key that suffice to tell it from others by a sample.
+SAMPLED_ROWS = 1000
 # How many keys are treated as heavy at most: the largest ones. Every other key
 # then holds at most 1/100,000 of the rows, and the heavy table is small enough
 # to broadcast whatever the data size.
@@ -35,9 +37,21 @@ class HeavyKeys:
 def find_heavy(
     df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS
 ) -> HeavyKeys | None:
-    """Keys with at least ``min_rows`` rows, or None: one pass over the key columns."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return heavy_among(counts, keys, "_n", min_rows)
+    """Keys with about ``min_rows`` rows or more, or None.
+
+    One pass over the key columns. It counts a sample in which such a key still
+    has ``SAMPLED_ROWS`` rows, so that next to nothing is shuffled. The counts
+    only decide how work is split up; no result depends on them.
+    """
+    fraction = min(1.0, SAMPLED_ROWS / min_rows)
+    rows = df.select(*keys)
+    if fraction < 1:
+        rows = rows.sample(withReplacement=False, fraction=fraction, seed=0)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sampled"))
+    # Lets keys at the limit pass whose sample came out somewhat small.
+    slack = 0.9 if fraction < 1 else 1.0
+    estimate = F.ceil(F.col("_sampled") / (fraction * slack)).alias("_n")
+    return heavy_among(counts.select(*keys, estimate), keys, "_n", min_rows)
 
 
 def heavy_among(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import one_hot_index
-from tallywood.learning import cluster, features, tuning
+from tallywood.learning import cluster, features, inspect, tuning
 from tallywood.learning.models import SEED, TRAIN_RATIO, estimator
 from tallywood.operators.groups import exact_sum
 from tallywood.operators.rows import key_split
@@ -345,6 +345,13 @@ def feature_importance_table(t: Tables) -> DataFrame:
     return features.importance_table(model, names, rows)
 
 
+@query("model_parameter_table")
+def model_parameter_table(t: Tables) -> DataFrame:
+    """Settings of the tree that a search chose."""
+    best, _, held_out = _cover_search(t, "tree", {"maxDepth": [2, 4]}, maxBins=40)
+    return inspect.parameter_table(best, held_out)
+
+
 @query("model_save_reload_score")
 def model_save_reload_score(t: Tables) -> DataFrame:
     """Save the tuned search, load it back and score the held-out rows."""

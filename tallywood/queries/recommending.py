@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.learning import recommend
-from tallywood.plans import find_heavy, materialized
+from tallywood.plans import find_heavy, materialized, spread_join
 from tallywood.queries.registry import Tables, query
 from tallywood.queries.relational import ALIAS_SQL, part_aliases
 
@@ -17,8 +17,9 @@ PAIRS_SQL = f"""SELECT "user", item, CAST(sum(plays) AS BIGINT) AS plays
 
 
 def plays(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.select(
+    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    heavy = find_heavy(t.lineitem, ["l_orderkey"])
+    return spread_join(t.lineitem, buyers, ["l_orderkey"], heavy=heavy).select(
         F.col("o_custkey").alias("user"),
         F.col("l_partkey").alias("item"),
         F.col("l_quantity").cast("bigint").alias("plays"),

@@ -347,6 +347,24 @@ def grouping_sets_mixed(t: Tables) -> DataFrame:
     return out.orderBy("area", "member", "product", "goods")
 
 
+@query(
+    "sql_view_grouping_sets",
+    f"""SELECT area, goods, sum(price_cents) AS cents, grouping(area, goods) AS grouping_id
+        FROM (SELECT *, CAST(round(price * 100) AS BIGINT) AS price_cents
+              FROM ({MEMBER_ORDERS_SQL}))
+        GROUP BY GROUPING SETS ((area), (area, goods), (goods))""",
+)
+def sql_view_grouping_sets(t: Tables) -> DataFrame:
+    """The same kind of query as SQL text over a temporary view."""
+    member_orders(t).createOrReplaceTempView("member_orders")
+    return t.spark.sql(
+        """SELECT area, goods, sum(cast(rint(price * 100) AS bigint)) AS cents,
+                  grouping_id(area, goods) AS grouping_id
+           FROM member_orders
+           GROUP BY area, goods GROUPING SETS ((area), (area, goods), (goods))"""
+    )
+
+
 @query(
     "grouping_sets_single",
     f"""SELECT area, member, product,

@@ -18,9 +18,16 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the library's defaults; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app_name: str, master: str | None = None, hive: bool = False, **conf: str
+) -> SparkSession:
+    """Session with the library's defaults; ``conf`` keys use ``__`` for dots.
+
+    ``hive`` keeps the table catalog in a Hive metastore, where Spark has that.
+    """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for key, value in DEFAULTS.items():

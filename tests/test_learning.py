@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, StringIndexer, Tokenizer
 from pyspark.sql import functions as F
 
-from tallywood.learning import cluster, features, models, recommend, tuning
+from tallywood.learning import cluster, features, inspect, models, recommend, tuning
 from tallywood.plans import find_heavy
 
 
@@ -51,6 +51,17 @@ def test_importances_keep_their_names(spark):
     assert (top["feature"], round(top["importance"], 6)) == ("signal", 1.0)
 
 
+def test_learned_rules_and_parameters_can_be_read(spark):
+    frame = spark.range(100).select(
+        F.col("id").cast("double").alias("x"), (F.col("id") > 49).cast("double").alias("label")
+    )
+    stages = [features.VectorAssembler(inputCols=["x"], outputCol="features")]
+    model = Pipeline(stages=[*stages, models.estimator("tree", maxDepth=2)]).fit(frame)
+    assert "feature 0 <= 49" in inspect.rules(model)
+    table = {r["parameter"]: r["value"] for r in inspect.parameter_table(model, frame).collect()}
+    assert table["maxDepth"] == "2" and table["seed"] == str(models.SEED)
+
+
 def test_full_grids_have_the_stated_sizes():
     sizes = {}
     for name, grid in models.GRIDS.items():

@@ -42,6 +42,14 @@ def test_heavy_keys_are_the_large_ones(skewed):
     assert find_heavy(skewed, ["k"], 10**6) is None
 
 
+def test_heavy_keys_of_a_larger_table_are_found_by_sample(spark):
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50_000)
+    frame = spark.range(600_000).select(key.alias("k"))
+    heavy = find_heavy(frame, ["k"], 50_000)
+    (only,) = heavy.frame.collect()
+    assert only["k"] == -1 and 180_000 < only["_n"] < 260_000
+
+
 def test_heavy_groups_are_cut_into_runs(skewed):
     runs, cut = ordered_runs(skewed, ["k"], ["at"], find_heavy(skewed, ["k"], 200))
     assert cut
