@@ -7,7 +7,7 @@ contiguous runs, one per range partition; each run is scanned on its own and
 then gets the carry of the runs before it. The carry table has one row per run,
 so it is bounded by the number of partitions plus the number of heavy keys.
 
-The ranges are checkpointed before their partition numbers are used: bounds are
+The ranges are written out before their partition numbers are used: bounds are
 sampled anew whenever ranges are planned, and rows and carries must agree.
 """
 
@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywood.plans.scratch import checkpoint_root
+from tallywood.plans.scratch import materialized
 from tallywood.plans.skew import HEAVY_ROWS, HeavyKeys, find_heavy, mark_heavy
 
 # monotonically_increasing_id holds the partition above this bit and the
@@ -41,18 +41,16 @@ def ordered_runs(
     The flag tells whether any group was cut.
     """
     if not keys:
-        checkpoint_root(df.sparkSession)
-        sorted_rows = df.orderBy(*order)
-        return sorted_rows.withColumn("_run", F.spark_partition_id()).checkpoint(), True
+        sorted_rows = df.orderBy(*order).withColumn("_run", F.spark_partition_id())
+        return materialized(sorted_rows, "runs"), True
     if heavy is None:
         return df.withColumn("_run", F.lit(-1)), False
-    checkpoint_root(df.sparkSession)
     marked = mark_heavy(df, heavy)
     light = marked.where(F.col("_n").isNull()).drop("_n").withColumn("_run", F.lit(-1))
     hot = marked.where(F.col("_n").isNotNull()).drop("_n")
     n_runs = math.ceil(heavy.rows / heavy.min_rows)
     ranged = hot.repartitionByRange(n_runs, *keys, *order)
-    cut = ranged.withColumn("_run", F.spark_partition_id()).checkpoint()
+    cut = materialized(ranged.withColumn("_run", F.spark_partition_id()), "runs")
     return light.unionByName(cut), True
 
 
@@ -213,8 +211,8 @@ def number_rows(df: DataFrame, order: Sequence[Order], name: str = "idx") -> Dat
     One distributed sort; the positions inside its partitions are shifted by
     the sizes of the partitions before them.
     """
-    checkpoint_root(df.sparkSession)
-    placed = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    in_order = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialized(in_order, "placed")
     placed = placed.withColumn("_run", F.shiftright("_at", POSITION_BITS))
     sizes = placed.groupBy("_run").agg(F.count(F.lit(1)).alias("_size"))
     position = F.col("_at") - F.shiftleft("_run", POSITION_BITS)
