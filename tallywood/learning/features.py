@@ -40,9 +40,13 @@ def claim_features(columns: Sequence[str], index_prefix: str = "idx_") -> list[s
 def low_cardinality(
     df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES
 ) -> list[str]:
-    """Columns with at most ``most`` distinct values, by one sketching pass."""
+    """Columns with at most ``most`` distinct values, by one sketching pass.
+
+    Columns with a single value are left out too: they tell nothing, and
+    one-hot encoding refuses them.
+    """
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).head()
-    return [c for c in columns if sizes[c] <= most]
+    return [c for c in columns if 2 <= sizes[c] <= most]
 
 
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
