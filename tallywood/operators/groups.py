@@ -41,15 +41,19 @@ def grouping_sets(
 ) -> DataFrame:
     """Exact sums ``{output: column}`` for every grouping set.
 
-    Rows are added up by all the keys first, so that only those sums, and not
-    the rows, are repeated per grouping set. ``grouping_id`` tells a rolled-up
-    null from a null in the data.
+    Where one set has all the keys, rows are added up by them first: that
+    shuffle is due anyway, and only its sums, not the rows, are then repeated
+    per set. ``grouping_id`` tells a rolled-up null from a null in the data.
     """
     columns = list(dict.fromkeys(c for one in sets for c in one))
-    finest = df.groupBy(*columns).agg(*[_cents(c).alias(n) for n, c in sums.items()])
-    return finest.groupingSets([[F.col(c) for c in one] for one in sets], *columns).agg(
+    cents = {n: _cents(c) for n, c in sums.items()}
+    rows = df
+    if any(set(one) == set(columns) for one in sets):
+        rows = df.groupBy(*columns).agg(*[e.alias(n) for n, e in cents.items()])
+        cents = {n: F.sum(n) for n in sums}
+    return rows.groupingSets([[F.col(c) for c in one] for one in sets], *columns).agg(
         F.grouping_id().cast("long").alias("grouping_id"),
-        *[(F.sum(n) / 100).cast("double").alias(n) for n in sums],
+        *[(e / 100).cast("double").alias(n) for n, e in cents.items()],
     )
 
 

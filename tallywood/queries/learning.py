@@ -37,12 +37,15 @@ from tallywood.queries.registry import Tables, query
 
 @query(
     "assemble_features",
-    """SELECT l_orderkey, l_linenumber, [l_quantity, l_discount, l_tax] AS features
+    """SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_discount AS f1, l_tax AS f2
        FROM lineitem""",
 )
 def assemble_features(t: Tables) -> DataFrame:
     rows = features.assemble(t.lineitem, ["l_quantity", "l_discount", "l_tax"])
-    return rows.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return rows.select(
+        "l_orderkey", "l_linenumber", *[values[i].alias(f"f{i}") for i in range(3)]
+    )
 
 
 @query(
@@ -97,15 +100,16 @@ def standard_scale(t: Tables) -> DataFrame:
 @query(
     "vector_index",
     """SELECT l_orderkey, l_linenumber,
-              [CAST(dense_rank() OVER (ORDER BY l_linenumber) - 1 AS DOUBLE), l_extendedprice]
-                AS indexed
+              CAST(dense_rank() OVER (ORDER BY l_linenumber) - 1 AS DOUBLE) AS line_index,
+              l_extendedprice AS price
        FROM lineitem""",
 )
 def vector_index(t: Tables) -> DataFrame:
     rows = features.assemble(t.lineitem, ["l_linenumber", "l_extendedprice"])
     indexed = features.index_vector(rows, "features", "indexed", max_categories=40)
+    values = vector_to_array("indexed")
     return indexed.select(
-        "l_orderkey", "l_linenumber", vector_to_array("indexed").alias("indexed")
+        "l_orderkey", "l_linenumber", values[0].alias("line_index"), values[1].alias("price")
     )
 
 

@@ -80,7 +80,7 @@ def popularity_scores(t: Tables) -> DataFrame:
 
 @query(
     "popularity_predict",
-    f"""SELECT p."user", p.item, prediction
+    f"""SELECT p."user", p.item, CAST(prediction AS DOUBLE) AS prediction
         FROM ({PAIRS_SQL}) p LEFT JOIN ({POPULARITY_SQL}) s ON p.item = s.item""",
 )
 def popularity_predict(t: Tables) -> DataFrame:
@@ -88,12 +88,13 @@ def popularity_predict(t: Tables) -> DataFrame:
     train, _ = holdout(whole)
     scores = recommend.popularity(train, "item", "plays")
     heavy = find_heavy(whole, ["item"])
-    return recommend.predict_popularity(whole.select("user", "item"), scores, "item", heavy)
+    found = recommend.predict_popularity(whole.select("user", "item"), scores, "item", heavy)
+    return found.withColumn("prediction", F.col("prediction").cast("double"))
 
 
 @query(
     "popularity_left_join",
-    """SELECT l_orderkey, l_linenumber, item, prediction
+    """SELECT l_orderkey, l_linenumber, item, CAST(prediction AS DOUBLE) AS prediction
        FROM (SELECT l_orderkey, l_linenumber, l_partkey AS item FROM lineitem)
        LEFT JOIN (SELECT l_partkey AS item, CAST(sum(l_linenumber) AS BIGINT) AS prediction
                   FROM lineitem WHERE l_quantity > 45 GROUP BY l_partkey) USING (item)""",
@@ -103,7 +104,8 @@ def popularity_left_join(t: Tables) -> DataFrame:
     large = t.lineitem.where("l_quantity > 45").withColumnRenamed("l_partkey", "item")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"))
     scores = recommend.popularity(large, "item", "l_linenumber")
-    return recommend.predict_popularity(lines, scores, "item", find_heavy(lines, ["item"]))
+    found = recommend.predict_popularity(lines, scores, "item", find_heavy(lines, ["item"]))
+    return found.withColumn("prediction", F.col("prediction").cast("double"))
 
 
 NEGATIVES_SQL = f"""

@@ -16,14 +16,19 @@ from tallywood.queries.registry import Tables, query
 @query(
     "project_rename_cast",
     """SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS id_text, o_totalprice AS loss,
-              CAST(o_orderdate AS DATE) AS day
+              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day
        FROM orders""",
 )
 def project_rename_cast(t: Tables) -> DataFrame:
     return rows.project(
         t.orders,
-        {"id": "o_orderkey", "id_text": "o_orderkey", "loss": "o_totalprice", "day": "o_orderdate"},
-        {"id_text": "string", "day": "date"},
+        {
+            "id": "o_orderkey",
+            "id_text": "o_orderkey",
+            "loss": "o_totalprice",
+            "day": F.col("o_orderdate").cast("date"),
+        },
+        {"id_text": "string", "day": "string"},
     )
 
 
@@ -349,7 +354,8 @@ def grouping_sets_mixed(t: Tables) -> DataFrame:
 
 @query(
     "sql_view_grouping_sets",
-    f"""SELECT area, goods, sum(price_cents) AS cents, grouping(area, goods) AS grouping_id
+    f"""SELECT area, goods, CAST(sum(price_cents) AS BIGINT) AS cents,
+               CAST(grouping(area, goods) AS BIGINT) AS grouping_id
         FROM (SELECT *, CAST(round(price * 100) AS BIGINT) AS price_cents
               FROM ({MEMBER_ORDERS_SQL}))
         GROUP BY GROUPING SETS ((area), (area, goods), (goods))""",

@@ -190,8 +190,9 @@ def keyed_uuid_write(t: Tables) -> DataFrame:
 
 @query(
     "first_purchase_table",
-    """SELECT o_custkey AS user_id, min(o_orderkey) AS order_id, min(o_orderdate) AS order_time,
-              min(paid) AS pay_time, 'orders' AS origin
+    """SELECT o_custkey AS user_id, min(o_orderkey) AS order_id,
+              CAST(min(o_orderdate) AS VARCHAR) AS order_time,
+              CAST(min(paid) AS VARCHAR) AS pay_time, 'orders' AS origin
        FROM orders JOIN (SELECT l_orderkey, min(l_shipdate) AS paid FROM lineitem
                          GROUP BY l_orderkey) ON o_orderkey = l_orderkey
        WHERE o_orderstatus <> 'P' GROUP BY o_custkey""",
@@ -209,4 +210,7 @@ def first_purchase_table(t: Tables) -> DataFrame:
         origin="orders",
     )
     table = sources.overwrite_table(found, scratch_path(t.spark, "first-purchase"))
-    return t.spark.table(table)
+    stored = t.spark.table(table)
+    return project(
+        stored, {c: c for c in stored.columns}, {"order_time": "string", "pay_time": "string"}
+    )

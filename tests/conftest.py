@@ -20,8 +20,6 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
-        # Short jobs on small tables: quick compilation beats optimised code.
-        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

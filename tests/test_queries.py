@@ -19,7 +19,8 @@ SLOW = {  # searches and sweeps, run one by one by the comparison tool
     "linear_regression_predict", "gbt_regression_predict", "rf_regression_predict",
     "logistic_predict", "svm_predict", "rf_classify_predict", "cross_validate_grid",
     "train_validation_grid", "grid_search_leaderboard", "kmeans_cost_sweep",
-    "kmeans_entropy_sweep", "text_classify", "kmeans_cluster_labels",
+    "kmeans_entropy_sweep", "text_classify", "kmeans_cluster_labels", "decision_tree_predict",
+    "model_parameter_table", "categorical_tree_predict",
 }
 
 
