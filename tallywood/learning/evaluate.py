@@ -61,7 +61,8 @@ def threshold_curve(
     all_positive = curve.agg(F.max("tp")).scalar()
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     recall = F.try_divide("tp", all_positive)
-    f1 = F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    both = F.col("precision") + F.col("recall")
+    f1 = F.try_divide(2 * F.col("precision") * F.col("recall"), both)
     return (
         curve.select("threshold", precision.alias("precision"), recall.alias("recall"))
         .withColumn("f1", F.coalesce(f1, F.lit(0.0)))

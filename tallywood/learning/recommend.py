@@ -156,7 +156,9 @@ def user_auc(
         .unionAll(scored(negatives, 0))
         .groupBy(user, "prediction")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .withColumn("_scored_neg", F.when(F.col("prediction").isNotNull(), F.col("neg")).otherwise(0))
+        .withColumn(
+            "_scored_neg", F.when(F.col("prediction").isNotNull(), F.col("neg")).otherwise(0)
+        )
     )
     running = running_sums(
         per_score, ["prediction"], {"_through": "_scored_neg"}, [user], heavy

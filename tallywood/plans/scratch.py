@@ -55,7 +55,9 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+def persisted(
+    df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
+) -> Iterator[DataFrame]:
     """Cache a frame for the block that reads it many times.
 
     The rows are first evened out to partitions of the advisory size, so that
