@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.llm import simhash
+from tallywood.llm import packing, simhash, token_counts
 from tallywood.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,9 +26,28 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json")).drop("ids")
+
+
 @query("op3_simhash_near_duplicates")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, folder, "documents"))
     return found.select(
         "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), limit=1024)
