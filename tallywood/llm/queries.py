@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywood.llm import decontaminate, licences, packing, simhash, token_counts, toxicity
+from tallywood.llm import (
+    decontaminate,
+    hidden_markov,
+    licences,
+    packing,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+    url_models,
+)
 from tallywood.llm.frames import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +49,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, vocabulary("word_bpe_49k.json")).drop("ids")
 
 
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@query("op2_url_language_models", url_models.judge_sql(URL_RULES))
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return url_models.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 @query("op3_simhash_near_duplicates")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, folder, "documents"))
@@ -47,6 +71,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_hidden_markov_scores")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return hidden_markov.hidden_markov_scores(docs, id_remainder("doc_id", 5) == 1)
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -122,6 +152,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_virtual_slot_shards")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
 @query("op10_licence_scan")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = licences.scan(table(spark, folder, "documents").select("doc_id", "text"))

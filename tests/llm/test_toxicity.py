@@ -9,7 +9,7 @@ from tallywood.llm.queries import QUERIES
 
 
 def test_query_on_held_out_rows(spark, folder):
-    folder = folder.replace("sf0.001", "sf0.01")
+    folder = folder.replace("sf0.001", "sf0.1")
     toxic = dict(
         spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic").collect()
     )
