@@ -11,6 +11,7 @@ from tallywood.llm import (
     decontaminate,
     hidden_markov,
     licences,
+    neighbours,
     packing,
     sharding,
     simhash,
@@ -152,6 +153,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_learned_partition_search")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op9_virtual_slot_shards")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents")).select(
