@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import cache
@@ -24,35 +25,56 @@ END = np.uint32(1).tobytes()
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies.
+
+    Bytes that are printable in Latin-1 stand for themselves, the others for the
+    characters from U+0100 on, in order.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
 class WordIds(Memory):
-    """Little-endian ids of words, for a tokenizer that drops white space.
+    """Little-endian ids of words, for a lower-casing tokenizer that drops white space.
 
     Words between white space are normalised and split on their own, so the ids of
-    a text are those of its words one after another.
+    a text are those of its words one after another. A word of Latin letters is one
+    piece for the tokenizer, which its vocabulary then splits directly; all others
+    take the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.encoder = tokenizer(path)
+        self.vocabulary = self.encoder.model
+        self.letters = _byte_letters()
+        self.mark = {m: self.whole(m) for m in ".,"}
 
     def value(self, piece: str) -> bytes:
-        if len(piece) > 1 and piece[-1] in ".," and piece[:-1].isalpha() and piece.isascii():
+        word = piece[:-1] if piece[-1] in ".," else piece
+        # Latin letters below U+0250 are composed as they stand; only the dotted capital
+        # I among them has no lower case of one letter.
+        if not (word.isalpha() and max(word) < "\u0250" and "\u0130" not in word):
+            return self.whole(piece)
+        if word is not piece:
             # Letters and one mark: two pieces for the tokenizer as well.
-            return self[piece[:-1]] + self[piece[-1]]
-        if piece.isascii() and not piece.islower() and piece.isalpha():
-            return self[piece.lower()]
-        ids = self.encoder.encode(piece, add_special_tokens=False).ids
+            return self[word] + self.mark[piece[-1]]
+        lower = word.lower()
+        if not lower.isascii():
+            lower = lower.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.vocabulary.tokenize(lower)]).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        ids = self.encoder.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
     def text(self, text: str) -> bytes:
         if _ODD_SPACE.search(text):
-            return self.value_of_whole(text)
+            return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
-    def value_of_whole(self, text: str) -> bytes:
-        ids = self.encoder.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
 
 @cache
 def word_ids(path: str) -> WordIds:

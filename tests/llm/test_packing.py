@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallywood.llm import packing
@@ -67,6 +69,17 @@ def test_odd_rows(spark, encoder):
     assert packing.pack(docs.limit(0), PATH).count() == 0
 
 
+WORDS = st.text(alphabet="abzABZéÉßÄöñŒİıſŉΣσ.,'’1-\u0301\u00a0 \n日<|endoftext|>ª", max_size=14)
+
+
+@settings(max_examples=600, deadline=None)
+@given(WORDS)
+def test_ids_are_those_of_the_tokenizer(text):
+    encoder = packing.tokenizer(PATH)
+    expected = np.array(encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert packing.word_ids(PATH).text(text) == expected
+
+
 def test_sequences_hold_the_ids(spark, encoder):
     docs = spark.createDataFrame([(i, f"word {i} " * (i % 7)) for i in range(60)], "doc_id int, text string")
     packed = packing.pack(docs, PATH, capacity=32, keep_ids=True)
