@@ -19,7 +19,7 @@ from tallywood.llm import (
     toxicity,
     url_models,
 )
-from tallywood.llm.frames import id_remainder, table
+from tallywood.llm.frames import id_remainder, shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +29,11 @@ def query(name: str, sql: str | None = None):
     """Register a function of (spark, folder) under a name, with its SQL twin."""
 
     def register(build):
-        QUERIES[name] = build
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            shipped(spark)
+            return build(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return build
