@@ -16,7 +16,7 @@ from tallywood.functions import squared_distance
 from tallywood.learning.features import category_stages
 from tallywood.operators.groups import weighted_entropy
 from tallywood.operators.ranking import at_least_nth_largest
-from tallywood.plans import find_heavy, persisted, spread_join
+from tallywood.plans import persisted
 
 # Iteration settings, numbers of clusters tried, and the number of
 # clusters and the rank of the threshold used to find anomalies.
@@ -36,7 +36,7 @@ def feature_stages(
     stages: list = []
     inputs = list(numeric)
     if categorical:
-        encoding, vectors = category_stages(categorical)
+        encoding, vectors = category_stages(categorical, invalid="keep")
         stages += encoding
         inputs += vectors
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
@@ -90,14 +90,13 @@ def entropy_sweep(
     prepared: DataFrame, features: str, label: str, ks: Sequence[int], seed: int = 1, **params
 ) -> DataFrame:
     """Size-weighted label entropy of the clusters, per number of clusters."""
-    out = None
     with persisted(prepared.select(features, label)) as rows:
-        models = [(k, fit_kmeans(rows, features, k, seed, **params)) for k in ks]
-    for k, model in models:
-        clustered = model.transform(prepared.select(features, label))
-        scored = weighted_entropy(clustered, CLUSTER, label).select(F.lit(k).alias("k"), "entropy")
-        out = scored if out is None else out.unionAll(scored)
-    return out
+        found = []
+        for k in ks:
+            clustered = fit_kmeans(rows, features, k, seed, **params).transform(rows)
+            # One number per k, worked out while the rows are cached.
+            found.append((k, weighted_entropy(clustered, CLUSTER, label).head()["entropy"]))
+    return prepared.sparkSession.createDataFrame(found, "k int, entropy double")
 
 
 def center_table(model: KMeansModel, df: DataFrame) -> DataFrame:
@@ -116,7 +115,7 @@ def distance_to_center(
     df: DataFrame, group: str, vector: str, centers: DataFrame, name: str = "distance"
 ) -> DataFrame:
     """Squared distance of every row to the center of its group."""
-    joined = spread_join(df, centers, [group], "inner", find_heavy(df, [group]))
+    joined = df.join(centers, group)
     measured = joined.withColumn(name, squared_distance(F.col(vector), F.col("center")))
     return measured.drop("center")
 

@@ -18,11 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import heavy_among, number_rows, spread_join
-
-# Spark's indexer holds all values of a column on the driver, so the columns
-# that go into a model are checked against this first.
-MOST_CATEGORIES = 10_000
+from tallywood.plans import number_rows
 
 # Fixed names of the claims data: the categorical prefix, the columns that are
 # not features, and the columns with too many categories.
@@ -31,43 +27,46 @@ NOT_FEATURES = ("id", "label")
 TOO_MANY_CATEGORIES = ("cat109", "cat110", "cat112", "cat113", "cat116")
 
 
-def claim_features(columns: Sequence[str], index_prefix: str = "idx_") -> list[str]:
+def claim_features(columns: Sequence[str], index_prefix: str = "coded_") -> list[str]:
     """Feature columns of the claims data by the naming rule; categoricals prefixed."""
     kept = [c for c in columns if c not in NOT_FEATURES and c not in TOO_MANY_CATEGORIES]
     return [index_prefix + c if c.startswith(CATEGORY_PREFIX) else c for c in kept]
 
 
-def low_cardinality(
-    df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES
-) -> list[str]:
-    """Columns with at most ``most`` distinct values, by one sketching pass.
-
-    Columns with a single value are left out too: they tell nothing, and
-    one-hot encoding refuses them.
-    """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).head()
-    return [c for c in columns if 2 <= sizes[c] <= most]
-
-
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=name).transform(df)
 
 
 def frequency_index(
-    df: DataFrame, column: str, name: str, fit_on: DataFrame | None = None
+    df: DataFrame, column: str, name: str, fit_on: DataFrame | None = None, keep: bool = False
 ) -> DataFrame:
     """Index values from 0 by falling frequency, equal counts by value.
 
     Works for any number of distinct values: they are counted, sorted and
     numbered across the cluster and joined back. ``fit_on`` may be a union of
-    the tables that share the index.
+    the tables that share the index. A null or unknown value has a null index, or with
+    ``keep`` the one after the last.
     """
     counts = (fit_on if fit_on is not None else df).where(F.col(column).isNotNull())
     counts = counts.groupBy(column).agg(F.count(F.lit(1)).alias("_count"))
     numbered = number_rows(counts, [F.desc("_count"), column], "_place")
-    heavy = heavy_among(numbered, [column], "_count")
     index = numbered.select(column, F.col("_place").cast("double").alias(name))
-    return spread_join(df, index, [column], "left", heavy)
+    joined = df.join(index, column, "left").select(*df.columns, name)
+    if not keep:
+        return joined
+    return joined.withColumn(name, F.coalesce(name, F.lit(float(index.count()))))
+
+
+def index_categories(
+    df: DataFrame, names: dict[str, str], fit_on: DataFrame | None = None
+) -> DataFrame:
+    """Add the frequency index of each column of ``{column: name}``.
+
+    Every column is indexed on its own non-null values, whatever the others hold.
+    """
+    for column, name in names.items():
+        df = frequency_index(df, column, name, fit_on, keep=True)
+    return df
 
 
 def category_stages(
@@ -85,12 +84,13 @@ def category_stages(
     return stages, vectors
 
 
-def one_hot(df: DataFrame, index: str, name: str, size: int, drop_last: bool = True) -> DataFrame:
-    """0/1 columns ``<name>_0`` ... of an index column with ``size`` values."""
+def one_hot(df: DataFrame, index: str, name: str, drop_last: bool = True) -> DataFrame:
+    """0/1 columns ``<name>_0`` ... of an index column, as many as it has values."""
     encoder = OneHotEncoder(inputCols=[index], outputCols=["_vec"], dropLast=drop_last)
-    encoded = encoder.fit(df).transform(df)
+    fitted = encoder.fit(df)
+    encoded = fitted.transform(df)
     flags = vector_to_array("_vec")
-    width = size - 1 if drop_last else size
+    width = fitted.categorySizes[0] - (1 if drop_last else 0)
     return encoded.select(
         *df.columns, *[F.get(flags, F.lit(i)).alias(f"{name}_{i}") for i in range(width)]
     )

@@ -41,7 +41,7 @@ CHURN_DROPPED = (
     "state_code", "area_code", "voice_mail_plan", "total_day_charge", "total_evening_charge",
 )
 CHURN_FEATURES = [
-    "account_length", "iplanIndex", "num_voice_mail", "total_day_mins", "total_day_calls",
+    "account_length", "plan_code", "num_voice_mail", "total_day_mins", "total_day_calls",
     "total_evening_mins", "total_evening_calls", "total_night_mins", "total_night_calls",
     "total_international_mins", "total_international_calls", "total_international_num_calls",
 ]
@@ -57,24 +57,30 @@ class Trained:
     predictions: DataFrame
 
 
-def claim_stages(every_row: DataFrame, columns: Sequence[str], one_hot: bool) -> list:
-    """Stages to claim features; categories are indexed on train and test together."""
+def encode_claims(
+    frames: Sequence[DataFrame], every_row: DataFrame, columns: Sequence[str], one_hot: bool
+) -> list[DataFrame]:
+    """Frames with the vector ``features``; categories are indexed on ``every_row``.
+
+    The encoding is worked out once, so a search that follows only fits its model.
+    """
     names = features.claim_features(columns)
-    chosen = [c for c in columns if f"idx_{c}" in names]
-    categories = features.low_cardinality(every_row, chosen) if chosen else []
-    left_out = {f"idx_{c}" for c in chosen if c not in categories}
-    names = [n for n in names if n not in left_out]
-    if not categories:
-        return [VectorAssembler(inputCols=names, outputCol="features")]
-    outputs = [f"idx_{c}" for c in categories]
-    between = [f"idx1_{c}" for c in categories] if one_hot else outputs
-    indexer = StringIndexer(inputCols=categories, outputCols=between)
-    fitted = indexer.fit(every_row.select(*categories).dropna())
-    stages: list = [fitted]
-    if one_hot:
-        encoder = OneHotEncoder(inputCols=between, outputCols=outputs)
-        stages.append(encoder.fit(fitted.transform(every_row.select(*categories).dropna())))
-    return [*stages, VectorAssembler(inputCols=names, outputCol="features")]
+    coded = {c: f"coded_{c}" for c in columns if f"coded_{c}" in names}
+    indexed = [
+        materialized(features.index_categories(f, coded, every_row), "indexed") for f in frames
+    ]
+    inputs = list(names)
+    stages: list = []
+    if one_hot and coded:
+        flags = [f"flags_{c}" for c in coded]
+        encoder = OneHotEncoder(
+            inputCols=list(coded.values()), outputCols=flags, handleInvalid="keep"
+        )
+        stages.append(encoder)
+        inputs = [n if n not in coded.values() else f"flags_{n.removeprefix('coded_')}" for n in names]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
+    fitted = Pipeline(stages=stages).fit(indexed[0])
+    return [fitted.transform(f) for f in indexed]
 
 
 def claims_severity(
@@ -90,20 +96,19 @@ def claims_severity(
     ``forest_regression``. Reports: ``train``, ``validation``, ``grid``.
     """
     every_row = rows.union_rows(train, test, ["loss"])
-    labelled = train.withColumnRenamed("loss", "label").dropna()
+    labelled = train.withColumnRenamed("loss", "label").dropna(subset=["label"])
+    numbers = [c for c in labelled.columns if not c.startswith(features.CATEGORY_PREFIX)]
+    labelled, unlabelled = encode_claims(
+        [labelled.dropna(subset=numbers), test.fillna(0.0)], every_row, labelled.columns,
+        one_hot=kind == "linear_regression",
+    )
     fitting, validation = rows.key_split(labelled, ["id"], CLAIM_SPLIT, CLAIM_SEED)
     model = models.estimator(kind)
-    stages = claim_stages(every_row, labelled.columns, one_hot=kind == "linear_regression")
     evaluator = RegressionEvaluator()
     best = tuning.cross_validate(
-        fitting,
-        Pipeline(stages=[*stages, model]),
-        tuning.param_grid(grid, model),
-        evaluator,
-        folds,
-        models.SEED,
+        fitting, model, tuning.param_grid(grid, model), evaluator, folds, models.SEED
     )
-    scored = best.transform(test.fillna(0.0))
+    scored = best.transform(unlabelled)
     return Trained(
         best,
         {
@@ -111,7 +116,7 @@ def claims_severity(
             "validation": evaluate.regression_report(best.transform(validation)),
             "grid": tuning.leaderboard(best, evaluator, train),
         },
-        scored.select(F.col("id").cast("int").alias("id"), F.col("prediction").alias("loss")),
+        scored.select(F.col("id").cast("bigint").alias("id"), F.col("prediction").alias("loss")),
     )
 
 
@@ -131,7 +136,7 @@ def churn_classification(
     balanced = rows.stratified_sample(train, "churn", fractions, CHURN_SEED)
     model = models.estimator(kind)
     stages = [
-        StringIndexer(inputCol="international_plan", outputCol="iplanIndex"),
+        StringIndexer(inputCol="international_plan", outputCol="plan_code"),
         StringIndexer(
             inputCol="churn", outputCol="label", stringOrderType="alphabetAsc"
         ),
@@ -161,6 +166,7 @@ def churn_classification(
 
 def churn_totals(accounts: DataFrame) -> DataFrame:
     """Charges per churn class and in total, largest total first."""
+    # The names of the columns of the result.
     measures = {
         "TDC": "total_day_charge",
         "TEC": "total_evening_charge",
@@ -236,8 +242,9 @@ def network_anomalies(
     """Records farthest from their cluster's center, original columns only."""
     text = {*layouts.NETWORK_CATEGORIES, layouts.NETWORK_LABEL}
     numbers = [c for c in records.columns if c not in text]
-    categories = features.low_cardinality(records, layouts.NETWORK_CATEGORIES)
-    model, vector = cluster.fit_pipeline(records, numbers, categories, k, **cluster.ITERATIONS)
+    model, vector = cluster.fit_pipeline(
+        records, numbers, layouts.NETWORK_CATEGORIES, k, **cluster.ITERATIONS
+    )
     return cluster.kmeans_anomalies(records, model, vector, rank).drop("distance")
 
 
@@ -245,22 +252,19 @@ def recommender_auc(
     plays: DataFrame, aliases: DataFrame, seed: int = 0, **als_params
 ) -> DataFrame:
     """Mean per-user AUC of popularity and of factorisation, on a held-out tenth."""
-    heavy_plays = find_heavy(plays, ["item"])
     counts = materialized(
-        recommend.interaction_counts(plays, "user", "item", "plays", aliases, heavy_plays),
-        "interactions",
+        recommend.interaction_counts(plays, "user", "item", "plays", aliases), "interactions"
     )
     train, held_out = rows.key_split(counts, ["user", "item"], [0.9, 0.1], seed)
     negatives = materialized(
         recommend.sample_negatives(held_out, counts, "user", "item", seed), "negatives"
     )
     heavy_users = find_heavy(held_out, ["user"])
-    heavy_items = find_heavy(counts, ["item"])
     scores = recommend.popularity(train, "item", "plays")
     model = recommend.fit_als(train, "user", "item", "plays", seed, **als_params)
 
     def by_popularity(pairs: DataFrame) -> DataFrame:
-        return recommend.predict_popularity(pairs, scores, "item", heavy_items)
+        return recommend.predict_popularity(pairs, scores, "item")
 
     out = None
     for name, predict in (("popularity", by_popularity), ("factors", model.transform)):

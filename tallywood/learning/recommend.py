@@ -18,7 +18,6 @@ from tallywood.plans import (
     number_within,
     persisted,
     running_sums,
-    spread_join,
 )
 from tallywood.plans.skew import HEAVY_ROWS
 
@@ -39,11 +38,10 @@ def interaction_counts(
     item: str,
     count: str,
     aliases: DataFrame | None = None,
-    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Summed count per (user, item); ``aliases`` has columns ``item``, ``alias``."""
     if aliases is not None:
-        plays = resolve_alias(plays, item, aliases, "item", "alias", heavy)
+        plays = resolve_alias(plays, item, aliases, "item", "alias")
     return plays.groupBy(user, item).agg(F.sum(count).alias(count))
 
 
@@ -52,11 +50,9 @@ def popularity(train: DataFrame, item: str, count: str) -> DataFrame:
     return train.groupBy(item).agg(F.sum(count).alias("prediction"))
 
 
-def predict_popularity(
-    pairs: DataFrame, scores: DataFrame, item: str, heavy: HeavyKeys | None = None
-) -> DataFrame:
+def predict_popularity(pairs: DataFrame, scores: DataFrame, item: str) -> DataFrame:
     """Pairs with their item's popularity; null for an item never seen."""
-    return spread_join(pairs, scores, [item], "left", heavy)
+    return pairs.join(scores, item, "left")
 
 
 def fit_als(
@@ -110,6 +106,8 @@ def sample_negatives(
     heavy = heavy_among(wanted, [user], "_wanted", min_rows)
     catalog = number_rows(items.select(item).distinct(), [item], "_at")
     n_items = catalog.count()
+    if not n_items:
+        return pairs
     stride = next(s for s in STRIDES if n_items % s)
     placed = number_within(pairs, [user], [item], "_place", heavy)
     place = F.col("_place")
@@ -121,7 +119,7 @@ def sample_negatives(
     others = drawn.join(pairs, [user, item], "left_anti")
     ranked = number_within(others, [user], ["_draw"], "_rank", heavy)
     return (
-        spread_join(ranked, wanted, [user], "inner", heavy)
+        ranked.join(wanted, user)
         .where(F.col("_rank") < F.col("_wanted"))
         .select(user, item)
     )

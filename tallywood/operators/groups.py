@@ -7,53 +7,43 @@ one partial row per task, however many of them there are.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-def exact_sum(column: str | Column) -> Column:
-    """Sum of amounts with two decimals, free of rounding drift, as a double."""
-    return (_cents(column) / 100).cast("double")
-
-
-def _cents(column: str | Column) -> Column:
-    """Sum of an amount in whole cents; the sum has 28 digits.
-
-    Going over a whole number is much cheaper than a cast from double to
-    decimal.
-    """
-    value = F.col(column) if isinstance(column, str) else column
-    return F.sum(F.rint(value * 100).cast("bigint").cast("decimal(18,0)"))
-
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
-    """Exact sums ``{output: column}`` per key."""
-    return df.groupBy(*keys).agg(*[exact_sum(c).alias(n) for n, c in sums.items()])
+    """Sums ``{output: column}`` per key, of the columns as they are.
+
+    Money that must add up exactly comes as a decimal column.
+    """
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
 
 
 def grouping_sets(
     df: DataFrame, sets: Sequence[Sequence[str]], sums: Mapping[str, str]
 ) -> DataFrame:
-    """Exact sums ``{output: column}`` for every grouping set.
+    """Sums ``{output: column}`` for every grouping set.
 
     Where one set has all the keys, rows are added up by them first: that
     shuffle is due anyway, and only its sums, not the rows, are then repeated
     per set. ``grouping_id`` tells a rolled-up null from a null in the data.
     """
     columns = list(dict.fromkeys(c for one in sets for c in one))
-    cents = {n: _cents(c) for n, c in sums.items()}
+    added = {n: F.sum(c) for n, c in sums.items()}
     rows = df
     if any(set(one) == set(columns) for one in sets):
-        rows = df.groupBy(*columns).agg(*[e.alias(n) for n, e in cents.items()])
-        cents = {n: F.sum(n) for n in sums}
+        rows = df.groupBy(*columns).agg(*[e.alias(n) for n, e in added.items()])
+        added = {n: F.sum(n) for n in sums}
     return rows.groupingSets([[F.col(c) for c in one] for one in sets], *columns).agg(
         F.grouping_id().cast("long").alias("grouping_id"),
-        *[(e / 100).cast("double").alias(n) for n, e in cents.items()],
+        *[e.alias(n) for n, e in added.items()],
     )
 
 
@@ -61,12 +51,10 @@ def class_totals(
     df: DataFrame, key: str, measures: Mapping[str, str], total: str = "total"
 ) -> DataFrame:
     """Sum of each measure and of all of them, largest total first."""
-    sums = [_cents(c) for c in measures.values()]
-    whole = sums[0]
-    for one in sums[1:]:
-        whole = whole + one
-    named = [(s / 100).cast("double").alias(n) for n, s in zip(measures, sums, strict=True)]
-    out = df.groupBy(key).agg(*named, (whole / 100).cast("double").alias(total))
+    sums = [F.sum(c) for c in measures.values()]
+    whole = reduce(Column.__add__, sums)
+    named = [s.alias(n) for n, s in zip(measures, sums, strict=True)]
+    out = df.groupBy(key).agg(*named, whole.alias(total))
     return out.orderBy(F.desc(total), key)
 
 

@@ -1,9 +1,8 @@
 """Joins.
 
 None of these names a join strategy: Spark broadcasts a side whose size it has
-measured to be small, and splits skewed partitions of a shuffled join. Where
-keys that hold a large share of the rows are known or cheap to find,
-``spread_join`` salts them beforehand.
+measured to be small, and at run time splits the skewed partitions of a shuffled
+join by blocks of rows, equal rows too.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import HeavyKeys, find_heavy, number_rows, spread_join
+from tallywood.plans import number_rows
 
 
 def join_multiplicity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -28,30 +27,23 @@ def join_multiplicity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def resolve_alias(
-    df: DataFrame,
-    column: str,
-    aliases: DataFrame,
-    source: str,
-    target: str,
-    heavy: HeavyKeys | None = None,
+    df: DataFrame, column: str, aliases: DataFrame, source: str, target: str
 ) -> DataFrame:
     """Replace ids that have an alias; ``aliases`` has one row per ``source``."""
     lookup = aliases.select(F.col(source).alias(column), F.col(target).alias("_target"))
-    joined = spread_join(df, lookup, [column], "left", heavy)
+    joined = df.join(lookup, column, "left")
     resolved = F.coalesce(F.col("_target"), F.col(column)).alias(column)
     return joined.select(*[resolved if c == column else F.col(c) for c in df.columns])
 
 
 def keep_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in ``known``."""
-    heavy = find_heavy(df, [key])
-    return spread_join(df, known.select(key).distinct(), [key], "left_semi", heavy)
+    return df.join(known.select(key), key, "left_semi")
 
 
 def drop_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in ``known``."""
-    heavy = find_heavy(df, [key])
-    return spread_join(df, known.select(key).distinct(), [key], "left_anti", heavy)
+    return df.join(known.select(key), key, "left_anti")
 
 
 def zip_rows(**columns: tuple[DataFrame, Sequence[str]]) -> DataFrame:

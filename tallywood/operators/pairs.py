@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from tallywood.functions import suffixed
 from tallywood.functions.text import WHITE_SPACE
-from tallywood.operators.groups import count_by, exact_sum
-from tallywood.plans import materialized, number_within
+from tallywood.operators.groups import count_by
+from tallywood.plans import materialized, number_within, running_sums
 from tallywood.plans.skew import HEAVY_ROWS
 
-# Values joined into one text; a longer group continues in further parts.
-PART_VALUES = 100_000
-
 
 def count_words(df: DataFrame, text: str) -> DataFrame:
     """Occurrences of every word, cut at white space."""
@@ -33,7 +30,7 @@ def partitioned_sum(
     The sums are laid out rather than the rows: same result, but a hot key is
     one row by then.
     """
-    return df.groupBy(key).agg(exact_sum(value).alias(name)).repartition(partitions, key)
+    return df.groupBy(key).agg(F.sum(value).alias(name)).repartition(partitions, key)
 
 
 def fold_by_key(df: DataFrame, key: str, value: str, start: int, name: str = "total") -> DataFrame:
@@ -43,7 +40,7 @@ def fold_by_key(df: DataFrame, key: str, value: str, start: int, name: str = "to
 
 def average_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """Sum, count and average per key."""
-    out = df.groupBy(key).agg(exact_sum(value).alias("total"), F.count(value).alias("n"))
+    out = df.groupBy(key).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
     return out.withColumn("average", F.col("total") / F.col("n"))
 
 
@@ -57,70 +54,70 @@ def map_values(df: DataFrame, value: str, suffix: str = "_") -> DataFrame:
     return df.withColumn(value, suffixed(F.col(value), suffix))
 
 
-def concat_by_key(
-    df: DataFrame,
-    key: str,
-    value: str,
-    separator: str,
-    part_values: int = PART_VALUES,
-    min_rows: int = HEAVY_ROWS,
+def ordered_values(
+    df: DataFrame, key: str, value: str, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Sorted values of a key joined to text, as ``(key, part, n_values, joined)``.
+    """The values of each key in order: ``(key, position, value, n)``.
 
-    A group of up to ``part_values`` values is one row, part 0. A longer one
-    goes on in parts 1, 2, ...; the parts in turn hold all its values, and no
-    task holds more than one part.
+    One row per distinct value, with the number of times it occurs and the position,
+    from 0, of the first of them. Equal rows are counted before they are shuffled, so
+    neither a key nor a value with any share of the rows is gathered anywhere.
     """
-    placed = number_within(
-        df.select(key, F.col(value).alias("_value")),
-        [key],
-        ["_value"],
-        "_at",
-        min_rows=min_rows,
+    counts = materialized(
+        df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n")), "counted-values"
     )
-    parts = placed.withColumn("part", F.floor(F.col("_at") / part_values).cast("bigint"))
-    in_order = F.sort_array(F.collect_list(F.struct("_at", "_value")))
-    joined = F.transform(in_order, lambda row: row["_value"].cast("string"))
-    return parts.groupBy(key, "part").agg(
-        F.count(F.lit(1)).alias("n_values"), F.concat_ws(separator, joined).alias("joined")
+    through = running_sums(counts, [value], {"_through": "n"}, [key], min_rows=min_rows)
+    return through.select(key, (F.col("_through") - F.col("n")).alias("position"), value, "n")
+
+
+def distinct_values(
+    df: DataFrame, key: str, value: str, min_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """The distinct values of each key in order: ``(key, position, value)``, from 0."""
+    distinct = materialized(df.select(key, value).distinct(), "distinct-values")
+    return number_within(distinct, [key], [value], "position", min_rows=min_rows).select(
+        key, "position", value
     )
 
 
-def joined_set(
-    df: DataFrame,
-    key: str,
-    value: str,
-    name: str,
-    separator: str = ",",
-    part_values: int = PART_VALUES,
-    min_rows: int = HEAVY_ROWS,
+def joined_text(
+    values: DataFrame, key: str, value: str, separator: str, size: int, name: str = "joined"
 ) -> DataFrame:
-    """Distinct values of a key, sorted and joined to text, as ``(key, part, <name>)``.
+    """Values with positions as text, ``size`` places to a row: ``(key, part, <name>)``.
 
-    No set can outgrow the column's own distinct values. Where a sketch finds
-    those few, each task gathers the sets of its rows before the shuffle;
-    otherwise the values go into parts as in ``concat_by_key``.
+    ``size`` is the caller's statement of how many values one text may hold; every key
+    has its places 0 to size - 1 in part 0, the next ones in part 1, and so on. A value
+    that occurs ``n`` times is repeated as often.
     """
-    domain = df.agg(F.approx_count_distinct(value)).head()[0]
-    if domain <= part_values:
-        in_order = F.sort_array(F.collect_set(value))
-        texts = F.transform(in_order, lambda one: one.cast("string"))
-        sets = df.groupBy(key).agg(F.concat_ws(separator, texts).alias(name))
-        return sets.select(key, F.lit(0).cast("bigint").alias("part"), name)
-    distinct = materialized(df.select(key, value).distinct(), "distinct-values")
-    grouped = concat_by_key(distinct, key, value, separator, part_values, min_rows)
-    return grouped.select(key, "part", F.col("joined").alias(name))
+    rows = values if "n" in values.columns else values.withColumn("n", F.lit(1).cast("bigint"))
+    last = F.col("position") + F.col("n") - 1
+    first_part, last_part = F.floor(F.col("position") / size), F.floor(last / size)
+    parts = rows.withColumn("part", F.explode(F.sequence(first_part, last_part)))
+    start = F.greatest(F.col("position"), F.col("part") * size)
+    end = F.least(last, (F.col("part") + 1) * size - 1)
+    runs = parts.select(
+        key, "part", start.alias("_at"), (end - start + 1).cast("int").alias("_n"),
+        F.col(value).cast("string").alias("_value"),
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("_at", "_n", "_value")))
+    repeated = F.flatten(F.transform(in_order, lambda r: F.array_repeat(r["_value"], r["_n"])))
+    return runs.groupBy(key, "part").agg(F.concat_ws(separator, repeated).alias(name))
 
 
-def words_by_frequency(
-    word_counts: DataFrame, part_values: int = PART_VALUES, min_rows: int = HEAVY_ROWS
-) -> DataFrame:
-    """Words that occur equally often, sorted and run together, per frequency.
+def words_by_frequency(word_counts: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Words that occur equally often, in order: ``(n, position, word)`` from ``(word, n)``."""
+    return distinct_values(word_counts, "n", "word", min_rows)
+
 
-    Takes ``(word, n)`` and returns ``(n, part, words)``; see
-    ``concat_by_key`` for the parts. The counts are written out once, as they
-    are read twice and go back to all the text.
+def shared_frequencies(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All words of two tables whose frequency occurs in both: ``(n, side, position, word)``.
+
+    ``left`` and ``right`` come from ``words_by_frequency``; ``side`` is ``left`` or
+    ``right``. Every word of either side comes out once, so two large groups of one
+    frequency do not multiply.
     """
-    counts = materialized(word_counts, "word-counts")
-    grouped = concat_by_key(counts, "n", "word", "", part_values, min_rows)
-    return grouped.select("n", "part", F.col("joined").alias("words"))
+    both = left.select("n").distinct().intersect(right.select("n"))
+    sides = left.select("n", F.lit("left").alias("side"), "position", "word").unionAll(
+        right.select("n", F.lit("right").alias("side"), "position", "word")
+    )
+    return sides.join(both, "n", "left_semi")

@@ -5,7 +5,7 @@ from tallywood.plans.ordered import (
     running_sums,
 )
 from tallywood.plans.scratch import checkpoint_root, materialized, persisted, scratch_path
-from tallywood.plans.skew import HeavyKeys, find_heavy, heavy_among, spread_join
+from tallywood.plans.skew import HeavyKeys, find_heavy, heavy_among
 
 __all__ = [
     "HeavyKeys",
@@ -19,5 +19,4 @@ __all__ = [
     "running_first_last",
     "running_sums",
     "scratch_path",
-    "spread_join",
 ]

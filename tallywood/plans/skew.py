@@ -1,4 +1,4 @@
-"""Hot keys: finding them and spreading joins over them."""
+"""Hot keys of ordered scans. Joins leave them to Spark, which splits them at run time."""
 
 from __future__ import annotations
 
@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 HEAVY_ROWS = 5_000_000
 # Rows of a heavy key that suffice to tell it from others by a sample.
 SAMPLED_ROWS = 1000
-# How many keys are treated as heavy at most: the largest ones. Every other key
-# then holds at most 1/100,000 of the rows, and the heavy table is small enough
-# to broadcast whatever the data size.
-MOST_HEAVY = 100_000
+# A heavy key holds at least this share of all rows, so there are at most 10,000 of
+# them whatever the data size, and no other key is a larger part of a task's work
+# than one of 10,000 partitions.
+HEAVY_SHARE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -28,11 +28,6 @@ class HeavyKeys:
     rows: int
     min_rows: int
 
-    def renamed(self, *keys: str) -> HeavyKeys:
-        """The same keys under other column names."""
-        frame = self.frame.toDF(*keys, "_n")
-        return HeavyKeys(frame, keys, self.rows, self.min_rows)
-
 
 def find_heavy(
     df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS
@@ -59,14 +54,13 @@ def heavy_among(
 ) -> HeavyKeys | None:
     """Like ``find_heavy``, from counts per key that are there already.
 
-    At most the ``MOST_HEAVY`` largest keys come to the driver; held there,
-    every later use sees the same ones.
+    The heavy keys, which ``HEAVY_SHARE`` bounds in number, come to the driver; held
+    there, every later use sees the same ones.
     """
-    largest = (
-        counts.select(*keys, F.col(count).cast("bigint").alias("_n"))
-        .where(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MOST_HEAVY)
+    whole = counts.agg(F.sum(count)).head()[0] or 0
+    least = max(min_rows, whole * HEAVY_SHARE)
+    largest = counts.select(*keys, F.col(count).cast("bigint").alias("_n")).where(
+        F.col("_n") >= least
     )
     rows = largest.collect()
     if not rows:
@@ -83,36 +77,3 @@ def mark_heavy(df: DataFrame, heavy: HeavyKeys) -> DataFrame:
     )
     marked = df.join(F.broadcast(flags), same, "left")
     return marked.drop(*[f"_heavy_{k}" for k in heavy.keys])
-
-
-def spread_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    heavy: HeavyKeys | None = None,
-) -> DataFrame:
-    """Join rows to a table on keys that may be very unevenly filled.
-
-    Rows of a heavy key go to as many salts as the key has multiples of
-    ``min_rows``, and only the matching lookup rows are repeated that often.
-    The salt is a hash of the row, so a retried task sends every row where it
-    went before.
-
-    Without ``heavy`` this is Spark's join: it broadcasts a lookup whose
-    measured size allows it, and otherwise splits the skewed partitions it
-    finds at run time.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot spread a {how} join")
-    keys = list(keys)
-    if heavy is None:
-        return fact.join(lookup, keys, how)
-    salts = F.ceil(F.col("_n") / F.lit(heavy.min_rows)).cast("int")
-    is_heavy = F.col("_n").isNotNull()
-    salt = F.pmod(F.xxhash64(*fact.columns), salts).cast("int")
-    every_salt = F.when(is_heavy, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
-    salted_fact = mark_heavy(fact, heavy).withColumn("_salt", F.when(is_heavy, salt).otherwise(0))
-    salted_lookup = mark_heavy(lookup, heavy).withColumn("_salt", F.explode(every_salt))
-    joined = salted_fact.drop("_n").join(salted_lookup.drop("_n"), [*keys, "_salt"], how)
-    return joined.drop("_salt")

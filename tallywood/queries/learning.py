@@ -1,7 +1,9 @@
 """Features, models, tuning and clustering on whole tables.
 
-Searches run over small grids here; ``learning.models.GRIDS`` has the full
-ones.
+The regressions, logistic, SVM, text and recommender queries run the whole preset
+grids of ``learning.models.GRIDS`` with their folds. The tree and forest searches of
+hundreds of points run as jobs, not as registered queries; a tree or forest here is
+fitted once with the settings given.
 """
 
 from __future__ import annotations
@@ -14,22 +16,30 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import (
     HashingTF,
+    OneHotEncoder,
     StringIndexer,
     Tokenizer,
     VectorAssembler,
     VectorIndexer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.ml.tuning import CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.functions import one_hot_index
+from tallywood.functions import one_hot_index, squared_distance
 from tallywood.learning import cluster, features, inspect, tuning
-from tallywood.learning.models import SEED, TRAIN_RATIO, estimator
-from tallywood.operators.groups import exact_sum
+from tallywood.learning.models import (
+    DEFAULT_FOLDS,
+    GRIDS,
+    SEED,
+    TRAIN_RATIO,
+    estimator,
+    folds_of,
+)
 from tallywood.operators.rows import key_split
-from tallywood.plans import scratch_path
+from tallywood.plans import materialized, scratch_path
 from tallywood.queries.registry import Tables, query
 
 # --- features ------------------------------------------------------------------
@@ -75,7 +85,7 @@ FLAG_INDEX_SQL = """SELECT l_returnflag,
 def one_hot_encode(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
     indexed = features.frequency_index(lines, "l_returnflag", "flag_index")
-    encoded = features.one_hot(indexed, "flag_index", "flag", 3)
+    encoded = features.one_hot(indexed, "flag_index", "flag")
     return encoded.select("l_orderkey", "l_linenumber", "flag_0", "flag_1")
 
 
@@ -125,11 +135,19 @@ def tokenize_text(t: Tables) -> DataFrame:
     return tokens.select("doc_id", F.size("words").cast("bigint").alias("n_tokens"))
 
 
+def _filled(vector: Column) -> Column:
+    """The non-zero places of a vector, as an array of (place, value)."""
+    values = F.transform(
+        vector_to_array(vector), lambda v, i: F.struct(i.alias("place"), v.alias("value"))
+    )
+    return F.filter(values, lambda p: p["value"] != 0)
+
+
 @query("hashing_tf")
 def hashing_tf(t: Tables) -> DataFrame:
     tokens = features.tokenize(t.documents.select("doc_id", "text"), "text")
     hashed = features.hash_terms(tokens, "words", "terms", 1000)
-    return hashed.select("doc_id", vector_to_array("terms").alias("terms"))
+    return hashed.select("doc_id", _filled(F.col("terms")).alias("terms"))
 
 
 @query(
@@ -142,7 +160,7 @@ def hashing_tf(t: Tables) -> DataFrame:
 )
 def hashing_tf_totals(t: Tables) -> DataFrame:
     """Hashed frequencies add up to the number of tokens, collisions or not."""
-    total = F.aggregate("terms", F.lit(0.0), lambda a, b: a + b)
+    total = F.aggregate("terms", F.lit(0.0), lambda a, b: a + b["value"])
     return hashing_tf(t).select("doc_id", total.alias("total"))
 
 
@@ -154,7 +172,8 @@ CHURN_FEATURES = ["n_orders", "spent", "mean_price", "c_nationkey", "segment_ind
 def churn_rows(t: Tables) -> DataFrame:
     """Customers with their order totals; the ones with a low balance churn."""
     totals = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).cast("double").alias("n_orders"), exact_sum("o_totalprice").alias("spent")
+        F.count(F.lit(1)).cast("double").alias("n_orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spent"),
     )
     rows = t.customer.join(totals, "c_custkey", "left").fillna(0.0, ["n_orders", "spent"])
     mean = F.coalesce(F.try_divide("spent", "n_orders"), F.lit(0.0))
@@ -190,35 +209,43 @@ def claim_rows(t: Tables) -> DataFrame:
     )
 
 
-def claim_stages(rows: DataFrame, one_hot: bool) -> list:
-    """Stages for the categories that are few enough; only linear models need one-hot."""
-    categories = features.low_cardinality(rows, CLAIM_CATEGORIES)
-    encoding, encoded = features.category_stages(categories, one_hot, invalid="keep")
-    assembler = VectorAssembler(inputCols=[*CLAIM_NUMBERS, *encoded], outputCol="features")
-    return [*encoding, assembler]
+def claim_vectors(rows: DataFrame, one_hot: bool) -> DataFrame:
+    """Rows with their feature vector, encoded once; only linear models need one-hot."""
+    codes = {c: f"{c}_code" for c in CLAIM_CATEGORIES}
+    indexed = features.index_categories(rows, codes)
+    inputs = list(codes.values())
+    stages: list = []
+    if one_hot:
+        flags = [f"{c}_flags" for c in CLAIM_CATEGORIES]
+        stages.append(OneHotEncoder(inputCols=inputs, outputCols=flags))
+        inputs = flags
+    stages.append(VectorAssembler(inputCols=[*CLAIM_NUMBERS, *inputs], outputCol="features"))
+    return Pipeline(stages=stages).fit(indexed).transform(indexed)
 
 
-def claim_split(t: Tables) -> list[DataFrame]:
-    return key_split(claim_rows(t), ["l_orderkey", "l_linenumber"], [0.75, 0.25], seed=12345)
+def claim_split(rows: DataFrame) -> list[DataFrame]:
+    return key_split(rows, ["l_orderkey", "l_linenumber"], [0.75, 0.25], seed=12345)
 
 
-def _claim_predictions(t: Tables, kind: str, grid: dict, one_hot: bool, **params) -> DataFrame:
-    train, held_out = claim_split(t)
-    model = estimator(kind, **params)
-    search = Pipeline(stages=[*claim_stages(train, one_hot), model])
+def _claim_predictions(t: Tables, kind: str) -> DataFrame:
+    """The preset search of a regression, and its predictions of the held-out rows."""
+    vectors = claim_vectors(claim_rows(t), one_hot=kind == "linear_regression")
+    train, held_out = claim_split(materialized(vectors, "claims"))
+    model = estimator(kind)
     best = tuning.cross_validate(
-        train, search, tuning.param_grid(grid, model), RegressionEvaluator(), 2, SEED
+        train, model, tuning.param_grid(GRIDS[kind], model), RegressionEvaluator(),
+        folds_of(kind), SEED,
     )
     return best.transform(held_out).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
-def _churn_search(t: Tables, kind: str, grid: dict, **params):
+def _churn_search(t: Tables, kind: str, grid: dict, folds: int = DEFAULT_FOLDS, **params):
     train, held_out = churn_split(t)
     model = estimator(kind, **params)
     search = Pipeline(stages=[*churn_stages(), model])
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="prediction")
     best = tuning.cross_validate(
-        train, search, tuning.param_grid(grid, model), evaluator, 2, SEED
+        train, search, tuning.param_grid(grid, model), evaluator, folds, SEED
     )
     return best, evaluator, held_out
 
@@ -228,59 +255,107 @@ def _churn_predictions(t: Tables, kind: str, grid: dict, **params) -> DataFrame:
     return best.transform(held_out).select("c_custkey", "label", "prediction")
 
 
+def _churn_fit(t: Tables, kind: str, **params) -> DataFrame:
+    """One model with given settings, and its predictions of the held-out rows."""
+    train, held_out = churn_split(t)
+    model = Pipeline(stages=[*churn_stages(), estimator(kind, **params)]).fit(train)
+    return model.transform(held_out).select("c_custkey", "label", "prediction")
+
+
 # --- models ------------------------------------------------------------------------
 
 
 @query("linear_regression_predict")
 def linear_regression_predict(t: Tables) -> DataFrame:
-    grid = {"regParam": [0.001], "elasticNetParam": [0.001, 0.5]}
-    return _claim_predictions(t, "linear_regression", grid, True, maxIter=100, tol=1e-6)
+    return _claim_predictions(t, "linear_regression")
 
 
 @query("gbt_regression_predict")
 def gbt_regression_predict(t: Tables) -> DataFrame:
-    return _claim_predictions(
-        t, "gbt_regression", {"maxBins": [7, 9]}, False, maxIter=3, maxDepth=4
-    )
+    return _claim_predictions(t, "gbt_regression")
 
 
 @query("rf_regression_predict")
 def rf_regression_predict(t: Tables) -> DataFrame:
-    return _claim_predictions(
-        t, "forest_regression", {"maxDepth": [4, 6]}, False, numTrees=5, maxBins=23
-    )
+    return _claim_predictions(t, "forest_regression")
+
+
+@query(
+    "regression_splits_are_whole",
+    """SELECT l_orderkey, l_linenumber, CAST(2 * l_quantity - 50 * l_discount + l_orderkey % 7 AS DOUBLE)
+              AS label
+       FROM lineitem""",
+)
+def regression_splits_are_whole(t: Tables) -> DataFrame:
+    """Training and held-out rows of the regressions: every row, once, with its label."""
+    train, held_out = claim_split(claim_vectors(claim_rows(t), one_hot=False))
+    columns = ["l_orderkey", "l_linenumber", "label"]
+    return train.select(*columns).unionAll(held_out.select(*columns))
+
+
+@query(
+    "saved_regressor_scores_as_before",
+    "SELECT true AS held_out_rows, true AS same_scores",
+)
+def saved_regressor_scores_as_before(t: Tables) -> DataFrame:
+    """Save a forest regressor, load it back, and compare all held-out scores."""
+    vectors = materialized(claim_vectors(claim_rows(t), one_hot=False), "claims")
+    train, held_out = claim_split(vectors)
+    model = estimator("forest_regression", numTrees=5, maxDepth=10, maxBins=23).fit(train)
+    path = scratch_path(t.spark, "forest")
+    model.write().overwrite().save(path)
+    again = RandomForestRegressionModel.load(path)
+    twice = again.transform(model.transform(held_out).withColumnRenamed("prediction", "before"))
+    same = F.coalesce(F.bool_and(F.col("before") == F.col("prediction")), F.lit(True))
+    return twice.agg((F.count(F.lit(1)) > 0).alias("held_out_rows"), same.alias("same_scores"))
 
 
 @query("logistic_predict")
 def logistic_predict(t: Tables) -> DataFrame:
-    grid = {"regParam": [0.01, 1.0]}
-    return _churn_predictions(t, "logistic", grid, maxIter=20, tol=1e-8)
+    return _churn_predictions(t, "logistic", GRIDS["logistic"])
 
 
 @query("svm_predict")
 def svm_predict(t: Tables) -> DataFrame:
-    return _churn_predictions(t, "svm", {"regParam": [0.1, 1.0]}, maxIter=10, tol=1e-4)
+    return _churn_predictions(t, "svm", GRIDS["svm"])
 
 
 @query("decision_tree_predict")
 def decision_tree_predict(t: Tables) -> DataFrame:
-    grid = {"impurity": ["gini", "entropy"]}
-    return _churn_predictions(t, "tree", grid, maxDepth=5, maxBins=31)
+    return _churn_fit(t, "tree", impurity="entropy", maxDepth=10, maxBins=31)
 
 
 @query("rf_classify_predict")
 def rf_classify_predict(t: Tables) -> DataFrame:
-    return _churn_predictions(t, "forest", {"maxDepth": [3, 5]}, numTrees=5)
+    return _churn_fit(t, "forest", maxDepth=10, numTrees=50, maxBins=45)
 
 
 @query("cross_validate_grid")
 def cross_validate_grid(t: Tables) -> DataFrame:
-    """Parameter sets of a cross validation with their mean metric."""
+    """Parameter sets of a ten-fold cross validation with their mean metric."""
     grid = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5]}
     best, evaluator, held_out = _churn_search(t, "tree", grid)
     return tuning.leaderboard(best, evaluator, held_out)
 
 
+@query(
+    "leaderboard_is_sorted",
+    "SELECT CAST(4 AS BIGINT) AS n, true AS places_are_whole, true AS falling",
+)
+def leaderboard_is_sorted(t: Tables) -> DataFrame:
+    """The leaderboard has every parameter set once, the best first."""
+    board = cross_validate_grid(t)
+    later = board.select((F.col("place") - 1).alias("place"), F.col("metric").alias("next"))
+    found = board.join(later, "place", "left")
+    return found.agg(
+        F.count_distinct("params").alias("n"),
+        (F.sort_array(F.collect_list("place")) == F.array(*[F.lit(i) for i in range(1, 5)])).alias(
+            "places_are_whole"
+        ),
+        F.bool_and(F.coalesce(F.col("metric") >= F.col("next"), F.lit(True))).alias("falling"),
+    )
+
+
 COVER_NUMBERS = ["o_totalprice", "o_custkey"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -319,7 +394,7 @@ def _cover_search(t: Tables, kind: str, grid: dict, **params):
 
 @query("categorical_tree_predict")
 def categorical_tree_predict(t: Tables) -> DataFrame:
-    best, _, held_out = _cover_search(t, "tree", {"maxDepth": [1, 5]}, maxBins=40)
+    best, _, held_out = _cover_search(t, "tree", GRIDS["cover_tree"])
     return best.transform(held_out).select("o_orderkey", "label", "prediction")
 
 
@@ -327,7 +402,7 @@ def categorical_tree_predict(t: Tables) -> DataFrame:
 def train_validation_grid(t: Tables) -> DataFrame:
     """The forest search: held-out predictions of the best parameters."""
     best, _, held_out = _cover_search(
-        t, "forest", {"numTrees": [1, 4]}, impurity="entropy", maxDepth=5, maxBins=40
+        t, "forest", GRIDS["cover_forest"], impurity="entropy", maxDepth=20, maxBins=300
     )
     return best.transform(held_out).select("o_orderkey", "label", "prediction")
 
@@ -341,14 +416,23 @@ def grid_search_leaderboard(t: Tables) -> DataFrame:
 
 @query("feature_importance_table")
 def feature_importance_table(t: Tables) -> DataFrame:
-    rows = claim_rows(t)
-    model = Pipeline(
-        stages=[*claim_stages(rows, False), estimator("forest_regression", numTrees=5, maxDepth=5)]
-    ).fit(rows)
-    names = features.feature_names(model.transform(rows), "features")
+    rows = claim_vectors(claim_rows(t), one_hot=False)
+    model = Pipeline(stages=[estimator("forest_regression", numTrees=5, maxDepth=5)]).fit(rows)
+    names = features.feature_names(rows, "features")
     return features.importance_table(model, names, rows)
 
 
+@query(
+    "importances_add_up",
+    "SELECT CAST(5 AS BIGINT) AS n, CAST(1.0 AS DOUBLE) AS total, true AS positive",
+)
+def importances_add_up(t: Tables) -> DataFrame:
+    return feature_importance_table(t).agg(
+        F.count_distinct("feature").alias("n"), F.round(F.sum("importance"), 6).alias("total"),
+        F.bool_and(F.col("importance") >= 0).alias("positive"),
+    )
+
+
 @query("model_parameter_table")
 def model_parameter_table(t: Tables) -> DataFrame:
     """Settings of the tree that a search chose."""
@@ -366,6 +450,21 @@ def model_save_reload_score(t: Tables) -> DataFrame:
     return again.transform(held_out).select("c_custkey", "label", "prediction")
 
 
+@query(
+    "reloaded_search_scores_as_before",
+    "SELECT true AS held_out_rows, true AS same_scores",
+)
+def reloaded_search_scores_as_before(t: Tables) -> DataFrame:
+    best, _, held_out = _churn_search(t, "tree", {"maxDepth": [3, 5]}, folds=2)
+    path = scratch_path(t.spark, "tuned-model")
+    best.write().overwrite().save(path)
+    before = best.transform(held_out).select("c_custkey", F.col("prediction").alias("before"))
+    after = CrossValidatorModel.load(path).transform(held_out)
+    both = after.join(before, "c_custkey")
+    same = F.coalesce(F.bool_and(F.col("before") == F.col("prediction")), F.lit(True))
+    return both.agg((F.count(F.lit(1)) > 0).alias("held_out_rows"), same.alias("same_scores"))
+
+
 @query("text_classify")
 def text_classify(t: Tables) -> DataFrame:
     """Quality of the labelled texts, learned from them; every text is scored."""
@@ -374,10 +473,12 @@ def text_classify(t: Tables) -> DataFrame:
     )
     tokenizer = Tokenizer(inputCol="text", outputCol="words")
     hashing = HashingTF(inputCol="words", outputCol="features")
-    model = estimator("logistic", maxIter=10)
-    grid = tuning.param_grid({"numFeatures": [100, 1000], "regParam": [0.1]}, hashing, model)
+    model = estimator("logistic")
+    grid = tuning.param_grid(GRIDS["text"], hashing, model)
     search = Pipeline(stages=[tokenizer, hashing, model])
-    best = tuning.cross_validate(labelled, search, grid, BinaryClassificationEvaluator(), 2, SEED)
+    best = tuning.cross_validate(
+        labelled, search, grid, BinaryClassificationEvaluator(), folds_of("text"), SEED
+    )
     scored = best.transform(t.documents.select("doc_id", "text"))
     return scored.select(
         "doc_id", vector_to_array("probability").alias("probability"), "prediction"
@@ -391,10 +492,6 @@ CLUSTER_CATEGORIES = ["l_returnflag", "l_linestatus"]
 CLUSTER_LABEL = "l_linenumber"
 
 
-def _cluster_categories(t: Tables) -> list[str]:
-    return features.low_cardinality(t.lineitem, CLUSTER_CATEGORIES)
-
-
 def _vectors(t: Tables) -> DataFrame:
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
     return t.embeddings.select("vec_id", "label", vector.alias("features"))
@@ -407,6 +504,25 @@ def kmeans_assign(t: Tables) -> DataFrame:
     return model.transform(vectors).select("vec_id", "label", "cluster")
 
 
+@query(
+    "points_are_at_their_nearest_center",
+    "SELECT vec_id, true AS nearest FROM embeddings",
+)
+def points_are_at_their_nearest_center(t: Tables) -> DataFrame:
+    """The assigned center is as near as any center: one row per vector."""
+    vectors = _vectors(t)
+    model = cluster.fit_kmeans(vectors, "features", 10, **cluster.ITERATIONS)
+    placed = model.transform(vectors).select(
+        "vec_id", "cluster", vector_to_array("features").alias("point")
+    )
+    centers = F.array(*[
+        F.array(*[F.lit(float(x)) for x in center]) for center in model.clusterCenters()
+    ])
+    away = F.transform(centers, lambda c: squared_distance(F.col("point"), c))
+    own = F.get(away, F.col("cluster"))
+    return placed.select("vec_id", (own <= F.array_min(away) + 1e-9).alias("nearest"))
+
+
 @query("cluster_centers_table")
 def cluster_centers_table(t: Tables) -> DataFrame:
     vectors = _vectors(t)
@@ -419,29 +535,32 @@ def kmeans_cost_sweep(t: Tables) -> DataFrame:
     variants = {
         "raw": ((), False),
         "scaled": ((), True),
-        "mixed": (_cluster_categories(t), True),
+        "mixed": (CLUSTER_CATEGORIES, True),
     }
     rows = []
     for name, (categories, scaled) in variants.items():
         stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, categories, scaled)
         prepared = cluster.prepare(t.lineitem, stages)
-        costs = cluster.cost_sweep(prepared, vector, [2, 5], maxIter=10, tol=1.0e-5)
+        ks = cluster.K_SCALED if scaled else cluster.K_RAW
+        costs = cluster.cost_sweep(prepared, vector, ks, **cluster.ITERATIONS)
         rows += [(name, k, cost) for k, cost in costs]
     return t.spark.createDataFrame(rows, "variant string, k int, cost double")
 
 
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(t: Tables) -> DataFrame:
-    stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, _cluster_categories(t), True)
+    stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, CLUSTER_CATEGORIES, True)
     prepared = cluster.prepare(t.lineitem, stages)
-    return cluster.entropy_sweep(prepared, vector, CLUSTER_LABEL, [4, 8], maxIter=10, tol=1.0e-5)
+    return cluster.entropy_sweep(
+        prepared, vector, CLUSTER_LABEL, cluster.K_SCALED, **cluster.ITERATIONS
+    )
 
 
 @query("kmeans_cluster_labels")
 def kmeans_cluster_labels(t: Tables) -> DataFrame:
     """Rows per cluster and label."""
     model, _ = cluster.fit_pipeline(
-        t.lineitem, CLUSTER_NUMBERS, _cluster_categories(t), 6, maxIter=10, tol=1.0e-5
+        t.lineitem, CLUSTER_NUMBERS, CLUSTER_CATEGORIES, cluster.K_ANOMALIES, **cluster.ITERATIONS
     )
     clustered = model.transform(t.lineitem)
     return clustered.groupBy("cluster", CLUSTER_LABEL).count().orderBy("cluster", CLUSTER_LABEL)
@@ -450,7 +569,7 @@ def kmeans_cluster_labels(t: Tables) -> DataFrame:
 @query("kmeans_anomalies")
 def kmeans_anomalies(t: Tables) -> DataFrame:
     model, vector = cluster.fit_pipeline(
-        t.lineitem, CLUSTER_NUMBERS, _cluster_categories(t), 6, maxIter=10, tol=1.0e-5
+        t.lineitem, CLUSTER_NUMBERS, CLUSTER_CATEGORIES, cluster.K_ANOMALIES, **cluster.ITERATIONS
     )
     return cluster.kmeans_anomalies(t.lineitem, model, vector).drop("distance")
 

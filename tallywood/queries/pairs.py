@@ -27,7 +27,9 @@ def word_count(t: Tables) -> DataFrame:
        FROM lineitem GROUP BY l_suppkey""",
 )
 def repartition_then_sum(t: Tables) -> DataFrame:
-    return pairs.partitioned_sum(t.lineitem, "l_suppkey", "l_extendedprice", 2)
+    lines = t.lineitem.select("l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    sums = pairs.partitioned_sum(lines, "l_suppkey", "price", 2)
+    return sums.withColumn("total", F.col("total").cast("double"))
 
 
 @query(
@@ -39,26 +41,23 @@ def fold_by_key(t: Tables) -> DataFrame:
     return pairs.fold_by_key(t.lineitem, "l_suppkey", "l_linenumber", 2)
 
 
-def frequency_sql(table: str) -> str:
-    return f"""SELECT n, part, string_agg(word, '' ORDER BY word) AS words
-               FROM (SELECT word, n, CAST((row_number() OVER (PARTITION BY n ORDER BY word) - 1)
-                                          // {pairs.PART_VALUES} AS BIGINT) AS part
-                     FROM ({words_sql(table)}))
-               GROUP BY n, part"""
+def frequency_sql(table: str, side: str) -> str:
+    return f"""SELECT n, '{side}' AS side, word,
+                      row_number() OVER (PARTITION BY n ORDER BY word) - 1 AS position
+               FROM ({words_sql(table)})"""
 
 
 @query(
     "words_by_frequency_join",
-    f"""SELECT a.n, a.part, a.words AS left_words, b.words AS right_words
-        FROM ({frequency_sql("documents")}) a
-        JOIN ({frequency_sql("conversations")}) b ON a.n = b.n AND a.part = b.part""",
+    f"""WITH a AS ({frequency_sql("documents", "left")}),
+             b AS ({frequency_sql("conversations", "right")})
+        SELECT n, side, position, word FROM a WHERE n IN (SELECT n FROM b)
+        UNION ALL SELECT n, side, position, word FROM b WHERE n IN (SELECT n FROM a)""",
 )
 def words_by_frequency_join(t: Tables) -> DataFrame:
     left = pairs.words_by_frequency(pairs.count_words(t.documents, "text"))
     right = pairs.words_by_frequency(pairs.count_words(t.conversations, "text"))
-    return left.withColumnRenamed("words", "left_words").join(
-        right.withColumnRenamed("words", "right_words"), ["n", "part"]
-    )
+    return pairs.shared_frequencies(left, right)
 
 
 @query(
@@ -94,21 +93,35 @@ def unique_row_id_count(t: Tables) -> DataFrame:
        FROM lineitem GROUP BY l_partkey""",
 )
 def avg_by_combiner(t: Tables) -> DataFrame:
-    return pairs.average_by_key(t.lineitem, "l_partkey", "l_quantity")
+    lines = t.lineitem.select("l_partkey", F.col("l_quantity").cast("decimal(18,2)").alias("quantity"))
+    found = pairs.average_by_key(lines, "l_partkey", "quantity")
+    total = F.col("total").cast("double")
+    return found.select("l_partkey", total.alias("total"), "n", (total / F.col("n")).alias("average"))
 
 
 @query(
     "concat_by_key",
-    f"""SELECT l_suppkey, part, count(*) AS n_values,
-               string_agg(CAST(l_orderkey AS VARCHAR), '@' ORDER BY l_orderkey) AS joined
-        FROM (SELECT l_suppkey, l_orderkey,
-                     CAST((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) - 1)
-                          // {pairs.PART_VALUES} AS BIGINT) AS part
-              FROM lineitem)
-        GROUP BY l_suppkey, part""",
+    """SELECT l_suppkey, CAST(sum(n) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) - n AS BIGINT)
+                AS position, l_orderkey, n
+       FROM (SELECT l_suppkey, l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)""",
 )
 def concat_by_key(t: Tables) -> DataFrame:
-    return pairs.concat_by_key(t.lineitem, "l_suppkey", "l_orderkey", "@")
+    return pairs.ordered_values(t.lineitem, "l_suppkey", "l_orderkey")
+
+
+@query(
+    "concat_by_key_text",
+    """SELECT l_suppkey, part, string_agg(CAST(l_orderkey AS VARCHAR), '@' ORDER BY l_orderkey) AS joined
+       FROM (SELECT l_suppkey, l_orderkey,
+                    CAST((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) - 1) // 1000
+                         AS BIGINT) AS part
+             FROM lineitem)
+       GROUP BY l_suppkey, part""",
+)
+def concat_by_key_text(t: Tables) -> DataFrame:
+    """The orders of a supplier as text, a thousand to a row."""
+    values = pairs.ordered_values(t.lineitem, "l_suppkey", "l_orderkey")
+    return pairs.joined_text(values, "l_suppkey", "l_orderkey", "@", size=1000)
 
 
 @query("map_values_suffix", "SELECT o_orderkey, o_orderstatus || '_' AS o_orderstatus FROM orders")

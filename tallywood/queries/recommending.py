@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.learning import recommend
-from tallywood.plans import find_heavy, materialized, spread_join
+from tallywood.plans import find_heavy, materialized
 from tallywood.queries.registry import Tables, query
 from tallywood.queries.relational import ALIAS_SQL, part_aliases
 
@@ -18,8 +18,7 @@ PAIRS_SQL = f"""SELECT "user", item, CAST(sum(plays) AS BIGINT) AS plays
 
 def plays(t: Tables) -> DataFrame:
     buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    heavy = find_heavy(t.lineitem, ["l_orderkey"])
-    return spread_join(t.lineitem, buyers, ["l_orderkey"], heavy=heavy).select(
+    return t.lineitem.join(buyers, "l_orderkey").select(
         F.col("o_custkey").alias("user"),
         F.col("l_partkey").alias("item"),
         F.col("l_quantity").cast("bigint").alias("plays"),
@@ -51,11 +50,7 @@ def written_pairs(t: Tables) -> DataFrame:
         GROUP BY 1, 2""",
 )
 def interaction_counts(t: Tables) -> DataFrame:
-    heavy = find_heavy(t.lineitem, ["l_partkey"])
-    heavy = heavy and heavy.renamed("item")
-    return recommend.interaction_counts(
-        plays(t), "user", "item", "plays", part_aliases(t), heavy
-    )
+    return recommend.interaction_counts(plays(t), "user", "item", "plays", part_aliases(t))
 
 
 @query(
@@ -87,8 +82,7 @@ def popularity_predict(t: Tables) -> DataFrame:
     whole = written_pairs(t)
     train, _ = holdout(whole)
     scores = recommend.popularity(train, "item", "plays")
-    heavy = find_heavy(whole, ["item"])
-    found = recommend.predict_popularity(whole.select("user", "item"), scores, "item", heavy)
+    found = recommend.predict_popularity(whole.select("user", "item"), scores, "item")
     return found.withColumn("prediction", F.col("prediction").cast("double"))
 
 
@@ -104,7 +98,7 @@ def popularity_left_join(t: Tables) -> DataFrame:
     large = t.lineitem.where("l_quantity > 45").withColumnRenamed("l_partkey", "item")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"))
     scores = recommend.popularity(large, "item", "l_linenumber")
-    found = recommend.predict_popularity(lines, scores, "item", find_heavy(lines, ["item"]))
+    found = recommend.predict_popularity(lines, scores, "item")
     return found.withColumn("prediction", F.col("prediction").cast("double"))
 
 
@@ -155,10 +149,9 @@ def mean_user_auc_popularity(t: Tables) -> DataFrame:
     whole = written_pairs(t)
     train, held_out = holdout(whole)
     scores = recommend.popularity(train, "item", "plays")
-    heavy_items = find_heavy(whole, ["item"])
 
     def predict(rows: DataFrame) -> DataFrame:
-        return recommend.predict_popularity(rows, scores, "item", heavy_items)
+        return recommend.predict_popularity(rows, scores, "item")
 
     negatives = recommend.sample_negatives(held_out, whole, "user", "item")
     found = recommend.mean_user_auc(
@@ -168,7 +161,7 @@ def mean_user_auc_popularity(t: Tables) -> DataFrame:
 
 
 def _als(train: DataFrame):
-    return recommend.fit_als(train, "user", "item", "plays", seed=11, maxIter=3)
+    return recommend.fit_als(train, "user", "item", "plays", seed=11)
 
 
 @query("als_predict")

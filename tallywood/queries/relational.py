@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallywood.functions import parse_or
 from tallywood.operators import groups, joins, pairs, ranking, rows, windows
-from tallywood.plans import find_heavy, spread_join
 from tallywood.queries.registry import Tables, query
 
 # --- rows --------------------------------------------------------------------
@@ -278,8 +277,7 @@ ALIAS_SQL = """SELECT p_partkey AS item, p_partkey - p_partkey % 10 AS alias
 )
 def alias_broadcast_resolve(t: Tables) -> DataFrame:
     plays = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"))
-    heavy = find_heavy(plays, ["item"])
-    return joins.resolve_alias(plays, "item", part_aliases(t), "item", "alias", heavy)
+    return joins.resolve_alias(plays, "item", part_aliases(t), "item", "alias")
 
 
 @query(
@@ -317,23 +315,27 @@ def member_orders(t: Tables) -> DataFrame:
     buyers = t.customer.join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     ).select(F.col("c_custkey").alias("o_custkey"), "n_name", "c_mktsegment")
-    joined = spread_join(t.orders, buyers, ["o_custkey"], heavy=find_heavy(t.orders, ["o_custkey"]))
-    return joined.select(
+    return t.orders.join(buyers, "o_custkey").select(
         F.col("n_name").alias("area"),
         F.col("o_orderstatus").alias("goods"),
         F.col("c_mktsegment").alias("member"),
         F.col("o_orderpriority").alias("product"),
-        F.col("o_totalprice").alias("price"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
     )
 
 
+def _as_double(frame: DataFrame, *columns: str) -> DataFrame:
+    return frame.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 @query(
     "group_sum_three_keys",
     f"""SELECT area, member, product, CAST(sum(CAST(price AS DECIMAL(18, 2))) AS DOUBLE) AS total
         FROM ({MEMBER_ORDERS_SQL}) GROUP BY area, member, product""",
 )
 def group_sum_three_keys(t: Tables) -> DataFrame:
-    return groups.sum_by(member_orders(t), ["area", "member", "product"], {"total": "price"})
+    sums = groups.sum_by(member_orders(t), ["area", "member", "product"], {"total": "price"})
+    return _as_double(sums, "total")
 
 
 @query(
@@ -349,7 +351,7 @@ def group_sum_three_keys(t: Tables) -> DataFrame:
 def grouping_sets_mixed(t: Tables) -> DataFrame:
     sets = [["area"], ["goods"], ["member", "product"], ["area", "member", "product", "goods"]]
     out = groups.grouping_sets(member_orders(t), sets, {"total": "price"})
-    return out.orderBy("area", "member", "product", "goods")
+    return _as_double(out, "total").orderBy("area", "member", "product", "goods")
 
 
 @query(
@@ -364,7 +366,7 @@ def sql_view_grouping_sets(t: Tables) -> DataFrame:
     """The same kind of query as SQL text over a temporary view."""
     member_orders(t).createOrReplaceTempView("member_orders")
     return t.spark.sql(
-        """SELECT area, goods, sum(cast(rint(price * 100) AS bigint)) AS cents,
+        """SELECT area, goods, sum(cast(price * 100 AS bigint)) AS cents,
                   grouping_id(area, goods) AS grouping_id
            FROM member_orders
            GROUP BY area, goods GROUPING SETS ((area), (area, goods), (goods))"""
@@ -381,7 +383,7 @@ def sql_view_grouping_sets(t: Tables) -> DataFrame:
 )
 def grouping_sets_single(t: Tables) -> DataFrame:
     sets = [["area"], ["member"], ["product"]]
-    return groups.grouping_sets(member_orders(t), sets, {"total": "price"})
+    return _as_double(groups.grouping_sets(member_orders(t), sets, {"total": "price"}), "total")
 
 
 @query(
@@ -427,7 +429,9 @@ def group_sum_shortcut(t: Tables) -> DataFrame:
 )
 def class_total_measures(t: Tables) -> DataFrame:
     measures = {"quantity": "l_quantity", "price": "l_extendedprice", "tax": "l_tax"}
-    return groups.class_totals(t.lineitem, "l_returnflag", measures)
+    amounts = {c: F.col(c).cast("decimal(18,2)") for c in measures.values()}
+    lines = t.lineitem.select("l_returnflag", *[e.alias(c) for c, e in amounts.items()])
+    return _as_double(groups.class_totals(lines, "l_returnflag", measures), *measures, "total")
 
 
 @query(
@@ -453,12 +457,16 @@ def conditional_ratio_mean(t: Tables) -> DataFrame:
 
 @query(
     "set_concat_per_group",
-    """SELECT user_id, CAST(0 AS BIGINT) AS part,
-              string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
-       FROM events GROUP BY user_id""",
+    """SELECT user_id, part, string_agg(event_type, ',' ORDER BY event_type) AS event_types
+       FROM (SELECT user_id, event_type,
+                    (row_number() OVER (PARTITION BY user_id ORDER BY event_type) - 1) // 50 AS part
+             FROM (SELECT DISTINCT user_id, event_type FROM events))
+       GROUP BY user_id, part""",
 )
 def set_concat_per_group(t: Tables) -> DataFrame:
-    return pairs.joined_set(t.events, "user_id", "event_type", "event_types")
+    """A user's kinds of events as text, fifty to a row."""
+    kinds = pairs.distinct_values(t.events, "user_id", "event_type")
+    return pairs.joined_text(kinds, "user_id", "event_type", ",", size=50, name="event_types")
 
 
 @query(

@@ -1,8 +1,6 @@
 from tallywood.sources.coded_text import (
     CODED_TEXT_SCHEMA,
-    CodedTextDataSource,
     read_coded_text,
-    register_coded_text,
     write_coded_text,
 )
 from tallywood.sources.delimited import (
@@ -12,11 +10,11 @@ from tallywood.sources.delimited import (
     read_text_fields,
     write_result_csv,
 )
-from tallywood.sources.tables import keyed_read, keyed_write, overwrite_table, publish
+from tallywood.sources.tables import keyed_compact, keyed_read, keyed_write, overwrite_table, publish
 
 __all__ = [
     "CODED_TEXT_SCHEMA",
-    "CodedTextDataSource",
+    "keyed_compact",
     "keyed_read",
     "keyed_write",
     "overwrite_table",
@@ -26,7 +24,6 @@ __all__ = [
     "read_csv_declared",
     "read_csv_positional",
     "read_text_fields",
-    "register_coded_text",
     "write_coded_text",
     "write_result_csv",
 ]

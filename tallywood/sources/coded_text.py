@@ -1,33 +1,13 @@
 """Delimited text with a coded gender column.
 
-``read_coded_text`` is the scan to use: Spark reads and splits the lines in the
-JVM, cuts large files into splits, and prunes and filters with Catalyst. The
-``coded_text`` format offers the same rows through ``spark.read.format`` for
-code that wants a format name; it reads byte ranges with Arrow inside the tasks
-and evaluates pushed ``=`` and ``>`` filters itself.
+Spark reads and splits the lines in the JVM, cuts large files into splits, and
+prunes and filters with Catalyst.
 """
 
 from __future__ import annotations
 
-import posixpath
-import sys
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.fs as pafs
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    InputPartition,
-)
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 # Fixed values of the format: its default columns, the coded column, the code
@@ -43,9 +23,6 @@ WRITE_DELIMITER = "|"
 # Characters trimmed from both ends of a field.
 BLANKS = " \t\n\r\x0b\x0c"
 
-SPLIT_BYTES = 128 * 1024 * 1024
-BLOCK_BYTES = 8 * 1024 * 1024
-
 
 def _schema(schema: StructType | str | None) -> StructType:
     if isinstance(schema, StructType):
@@ -110,163 +87,3 @@ def write_coded_text(
 
     line = F.concat_ws(delimiter, *[field(c) for c in df.columns])
     df.select(line.alias("value")).write.mode(mode).text(path)
-
-
-# --- the format ------------------------------------------------------------
-
-
-@dataclass
-class ByteRange(InputPartition):
-    path: str
-    start: int
-    end: int
-
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path.removeprefix("file:")
-
-
-class CodedTextReader(DataSourceReader):
-    def __init__(self, schema: StructType, path: str, delimiter: str, split_bytes: int):
-        self.schema = schema
-        self.path = path
-        self.delimiter = delimiter
-        self.split_bytes = split_bytes
-        self.filters: list[tuple[str, str, object]] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        names = set(self.schema.names)
-        for pushed in filters:
-            known = isinstance(pushed, (EqualTo, GreaterThan)) and len(pushed.attribute) == 1
-            if known and pushed.attribute[0] in names and pushed.value is not None:
-                test = "equal" if isinstance(pushed, EqualTo) else "greater"
-                self.filters.append((pushed.attribute[0], test, pushed.value))
-            else:
-                yield pushed
-
-    def partitions(self) -> list[ByteRange]:
-        """Byte ranges, so that one large file is read by many tasks."""
-        system, root = _open(self.path)
-        info = system.get_file_info(root)
-        if info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(self.path)
-        files = [info]
-        if info.type == pafs.FileType.Directory:
-            files = system.get_file_info(pafs.FileSelector(root, recursive=True))
-        ranges = []
-        for found in files:
-            inside = posixpath.relpath(found.path, root).split("/")
-            hidden = found.path != root and any(p.startswith(("_", ".")) for p in inside)
-            if found.type != pafs.FileType.File or hidden:
-                continue
-            for start in range(0, found.size, self.split_bytes):
-                ranges.append(
-                    ByteRange(found.path, start, min(found.size, start + self.split_bytes))
-                )
-        return ranges
-
-    def _blocks(self, part: ByteRange) -> Iterator[bytes]:
-        """Whole lines that begin inside the range."""
-        system, _ = _open(self.path)
-        with system.open_input_file(part.path) as file:
-            size = file.size()
-            at = part.start
-            rest = b""
-            if at > 0:
-                # The line reaching into the range belongs to the range before.
-                at -= 1
-                while at < part.end:
-                    block = file.read_at(BLOCK_BYTES, at)
-                    cut = block.find(b"\n")
-                    if cut >= 0:
-                        at += cut + 1
-                        break
-                    at += len(block)
-                if at >= part.end:
-                    return
-            while at < size:
-                block = file.read_at(BLOCK_BYTES, at)
-                # Past the end only the line begun before it is wanted.
-                limit = part.end - at
-                if limit <= len(block):
-                    stop = block.find(b"\n", max(limit - 1, 0))
-                    if stop >= 0:
-                        yield rest + block[: stop + 1]
-                        return
-                at += len(block)
-                whole = block.rfind(b"\n") + 1
-                if whole:
-                    yield rest + block[:whole]
-                    rest = block[whole:]
-                else:
-                    rest += block
-            if rest:
-                yield rest
-
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        for block in self._blocks(partition):
-            batch = self._rows(block)
-            if batch.num_rows:
-                yield batch
-
-    def _rows(self, block: bytes) -> pa.RecordBatch:
-        lines = pc.split_pattern(pa.array([block.decode("utf-8")]), "\n").flatten()
-        lines = lines.filter(pc.not_equal(pc.utf8_trim(lines, BLANKS), ""))
-        parts = pc.split_pattern(lines, self.delimiter)
-        counts = pc.list_value_length(parts)
-        columns = []
-        for i, field in enumerate(self.schema.fields):
-            here = pc.greater(counts, i)
-            # Lines that are too short get a null in the missing fields.
-            padded = pc.if_else(here, parts, pa.scalar([None] * (i + 1), parts.type))
-            text = pc.utf8_trim(pc.list_element(padded, i), BLANKS)
-            text = pc.if_else(pc.equal(text, ""), pa.scalar(None, pa.string()), text)
-            if field.name.lower() == CODED_COLUMN:
-                first = pc.equal(pc.cast(text, pa.int32()), FIRST_CODE)
-                text = pc.if_else(first, FIRST_LABEL, OTHER_LABEL)
-            columns.append(pc.cast(text, _ARROW_TYPES[type(field.dataType)]))
-        batch = pa.RecordBatch.from_arrays(columns, names=self.schema.names)
-        for name, test, value in self.filters:
-            column = batch.column(name)
-            keep = getattr(pc, test)(column, pa.scalar(value, column.type))
-            batch = batch.filter(keep)
-        return batch
-
-
-_ARROW_TYPES = {IntegerType: pa.int32(), LongType: pa.int64(), StringType: pa.string()}
-
-
-class CodedTextDataSource(DataSource):
-    """``spark.read.format("coded_text")``; options ``path``, ``delimiter`` and
-    ``splitBytes``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "coded_text"
-
-    def schema(self) -> str:
-        return CODED_TEXT_SCHEMA
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        path = self.options.get("path")
-        if not path:
-            raise ValueError("coded_text needs a path")
-        return CodedTextReader(
-            _schema(schema),
-            path,
-            self.options.get("delimiter", READ_DELIMITER),
-            int(self.options.get("splitBytes", SPLIT_BYTES)),
-        )
-
-
-def register_coded_text(spark: SparkSession) -> None:
-    """Make the format known to the session, with filter pushdown on.
-
-    The reader travels to the Python workers by value, so they need not have
-    this package installed.
-    """
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(CodedTextDataSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

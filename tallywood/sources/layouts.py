@@ -77,18 +77,18 @@ def read_network(spark: SparkSession, path: str) -> DataFrame:
 
 def read_plays(spark: SparkSession, path: str) -> DataFrame:
     """Space-delimited ``user item count`` lines; unreadable lines are dropped."""
-    fields = {"user": "int", "item": "int", "plays": "int"}
+    fields = {"user": "bigint", "item": "bigint", "plays": "bigint"}
     return read_text_fields(spark, path, fields, " ").dropna()
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Tab-delimited ``id name`` lines; lines without a number are dropped."""
-    fields = {"item": "int", "name": "string"}
+    fields = {"item": "bigint", "name": "string"}
     return read_text_fields(spark, path, fields, "\t").where("item is not null")
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     """Tab-delimited ``item alias`` lines, one row per item; empty ones are skipped."""
-    fields = {"item": "int", "alias": "int"}
+    fields = {"item": "bigint", "alias": "bigint"}
     found = read_text_fields(spark, path, fields, "\t").dropna()
     return found.groupBy("item").agg(F.max("alias").alias("alias"))

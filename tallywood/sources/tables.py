@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Sequence
 
@@ -10,19 +9,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _generations(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the stored generations, from the names of their folders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
+    return sorted(int(n.removeprefix("_gen=")) for n in names if n.startswith("_gen="))
+
+
 def keyed_write(
     df: DataFrame,
     path: str,
     key: str | None = None,
     order_by: Sequence[str] = (),
     generation: int | None = None,
-) -> None:
+) -> int:
     """Write rows to a keyed table; equal keys overwrite each other.
 
-    Without ``key`` every row gets a random one. Each call adds a generation
-    folder and reads nothing that is stored; ``keyed_read`` lets later
-    generations win, and within one the row that is last by ``order_by``.
-    Repeating a call with the same ``generation`` replaces it.
+    Without ``key`` every row gets a random one. Each call adds a generation, the
+    one after the last stored, and reads no stored rows; ``keyed_read`` lets later
+    generations win, and within one the row that is last by ``order_by``. Repeating
+    a call with the same ``generation`` replaces it. One writer at a time.
     """
     spark = df.sparkSession
     if key is None:
@@ -38,8 +47,16 @@ def keyed_write(
             .withColumn("_key", F.col(key).cast("string"))
         )
     if generation is None:
-        generation = time.time_ns()
+        generation = max(_generations(spark, path), default=0) + 1
     rows.write.mode("overwrite").parquet(f"{path}/_gen={generation}")
+    return generation
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.parquet(path)
+    kept = [c for c in stored.columns if c not in ("_gen", "_key")]
+    newest = F.max_by(F.struct(*kept), F.col("_gen")).alias("row")
+    return stored.groupBy("_key").agg(newest).select("_key", "row.*")
 
 
 def keyed_read(spark: SparkSession, path: str) -> DataFrame:
@@ -48,10 +65,24 @@ def keyed_read(spark: SparkSession, path: str) -> DataFrame:
     ``max_by`` combines before the shuffle, so a key written in very many
     generations costs no more than its distinct tasks.
     """
-    stored = spark.read.parquet(path)
-    kept = [c for c in stored.columns if c not in ("_gen", "_key")]
-    newest = F.max_by(F.struct(*kept), F.col("_gen")).alias("row")
-    return stored.groupBy("_key").agg(newest).select("row.*")
+    return _current(spark, path).drop("_key")
+
+
+def keyed_compact(spark: SparkSession, path: str) -> int:
+    """Write the current rows as one new generation and drop those before it.
+
+    The new one is complete before any other goes, so a failure in between leaves a
+    table that reads the same. Readers that began before may lose their files.
+    """
+    before = _generations(spark, path)
+    new = max(before, default=0) + 1
+    if before:
+        _current(spark, path).write.mode("overwrite").parquet(f"{path}/_gen={new}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for generation in before:
+        folder = hadoop.Path(f"{path}/_gen={generation}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return new
 
 
 def overwrite_table(df: DataFrame, path: str, table: str | None = None) -> str:

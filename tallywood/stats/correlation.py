@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import heavy_among, materialized, running_sums, spread_join
-from tallywood.plans.skew import HEAVY_ROWS
-
-# Columns whose pairs are still one comfortable aggregate.
-MOST_COVARIANCES = 16
+from tallywood.plans import materialized, running_sums
 
 
 def pearson_vectors(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
@@ -30,63 +25,64 @@ def pearson_vectors(df: DataFrame, features: str, names: Sequence[str]) -> DataF
     return df.sparkSession.createDataFrame(rows, "i string, j string, corr double")
 
 
-def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def pearson(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Pearson correlation of numeric columns; rows with a null are left out.
 
-    One aggregate of covariances for a moderate number of columns, which grow
-    as its square; Spark ML's matrix for more.
+    Two aggregates in one row each: the weighted means, then the sums of products
+    around them. A constant column correlates as NaN with every other; without rows
+    every cell is NaN but those of a column with itself.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    if len(columns) > MOST_COVARIANCES:
-        assembler = VectorAssembler(inputCols=list(columns), outputCol="_features")
-        return pearson_vectors(assembler.transform(rows), "_features", columns)
-    pairs = list(combinations(range(len(columns)), 2))
+    values = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)]
+    size = range(len(columns))
+    times = (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w")
+    rows = df.select(*values, times).dropna()
+    means = rows.agg(
+        *[(F.sum(F.col(f"_v{i}") * F.col("_w")) / F.sum("_w")).alias(f"_m{i}") for i in size]
+    ).head()
+    centred = [F.col(f"_v{i}") - F.lit(means[i]) for i in size]
     sums = rows.agg(
-        *[F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(columns)],
-        *[F.covar_pop(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs],
+        *[
+            F.sum(centred[i] * centred[j] * F.col("_w")).alias(f"_c{i}_{j}")
+            for i, j in combinations_with_replacement(size, 2)
+        ]
     )
 
     def cell(i: int, j: int) -> Column:
-        both = F.col(f"_s{i}") * F.col(f"_s{j}")
-        covariance = F.col(f"_c{min(i, j)}_{max(i, j)}") if i != j else None
-        value = F.lit(1.0) if i == j else F.when(both == 0, F.lit(float("nan"))).otherwise(
-            F.try_divide(covariance, both)
+        both = F.sqrt(F.col(f"_c{i}_{i}")) * F.sqrt(F.col(f"_c{j}_{j}"))
+        covariance = F.col(f"_c{min(i, j)}_{max(i, j)}")
+        value = F.lit(1.0) if i == j else F.coalesce(
+            F.when(both == 0, F.lit(float("nan"))).otherwise(F.try_divide(covariance, both)),
+            F.lit(float("nan")),
         )
         return F.struct(
             F.lit(columns[i]).alias("i"), F.lit(columns[j]).alias("j"), value.alias("corr")
         )
 
-    size = range(len(columns))
     return sums.select(F.inline(F.array(*[cell(i, j) for i in size for j in size])))
 
 
-def average_ranks(
-    df: DataFrame, columns: Sequence[str], min_rows: int = HEAVY_ROWS
-) -> DataFrame:
-    """Rows with each column replaced by its rank; ties share their mean rank.
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct rows with their count ``n`` and each column replaced by its rank.
 
-    Ranks come from counts of the distinct values, so a value that a large
-    share of the rows has in common is one row of the ordered scan. Joining
-    them back is a broadcast while the distinct values are few; otherwise the
-    counts tell which values to spread over several tasks.
+    Ties share their mean rank. Equal rows are counted before anything else, and ranks
+    come from counts of the distinct values, so neither a row nor a value that a large
+    share of the rows has in common is gathered anywhere.
     """
-    base = df.select(*columns).dropna()
+    base = materialized(
+        df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("n")),
+        "counted-rows",
+    )
     out = base
     for column in columns:
-        counts = base.groupBy(column).agg(F.count(F.lit(1)).alias("_count"))
+        counts = base.groupBy(column).agg(F.sum("n").alias("_count"))
         rank = F.col("_through") - (F.col("_count") - 1) / 2.0
-        ranks = materialized(
-            running_sums(counts, [column], {"_through": "_count"}).select(
-                column, "_count", rank.alias("_rank")
-            ),
-            "ranks",
+        ranks = running_sums(counts, [column], {"_through": "_count"}).select(
+            column, rank.alias("_rank")
         )
-        heavy = heavy_among(ranks, [column], "_count", min_rows)
-        joined = spread_join(out, ranks.drop("_count"), [column], "inner", heavy)
-        out = joined.withColumn(column, F.col("_rank")).drop("_rank")
-    return out.select(*columns)
+        out = out.join(ranks, column).withColumn(column, F.col("_rank")).drop("_rank")
+    return out.select(*columns, "n")
 
 
-def spearman(df: DataFrame, columns: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
+def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spearman rank correlation: Pearson correlation of the ranks."""
-    return pearson(average_ranks(df, columns, min_rows), columns)
+    return pearson(materialized(average_ranks(df, columns), "ranks"), columns, weight="n")

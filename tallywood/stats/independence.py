@@ -15,9 +15,10 @@ from tallywood.plans import materialized
 def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Statistic and degrees of freedom per feature.
 
-    With observed counts O, row totals R and column totals C over N rows the
-    statistic is N (sum O^2 / (R C) - 1). Empty cells add nothing to it, so
-    the full table of rows and columns is never laid out. The counts are
+    With observed counts O and expected ones E = R C / N from the row and column
+    totals, the statistic is the sum of (O - E)^2 / E. An empty cell adds its E, and
+    all E add up to N, so the empty cells together add N less the E of the filled
+    ones, and the full table of rows and columns is never laid out. The counts are
     written out, since every total is made from them and not from the rows.
     Pairs with a null are left out.
     """
@@ -39,15 +40,19 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     spread = (
         cells.join(rows, ["feature", "value"])
         .join(columns, ["feature", "label"])
-        .groupBy("feature")
-        .agg(F.sum(F.col("o") / F.col("r") * F.col("o") / F.col("c")).alias("s"))
+        .join(shape, "feature")
+        .withColumn("e", F.col("r") / F.col("n") * F.col("c"))
+        .groupBy("feature", "n_rows", "n")
+        .agg(
+            F.sum((F.col("o") - F.col("e")) * (F.col("o") - F.col("e")) / F.col("e")).alias("s"),
+            F.sum("e").alias("filled"),
+        )
     )
     return (
-        spread.join(shape, "feature")
-        .join(widths, "feature")
+        spread.join(widths, "feature")
         .select(
             "feature",
-            (F.col("n") * (F.col("s") - 1)).alias("statistic"),
+            (F.col("s") + (F.col("n") - F.col("filled"))).alias("statistic"),
             ((F.col("n_rows") - 1) * (F.col("n_columns") - 1)).alias("dof"),
         )
     )

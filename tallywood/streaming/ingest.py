@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+# Bounds of one batch, so that a backlog of any size is read in many.
+FILES_PER_BATCH = 1000
+OFFSETS_PER_BATCH = 50_000_000
+
 
 def kafka_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Messages of a Kafka topic; needs Spark's Kafka connector on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-    return reader.option("subscribe", topic).options(**options).load()
+    bounds = {"maxOffsetsPerTrigger": OFFSETS_PER_BATCH, **options}
+    return reader.option("subscribe", topic).options(**bounds).load()
 
 
 def file_topic(
@@ -21,15 +26,13 @@ def file_topic(
     path: str,
     schema: StructType,
     glob: str | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """Rows of Parquet files as they appear under a path."""
+    """Rows of Parquet files as they appear under a path, so many files at a time."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def messages_as_text(stream: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
@@ -78,15 +81,32 @@ def jdbc_batches(
     properties: Mapping[str, str] | None = None,
     keep_running: bool = False,
 ) -> StreamingQuery:
-    """Write every batch to the database table ``<table>_<batch>``.
+    """Append every batch to one database table, with its number in ``batch_id``.
 
-    Rows go over many connections that do not commit together, so a failed
-    batch may be half written; its repeat replaces the whole table.
+    Rows go over many connections that do not commit together, so a failed batch may
+    be half written. Its repeat first deletes the rows of its number, over one
+    connection of the driver; ``batch_id`` should have an index.
     """
+    options = dict(properties or {})
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").jdbc(
-            url, f"{table}_{batch_id}", properties=dict(properties or {})
+        spark = batch.sparkSession
+        settings = spark._jvm.java.util.Properties()
+        for name, value in options.items():
+            settings.setProperty(name, value)
+        if "driver" in options:
+            spark._jvm.java.lang.Class.forName(options["driver"])
+        connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+        try:
+            there = connection.getMetaData().getTables(None, None, table, None).next()
+            if there:
+                connection.createStatement().executeUpdate(
+                    f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}"
+                )
+        finally:
+            connection.close()
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").jdbc(
+            url, table, properties=options
         )
 
     writer = stream.writeStream.outputMode("append").foreachBatch(write)

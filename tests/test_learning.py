@@ -30,12 +30,30 @@ def test_frequency_index_over_train_and_test(spark):
 
 def test_claim_feature_rule():
     columns = ["id", "cat1", "cat10", "cat109", "cat110", "cat116", "cont1", "label"]
-    assert features.claim_features(columns) == ["idx_cat1", "idx_cat10", "cont1"]
+    assert features.claim_features(columns) == ["coded_cat1", "coded_cat10", "cont1"]
 
 
-def test_low_cardinality(spark):
-    frame = spark.range(1000).select(F.col("id").alias("many"), (F.col("id") % 3).alias("few"))
-    assert features.low_cardinality(frame, ["many", "few"], 40) == ["few"]
+def test_columns_keep_their_values_whatever_the_number(spark):
+    frame = spark.range(20_000).select(
+        F.col("id").cast("string").alias("many"),
+        F.when(F.col("id") % 2 == 0, F.lit("A")).alias("some"), F.lit("one").alias("one"),
+    )
+    names = {c: f"{c}_code" for c in frame.columns}
+    found = features.index_categories(frame, names).collect()
+    assert len(found) == 20_000
+    assert sorted(r["many_code"] for r in found) == [float(i) for i in range(20_000)]
+    # A null in another column takes nothing from this one; null is the place after the last.
+    assert {r["some_code"] for r in found if r["some"] == "A"} == {0.0}
+    assert {r["some_code"] for r in found if r["some"] is None} == {1.0}
+    assert {r["one_code"] for r in found} == {0.0}
+
+
+def test_one_hot_has_a_column_for_every_value(spark):
+    frame = spark.range(50).select((F.col("id") % 5).cast("double").alias("i"))
+    found = features.one_hot(frame, "i", "flag", drop_last=False).distinct().collect()
+    assert sorted(tuple(r)[1:] for r in found) == sorted(
+        tuple(float(i == j) for j in range(5)) for i in range(5)
+    )
 
 
 def test_importances_keep_their_names(spark):
@@ -176,7 +194,7 @@ def test_user_auc_equals_comparing_all_pairs(spark, taste, min_rows):
     )
 
     def predict(rows):
-        return recommend.predict_popularity(rows, scores, "item", find_heavy(rows, ["item"], min_rows))
+        return recommend.predict_popularity(rows, scores, "item")
 
     negatives = recommend.sample_negatives(taste, taste.select("item"), "user", "item")
     heavy = find_heavy(taste, ["user"], min_rows)

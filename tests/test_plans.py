@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywood import plans
-from tallywood.operators import windows
+from tallywood.operators import joins, windows
 from tallywood.plans.ordered import ordered_runs
 from tallywood.plans import find_heavy
 
@@ -115,19 +115,27 @@ def test_number_rows_is_consecutive(spark):
     assert [r["idx"] for r in sorted(got, key=lambda r: r["x"])] == list(range(5000))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_rows", [10**6, 50])
-def test_spread_join(spark, skewed, how, min_rows):
-    lookup = spark.createDataFrame(
-        [(k, f"name{k}") for k in list(range(0, 150)) + [3]], "k int, name string"
-    )
-    got = plans.spread_join(skewed, lookup, ["k"], how, find_heavy(skewed, ["k"], min_rows))
-    assert rows_of(got) == rows_of(skewed.join(lookup, ["k"], how))
-
-
-def test_spread_join_refuses_other_kinds(skewed):
-    with pytest.raises(ValueError):
-        plans.spread_join(skewed, skewed, ["k"], "full_outer")
+def test_equal_rows_of_a_hot_key_reach_several_tasks(spark):
+    hot = spark.range(0, 400_000, 1, 8).select((F.lit(7) + 0 * F.col("id")).alias("k"), F.lit("x" * 20).alias("v"))
+    lookup = spark.range(200_000).select(F.col("id").alias("k"), F.lit("name" * 10).alias("name"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = joins.keep_known(hot, lookup, "k").withColumn("task", F.spark_partition_id())
+        tasks = joined.groupBy("task").count().where("count > 0").count()
+        assert joined.count() == 400_000 and tasks > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_scratch_paths_lie_in_the_shared_folder(spark):

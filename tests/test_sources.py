@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywood import sources
-from tallywood.sources.coded_text import CodedTextReader, _schema
 
 LINES = ["1, ann ,1,100,10", "2,bob, 2 ,200,20", "", "3 ,cyd,1,300,", "4,dan,0,50,5"]
 PEOPLE = [
@@ -51,71 +50,10 @@ def test_selected_columns_come_by_name(spark, coded):
     assert rows_of(out)[0] == ("ann", "1")
 
 
-@pytest.fixture
-def users(spark, coded):
-    sources.register_coded_text(spark)
-    return spark.read.format("coded_text").load(coded)
-
-
-def test_format_gives_the_same_rows(users):
-    assert rows_of(users) == PEOPLE
-
-
-def test_format_filters(users):
-    assert rows_of(users.where("salary > 100").select("id")) == [("2",), ("3",)]
-    both = users.where("salary > 50 and salary > 100 and gender = 'Male'")
-    assert rows_of(both.select("name")) == [("cyd",)]
-    assert rows_of(users.where("id >= 2").select("id")) == [("2",), ("3",), ("4",)]
-    assert rows_of(users.where("expenses is null").select("id")) == [("3",)]
-
-
-def test_format_pushes_only_what_it_evaluates(users, plan_text):
-    plan = plan_text(users.where("salary > 100 and gender = 'Male' and expenses < 9"))
-    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
-    assert "EqualTo(gender,Male)" in pushed and "GreaterThan(salary,100)" in pushed
-    assert "expenses" not in pushed
-    condition = next(line for line in plan.splitlines() if line.startswith("Condition"))
-    assert "expenses" in condition and "Male" not in condition
-    reader = CodedTextReader(_schema(None), "x", ",", 10)
-    from pyspark.sql.datasource import EqualTo, GreaterThan, LessThan
-
-    left = list(
-        reader.pushFilters(
-            [EqualTo(("gender",), "Male"), GreaterThan(("salary",), 1), LessThan(("salary",), 9)]
-        )
-    )
-    assert left == [LessThan(("salary",), 9)]
-    assert [f[1] for f in reader.filters] == ["equal", "greater"]
-
-
-def test_format_needs_a_path(spark):
-    sources.register_coded_text(spark)
-    with pytest.raises(Exception, match="path"):
-        spark.read.format("coded_text").load().collect()
-
-
-@pytest.mark.parametrize("split_bytes", [1, 3, 7, 16, 1000])
-@pytest.mark.parametrize("ending", ["", "\n"])
-def test_byte_ranges_cover_every_line_once(tmp_path, split_bytes, ending):
-    lines = [f"{i},n{i},{i % 2},{i * 10},{i}" for i in range(40)]
-    (tmp_path / "a.txt").write_text("\n".join(lines) + ending)
-    reader = CodedTextReader(_schema(None), str(tmp_path), ",", split_bytes)
-    seen = []
-    for part in reader.partitions():
-        for batch in reader.read(part):
-            seen += batch.column("id").to_pylist()
-    assert seen == [str(i) for i in range(40)]
-
-
-def test_blocks_smaller_than_a_line(tmp_path, monkeypatch):
-    from tallywood.sources import coded_text
-
-    monkeypatch.setattr(coded_text, "BLOCK_BYTES", 5)
-    lines = [f"{i},{'é' * i},1,{i},{i}" for i in range(1, 30)]
-    (tmp_path / "a.txt").write_text("\n".join(lines), encoding="utf-8")
-    reader = CodedTextReader(_schema(None), str(tmp_path), ",", 64)
-    names = [n for p in reader.partitions() for b in reader.read(p) for n in b["name"].to_pylist()]
-    assert names == ["é" * i for i in range(1, 30)]
+def test_odd_bytes_and_line_ends(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"1,\xff\xfe,1,5,6\r\n2,bob,0,7,8\n")
+    found = rows_of(sources.read_coded_text(spark, str(tmp_path)).select("id", "salary", "expenses"))
+    assert found == [("1", 5, 6), ("2", 7, 8)]
 
 
 def test_pipe_text_round_trip(spark, tmp_path):
@@ -220,3 +158,26 @@ def test_publish_is_binary(spark):
     assert dict(messages.dtypes) == {"topic": "string", "key": "binary", "value": "binary"}
     assert messages.where("cast(key as string) = '7'").head()["value"] == b"7: a message"
     assert messages.count() == 100
+
+
+def test_generations_follow_what_is_stored(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    first = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
+    second = spark.createDataFrame([(2, "c", 0), (3, "d", 0)], "k int, v string, at int")
+    assert sources.keyed_write(first, path, "k", ["at"]) == 1
+    assert sources.keyed_write(second, path, "k", ["at"]) == 2
+    expected = [(1, "a", 1), (2, "c", 0), (3, "d", 0)]
+    assert rows_of(sources.keyed_read(spark, path)) == expected
+    assert sources.keyed_compact(spark, path) == 3
+    assert [n for n in os.listdir(path) if n.startswith("_gen")] == ["_gen=3"]
+    spark.catalog.refreshByPath(path)
+    assert rows_of(sources.keyed_read(spark, path)) == expected
+    assert sources.keyed_write(first, path, "k", ["at"]) == 4
+    assert (2, "b", 1) in rows_of(sources.keyed_read(spark, path))
+
+
+def test_large_ids_are_kept(spark, tmp_path):
+    from tallywood.sources import layouts
+
+    (tmp_path / "plays.txt").write_text("3000000000 5 1\nbroken line\n")
+    assert rows_of(layouts.read_plays(spark, str(tmp_path / "plays.txt"))) == [(3000000000, 5, 1)]
