@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import one_hot_index, squared_distance
-from tallywood.learning import cluster, features, inspect, tuning
+from tallywood.learning import cluster, features, inspect, jobs, tuning
 from tallywood.learning.models import (
     DEFAULT_FOLDS,
     GRIDS,
@@ -310,6 +310,29 @@ def saved_regressor_scores_as_before(t: Tables) -> DataFrame:
     return twice.agg((F.count(F.lit(1)) > 0).alias("held_out_rows"), same.alias("same_scores"))
 
 
+@query(
+    "claims_severity_job_ids",
+    """SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS id FROM lineitem
+       WHERE l_orderkey % 5 = 0""",
+)
+def claims_severity_job_ids(t: Tables) -> DataFrame:
+    """The whole claims job on order lines: a loss is predicted for every unlabelled line."""
+    lines = claim_rows(t).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
+        F.col("l_returnflag").alias("cat1"), F.col("l_linestatus").alias("cat2"),
+        F.col("l_quantity").alias("cont1"), F.col("l_discount").alias("cont2"),
+        F.col("l_tax").alias("cont3"), F.col("label").alias("loss"),
+        (F.col("l_orderkey") % 5 == 0).alias("unlabelled"),
+    )
+    known, open_ = lines.where("NOT unlabelled"), lines.where("unlabelled")
+    preset = "forest_regression"
+    found = jobs.claims_severity(
+        known.drop("unlabelled"), open_.drop("unlabelled", "loss"), preset, GRIDS[preset],
+        folds_of(preset),
+    )
+    return found.predictions.select("id")
+
+
 @query("logistic_predict")
 def logistic_predict(t: Tables) -> DataFrame:
     return _churn_predictions(t, "logistic", GRIDS["logistic"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.learning import recommend
+from tallywood.learning import jobs, recommend
 from tallywood.plans import find_heavy, materialized
 from tallywood.queries.registry import Tables, query
 from tallywood.queries.relational import ALIAS_SQL, part_aliases
@@ -188,3 +188,9 @@ def mean_user_auc_als(t: Tables) -> DataFrame:
     return recommend.mean_user_auc(
         held_out, negatives, model.transform, "user", "item", find_heavy(held_out, ["user"])
     )
+
+
+@query("recommender_auc_job")
+def recommender_auc_job(t: Tables) -> DataFrame:
+    """The whole recommender job: popularity and factors on a held-out tenth of the pairs."""
+    return jobs.recommender_auc(plays(t), part_aliases(t), seed=5)

@@ -21,7 +21,7 @@ SLOW = {  # searches and sweeps, run one by one by the comparison tool
     "train_validation_grid", "grid_search_leaderboard", "kmeans_cost_sweep",
     "kmeans_entropy_sweep", "text_classify", "kmeans_cluster_labels", "decision_tree_predict",
     "model_parameter_table", "categorical_tree_predict", "kmeans_anomalies",
-    "leaderboard_is_sorted", "reloaded_search_scores_as_before",
+    "leaderboard_is_sorted", "reloaded_search_scores_as_before", "claims_severity_job_ids",
 }
 
 
