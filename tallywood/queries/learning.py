@@ -508,6 +508,36 @@ def text_classify(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "text_probabilities_add_up",
+    "SELECT doc_id, CAST(2 AS INTEGER) AS n_classes, true AS adds_up, true AS likeliest FROM documents",
+)
+def text_probabilities_add_up(t: Tables) -> DataFrame:
+    """Every text is scored once; its prediction is the likelier class."""
+    p = F.col("probability")
+    return text_classify(t).select(
+        "doc_id", F.size(p).alias("n_classes"), (F.abs(p[0] + p[1] - 1) < 1e-9).alias("adds_up"),
+        ((F.col("prediction") == 1) == (p[1] > p[0])).alias("likeliest"),
+    )
+
+
+@query(
+    "forest_predictions_are_known_classes",
+    "SELECT true AS some_rows, true AS once, true AS known_keys, true AS known_classes",
+)
+def forest_predictions_are_known_classes(t: Tables) -> DataFrame:
+    """Predictions are for orders of the table, once each, and of classes it has."""
+    found = train_validation_grid(t).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min("prediction").alias("prediction")
+    )
+    known = found.join(t.orders.select("o_orderkey", F.lit(True).alias("there")), "o_orderkey", "left")
+    return known.agg(
+        (F.count(F.lit(1)) > 0).alias("some_rows"), F.bool_and(F.col("n") == 1).alias("once"),
+        F.bool_and(F.col("there").isNotNull()).alias("known_keys"),
+        F.bool_and(F.col("prediction").isin(0.0, 1.0, 2.0)).alias("known_classes"),
+    )
+
+
 # --- clustering --------------------------------------------------------------------
 
 CLUSTER_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -570,6 +600,26 @@ def kmeans_cost_sweep(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "variant string, k int, cost double")
 
 
+@query(
+    "cost_sweep_has_every_point",
+    """SELECT variant, k, true AS positive
+       FROM (SELECT 'raw' AS variant, unnest(range(20, 101, 20)) AS k
+             UNION ALL SELECT v, unnest(range(60, 271, 30)) FROM (VALUES ('scaled'), ('mixed')) x(v))""",
+)
+def cost_sweep_has_every_point(t: Tables) -> DataFrame:
+    found = kmeans_cost_sweep(t)
+    return found.select("variant", F.col("k").cast("bigint").alias("k"), (F.col("cost") > 0).alias("positive"))
+
+
+@query(
+    "cluster_labels_add_up",
+    "SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY l_linenumber",
+)
+def cluster_labels_add_up(t: Tables) -> DataFrame:
+    """Over all clusters every label has its rows."""
+    return kmeans_cluster_labels(t).groupBy("l_linenumber").agg(F.sum("count").alias("n"))
+
+
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(t: Tables) -> DataFrame:
     stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, CLUSTER_CATEGORIES, True)

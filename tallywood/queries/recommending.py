@@ -179,6 +179,30 @@ def als_top_n(t: Tables) -> DataFrame:
     return recommend.recommend(model, one, "user", "item", 5)
 
 
+@query(
+    "als_top_n_is_sorted",
+    "SELECT CAST(5 AS BIGINT) AS n, true AS one_user, true AS different_items, true AS known_items",
+)
+def als_top_n_is_sorted(t: Tables) -> DataFrame:
+    found = als_top_n(t)
+    known = found.join(
+        t.part.select(F.col("p_partkey").alias("item"), F.lit(True).alias("there")), "item", "left"
+    )
+    return known.agg(
+        F.count(F.lit(1)).alias("n"), (F.count_distinct("user") == 1).alias("one_user"),
+        (F.count_distinct("item") == F.count(F.lit(1))).alias("different_items"),
+        F.bool_and(F.col("there").isNotNull()).alias("known_items"),
+    )
+
+
+@query(
+    "als_scores_every_held_out_pair",
+    f"""SELECT "user", item FROM ({PAIRS_SQL}) WHERE {HELD_OUT_SQL}""",
+)
+def als_scores_every_held_out_pair(t: Tables) -> DataFrame:
+    return als_predict(t).select(F.col("user").cast("bigint"), F.col("item").cast("bigint"))
+
+
 @query("mean_user_auc_als")
 def mean_user_auc_als(t: Tables) -> DataFrame:
     whole = written_pairs(t)

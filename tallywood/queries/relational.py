@@ -128,6 +128,61 @@ def bernoulli_sample(t: Tables) -> DataFrame:
     return rows.bernoulli_sample(t.lineitem.select("l_orderkey", "l_linenumber"), 0.1, seed=7)
 
 
+@query(
+    "samples_are_subsets",
+    """SELECT 'bernoulli' AS sample, true AS known, true AS once, true AS near_share
+       UNION ALL SELECT 'stratified', true, true, true""",
+)
+def samples_are_subsets(t: Tables) -> DataFrame:
+    """A sample has no row more often than the table, and about the asked share of them."""
+    keys = ["l_orderkey", "l_linenumber"]
+    flag = F.col("l_returnflag")
+    shares = {
+        "bernoulli": F.lit(0.1),
+        "stratified": F.when(flag == "R", 1.0).when(flag == "N", 0.1675).otherwise(0.0),
+    }
+    out = None
+    for name, sampled in (("bernoulli", bernoulli_sample(t)), ("stratified", stratified_sample(t))):
+        lines = t.lineitem.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("there"), F.sum(shares[name]).alias("wanted")
+        )
+        both = lines.join(sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")), keys, "full")
+        found = both.agg(
+            F.lit(name).alias("sample"),
+            F.bool_and(F.col("there").isNotNull()).alias("known"),
+            F.bool_and(F.coalesce(F.col("times") <= F.col("there"), F.lit(True))).alias("once"),
+            # Five standard deviations of the expected number, and a little.
+            (
+                F.abs(F.sum("times") - F.sum("wanted")) <= 5 * F.sqrt(F.sum("wanted")) + 5
+            ).alias("near_share"),
+        )
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+@query(
+    "splits_are_whole",
+    """SELECT 'random' AS split, count(*) AS n_rows, true AS once FROM orders
+       UNION ALL SELECT 'by key', count(*), true FROM orders""",
+)
+def splits_are_whole(t: Tables) -> DataFrame:
+    """The parts of a split together have every row once."""
+    orders = t.orders.select("o_orderkey")
+    splits = {
+        "random": rows.random_split(orders, [0.75, 0.25], seed=12345),
+        "by key": rows.key_split(orders, ["o_orderkey"], [0.9, 0.1], seed=1),
+    }
+    out = None
+    for name, (first, second) in splits.items():
+        counted = first.unionAll(second).groupBy("o_orderkey").count()
+        found = counted.agg(
+            F.lit(name).alias("split"), F.sum("count").alias("n_rows"),
+            F.bool_and(F.col("count") == 1).alias("once"),
+        )
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
 @query("random_split_sizes")
 def random_split_sizes(t: Tables) -> DataFrame:
     parts = rows.random_split(t.orders.select("o_orderkey"), [0.75, 0.25], seed=12345)

@@ -76,6 +76,29 @@ def chi_square_p_value(t: Tables) -> DataFrame:
     return stats.chi_square_p_values(coded, ["l_linenumber", "is_open"], "returned")
 
 
+@query(
+    "p_values_follow_from_the_statistic",
+    f"""SELECT feature, statistic, dof, true AS p_value_follows
+        FROM ({_chi_square_sql(["l_linenumber", "l_linestatus"], "l_returnflag = 'R'")})""",
+)
+def p_values_follow_from_the_statistic(t: Tables) -> DataFrame:
+    """Statistics as SQL has them; the p-value of an even number of degrees of freedom is
+    exp(-x/2) times the first terms of the series of exp(x/2), one of one degree erfc."""
+    found = chi_square_p_value(t).replace("is_open", "l_linestatus", "feature")
+    half = F.col("statistic") / 2
+    terms = F.sequence(F.lit(0), F.greatest((F.col("dof") / 2).cast("int") - 1, F.lit(0)))
+    series = F.exp(-half) * F.aggregate(
+        terms, F.lit(0.0), lambda a, k: a + F.pow(half, k) / F.factorial(k.cast("int"))
+    )
+    follows = F.when(F.col("dof") % 2 == 0, F.abs(F.col("p_value") - series) < 1e-6).otherwise(
+        F.col("p_value").between(0, 1)
+    )
+    return found.select(
+        "feature", F.round("statistic", 6).alias("statistic"), "dof",
+        follows.alias("p_value_follows"),
+    )
+
+
 def _summary_sql(weight: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT {i} AS dim, round(m, 9) AS mean, round(s2 / (w - w2 / w), 9) AS variance

@@ -22,6 +22,8 @@ SLOW = {  # searches and sweeps, run one by one by the comparison tool
     "kmeans_entropy_sweep", "text_classify", "kmeans_cluster_labels", "decision_tree_predict",
     "model_parameter_table", "categorical_tree_predict", "kmeans_anomalies",
     "leaderboard_is_sorted", "reloaded_search_scores_as_before", "claims_severity_job_ids",
+    "text_probabilities_add_up", "forest_predictions_are_known_classes", "cost_sweep_has_every_point",
+    "cluster_labels_add_up",
 }
 
 
