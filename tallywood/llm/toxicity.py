@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -21,34 +22,55 @@ from tallywood.plans.scratch import materialized
 TERM_SPACE = 1 << 24
 # Most labelled rows of either class that the model is fitted on.
 SAMPLE_ROWS = 10_000
-# Most terms with a weight, and the least evidence (likelihood ratio) for one.
+# Most terms with a weight.
 MOST_TERMS = 4096
-LEAST_EVIDENCE = 10.8
+
+
+# Bytes that word beginnings have: forms of one word share some of them.
+BEGINNINGS = (4, 5, 6, 7)
+
+
+def _hashed(name: bytes) -> int:
+    return xxhash.xxh32_intdigest(name) % TERM_SPACE
 
 
 def _word_terms(word: bytes) -> tuple[int, ...]:
-    """Hashed terms of a word: itself and its first four and five bytes."""
-    names = [b"w" + word]
-    names += [b"p" + word[:n] for n in (4, 5) if len(word) > n]
-    return tuple(xxhash.xxh32_intdigest(n) % TERM_SPACE for n in names)
+    """Hashed terms of a word: itself and its beginnings."""
+    return tuple(_hashed(n) for n in (b"w" + word, *(b"p" + word[:n] for n in BEGINNINGS if len(word) > n)))
+
+
+def _again(word: bytes) -> int:
+    """Hashed term of a word that a text has twice or more."""
+    return _hashed(b"2" + word)
+
+
+def text_terms(text: bytes) -> set[int]:
+    found: set[int] = set()
+    for word, n in Counter(words_of(text)).items():
+        found.update(_word_terms(word))
+        if n > 1:
+            found.add(_again(word))
+    return found
 
 
 class _Known(Memory):
-    """Words to the numbers of their terms among the chosen ones."""
+    """Words to the numbers of their terms among the chosen ones: had once, and again."""
 
     def __init__(self, numbers: dict[int, int]):
         super().__init__()
         self.numbers = numbers
 
-    def value(self, piece) -> tuple[int, ...]:
-        return tuple(self.numbers[t] for t in _word_terms(piece) if t in self.numbers)
+    def value(self, piece) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        once = tuple(self.numbers[t] for t in _word_terms(piece) if t in self.numbers)
+        again = self.numbers.get(_again(piece))
+        return once, once if again is None else (*once, again)
 
 
 def present(known: _Known, text: bytes) -> list[int]:
     """Numbers of the chosen terms in a text, each once."""
     found: set[int] = set()
-    for word in set(words_of(text)):
-        found.update(known[word])
+    for word, n in Counter(words_of(text)).items():
+        found.update(known[word][n > 1])
     return sorted(found)
 
 
@@ -75,13 +97,13 @@ class FactorizationMachine:
 
 def fit_machine(
     terms: np.ndarray, rows: list[list[int]], toxic: np.ndarray, importance: np.ndarray,
-    factors: int = 8, epochs: int = 12, batch: int = 256, rate: float = 0.02,
+    factors: int = 8, epochs: int = 20, batch: int = 256, rate: float = 0.02,
     penalty: float = 1e-4, seed: int = 7,
 ) -> FactorizationMachine:
     """Fit by Adam on weighted log loss. ``rows``: numbers of the terms in each text."""
     rng = np.random.default_rng(seed)
     n_terms = len(terms)
-    total = float(importance.sum()) or 1.0
+    total = float(importance.sum())
     share = (float((importance * toxic).sum()) + 0.5) / (total + 1.0)
     # bias, weights and factors as one table: the last row is the bias in column 0.
     table = np.zeros((n_terms + 1, 1 + factors))
@@ -157,8 +179,7 @@ def _sample_terms(docs: DataFrame, sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             terms = [
-                sorted({t for w in set(words_of(text)) for t in _word_terms(w)})
-                for text in texts_of(batch.column(0))
+                sorted(text_terms(text)) for text in texts_of(batch.column(0))
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms, pa.list_(pa.int32())), batch.column(1), batch.column(2)],
@@ -181,7 +202,8 @@ def train(
     """Fit on a sample of labelled documents, ``sample_rows`` of either class at most.
 
     Terms are chosen by the likelihood ratio of term and label, at most ``most_terms``
-    of them; only these terms of the sample come to the driver. Texts and labels join
+    of those above 1.5 times the logarithm of the number of terms, which few reach by
+    chance; only these terms of the sample come to the driver. Texts and labels join
     on doc_id; rows without a label, a null id or a null label teach nothing. Without
     any labels the model is the constant one half.
     """
@@ -193,6 +215,8 @@ def train(
     counts = rows.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("toxic").cast("double").alias("toxic")
     )
+    counts = materialized(counts, "term-counts")
+    least = 1.5 * float(np.log(max(counts.count(), 1)))
     both, bad = F.lit(float(n["n"])), F.lit(float(n["toxic"]))
     here, gone = F.col("n"), both - F.col("n")
     evidence = 2 * (
@@ -203,7 +227,7 @@ def train(
     )
     chosen = (
         counts.select("term", evidence.alias("evidence"))
-        .where(F.col("evidence") >= LEAST_EVIDENCE)
+        .where(F.col("evidence") >= least)
         .orderBy(F.desc("evidence"), "term")
         .limit(most_terms)
     )
@@ -218,10 +242,12 @@ def train(
                 ["terms", "toxic", "importance"],
             )
 
-    kept = rows.mapInArrow(run, rows.schema).orderBy("toxic", "terms").toArrow()
+    kept = rows.mapInArrow(run, rows.schema).toArrow().to_pylist()
+    # In an order of their own, so that the fit does not depend on which task came first.
+    kept.sort(key=lambda r: (r["toxic"], r["terms"]))
     return fit_machine(
-        terms, kept.column("terms").to_pylist(),
-        kept.column("toxic").to_numpy().astype(float), kept.column("importance").to_numpy(),
+        terms, [r["terms"] for r in kept], np.array([float(r["toxic"]) for r in kept]),
+        np.array([r["importance"] for r in kept]),
     )
 
 
