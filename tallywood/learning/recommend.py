@@ -106,8 +106,8 @@ def sample_negatives(
     heavy = heavy_among(wanted, [user], "_wanted", min_rows)
     catalog = number_rows(items.select(item).distinct(), [item], "_at")
     n_items = catalog.count()
-    if not n_items:
-        return pairs
+    if not n_items:  # nothing to draw from
+        return pairs.limit(0)
     stride = next(s for s in STRIDES if n_items % s)
     placed = number_within(pairs, [user], [item], "_place", heavy)
     place = F.col("_place")
