@@ -225,7 +225,7 @@ def _prior(class_tokens: np.ndarray, class_kinds: np.ndarray) -> np.ndarray:
     return weight / weight.sum()
 
 
-def _steps(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _steps(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sequences from the longest on, and how many of them reach each step."""
     order = np.argsort(-lengths, kind="stable")
     reach = np.bincount(lengths, minlength=1)
@@ -237,7 +237,7 @@ def forward(classes: np.ndarray, lengths: np.ndarray, model: HiddenMarkov) -> np
     """log10 likelihood of each class sequence, by the scaled forward recursion."""
     lengths = np.asarray(lengths, dtype=np.int64)
     starts = np.concatenate([[0], lengths.cumsum()[:-1]]).astype(np.int64)
-    order, active = _steps(starts, lengths)
+    order, active = _steps(lengths)
     at = starts[order]
     found = np.zeros(len(lengths))
     ones = np.ones(len(model.start))
@@ -269,7 +269,7 @@ def expect(classes: np.ndarray, lengths: np.ndarray, model: HiddenMarkov, into:
     """Add the expected counts of some sequences, by scaled forward and backward."""
     lengths = np.asarray(lengths, dtype=np.int64)
     starts = np.concatenate([[0], lengths.cumsum()[:-1]]).astype(np.int64)
-    order, active = _steps(starts, lengths)
+    order, active = _steps(lengths)
     at = starts[order]
     kind = np.float32
     moves, emits, ones = model.moves.astype(kind), model.emits.astype(kind), np.ones(len(model.start), kind)

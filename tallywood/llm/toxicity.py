@@ -57,7 +57,7 @@ class _Known(Memory):
     """Words to the numbers of their terms among the chosen ones: had once, and again."""
 
     def __init__(self, numbers: dict[int, int]):
-        super().__init__()
+        super().__init__(most=150_000)
         self.numbers = numbers
 
     def value(self, piece) -> tuple[tuple[int, ...], tuple[int, ...]]:
@@ -202,7 +202,7 @@ def train(
     """Fit on a sample of labelled documents, ``sample_rows`` of either class at most.
 
     Terms are chosen by the likelihood ratio of term and label, at most ``most_terms``
-    of those above 1.5 times the logarithm of the number of terms, which few reach by
+    of those above 1.35 times the logarithm of the number of terms, which few reach by
     chance; only these terms of the sample come to the driver. Texts and labels join
     on doc_id; rows without a label, a null id or a null label teach nothing. Without
     any labels the model is the constant one half.
@@ -216,7 +216,7 @@ def train(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("toxic").cast("double").alias("toxic")
     )
     counts = materialized(counts, "term-counts")
-    least = 1.5 * float(np.log(max(counts.count(), 1)))
+    least = 1.35 * float(np.log(max(counts.count(), 1)))
     both, bad = F.lit(float(n["n"])), F.lit(float(n["toxic"]))
     here, gone = F.col("n"), both - F.col("n")
     evidence = 2 * (

@@ -9,8 +9,8 @@ from functools import cache
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Entries of one generation of a memory, and the longest piece that is kept: a memory
-# then holds at most some 200 MB, whatever the corpus.
-MOST_KEPT = 500_000
+# then holds at most some 120 MB, whatever the corpus.
+MOST_KEPT = 300_000
 LONGEST_KEPT = 64
 
 
