@@ -41,9 +41,14 @@ def id_remainder(doc_id: str, by: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % by
 
 
-def texts_of(column: pa.Array) -> list[bytes]:
-    """UTF-8 texts of an Arrow column; null is the empty text."""
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+def texts_of(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 texts of an Arrow column; null is the empty text.
+
+    A few at a time, so that a batch of long texts is not held twice.
+    """
+    for at in range(0, len(column), 256):
+        for text in column.slice(at, 256).cast(pa.binary()).to_pylist():
+            yield text or b""
 
 
 def by_bytes(texts: Iterable[bytes], most: int) -> Iterator[tuple[int, int]]:
