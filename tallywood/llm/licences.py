@@ -119,12 +119,27 @@ def evaluate(tokens: list[str], allowed: frozenset[str]) -> tuple[bool, set[str]
 def _leading(line: str) -> list[str] | None:
     """The longest beginning of a line that is an expression, in postfix order.
 
-    A tag may be followed by other text, such as the end of a comment.
+    A tag may be followed by other text, such as the end of a comment. One pass finds
+    the last operand or bracket up to which the tokens are an expression; only that
+    beginning is put in postfix order.
     """
-    for end in range(len(tokens := _TOKEN.findall(line)), 0, -1):
-        if (found := postfix(" ".join(tokens[:end]))) is not None:
-            return found
-    return None
+    tokens = _TOKEN.findall(line)
+    depth = whole = 0
+    operand_next = True
+    for at, token in enumerate(tokens, 1):
+        if operand_next == (token in _RANK or token == ")"):
+            break
+        if token == "(":
+            depth += 1
+        elif token == ")":
+            depth -= 1
+            if depth < 0:
+                break
+        else:
+            operand_next = token in _RANK
+        if not depth and not operand_next:
+            whole = at
+    return postfix(" ".join(tokens[:whole]))
 
 
 @cache
@@ -145,8 +160,6 @@ def _tags() -> ahocorasick.Automaton:
     return found
 
 
-# A tag's expression ends with its line, and no expression is longer than this.
-_LONGEST_EXPRESSION = 1000
 _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 
@@ -170,7 +183,8 @@ def scan_text(text: bytes, allowed: frozenset[str]) -> tuple:
     expressions = []
     raw = text.decode(errors="replace").translate(_LOWER)
     for end, _ in _tags().iter(raw):
-        tail = raw[end + 1 : end + 1 + _LONGEST_EXPRESSION].split("\n", 1)[0]
+        stop = raw.find("\n", end)  # a tag's expression ends with its line
+        tail = raw[end + 1 : stop if stop >= 0 else len(raw)]
         tokens = _leading(tail)
         if tokens is None:
             expressions.append((tail.strip(), False, False))

@@ -93,3 +93,19 @@ def test_tags():
     assert found[5] == "gpl" and found[7][0][1:] == (True, False)
     found = licences.scan_text(b"spdx-license-identifier: ???\nCC BY-NC 4.0", frozenset())
     assert found[5] == "cc-by,cc-by-nc" and found[7] == [("???", False, False)]
+
+
+def test_long_expressions_are_read_whole():
+    ids = [f"licenseref-some-long-name-{i}" for i in range(80)]
+    line = " AND ".join([*ids, "GPL-3.0-only"])
+    for text in (line, f"({line})", f"({line}) */ more", f"{line} and"):
+        found = licences.scan_text(f"SPDX-License-Identifier: {text}\nx".encode(), frozenset(ids))
+        assert set(found[5].split(",")) == {*ids, "gpl"} and found[7][0][1:] == (True, False)
+
+
+def test_leading_expression_is_the_longest_that_parses():
+    rng = random.Random(5)
+    for _ in range(3000):
+        tokens = rng.choices(["mit", "isc", "and", "or", "with", "(", ")"], k=rng.randint(0, 9))
+        whole = (licences.postfix(" ".join(tokens[:n])) for n in range(len(tokens), 0, -1))
+        assert licences._leading(" ".join(tokens)) == next((p for p in whole if p is not None), None)
