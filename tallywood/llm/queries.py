@@ -13,6 +13,7 @@ from tallywood.llm import (
     licences,
     neighbours,
     packing,
+    progressive_centroids,
     sharding,
     simhash,
     token_counts,
@@ -177,3 +178,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
         "score",
     )
+
+
+@query("op11_progressive_centroids", progressive_centroids.cluster_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return progressive_centroids.cluster(table(spark, folder, "embeddings"))

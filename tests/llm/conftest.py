@@ -5,7 +5,7 @@ import pytest
 
 from tallywood.llm.queries import ORACLES, QUERIES
 
-TABLES = "documents embeddings pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture
