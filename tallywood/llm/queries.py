@@ -13,6 +13,7 @@ from tallywood.llm import (
     licences,
     neighbours,
     packing,
+    prefix_trie,
     progressive_centroids,
     sharding,
     simhash,
@@ -183,3 +184,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_progressive_centroids", progressive_centroids.cluster_sql())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return progressive_centroids.cluster(table(spark, folder, "embeddings"))
+
+
+@query("op13_conversation_trie", prefix_trie.trie_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
