@@ -18,6 +18,7 @@ from tallywood.llm import (
     sharding,
     simhash,
     token_counts,
+    token_groups,
     toxicity,
     url_models,
 )
@@ -186,6 +187,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return progressive_centroids.cluster(table(spark, folder, "embeddings"))
 
 
+@query("op12_shingle_groups", token_groups.similar_sql(words=4, percent=85))
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return token_groups.similar_documents(table(spark, folder, "documents"), words=4, percent=85)
+
+
 @query("op13_conversation_trie", prefix_trie.trie_sql())
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
