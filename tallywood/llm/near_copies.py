@@ -1,365 +1,43 @@
-"""Groups of similar texts: MinHash keys, wide SimHash fingerprints, exact similarity."""
+"""One document of each SimHash group: what the near-duplicate operator is for in a pipeline."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
-
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.llm.components import connected_components
-from tallywood.llm.frames import texts_of
+from tallywood.llm.simhash import simhash_components
 from tallywood.plans.scratch import materialized
 
-# Keys that only find candidates: each is made of so many smallest hashes of the shingles.
-# A pair of Jaccard similarity s has no key in common with a likelihood of
-# (1 - s^KEY_HASHES)^KEYS, whichever words differ: 0.00007 at 0.8.
-KEYS, KEY_HASHES = 24, 5
-# 64-bit parts of the fingerprint that rules pairs out: eight parts are 512 bits. Of texts
-# with fewer shingles it says too little, as even counts tie.
-PARTS = 8
-FEW_SHINGLES = 32
-# A key that would give more pairs than this is compared in blocks.
-WIDE_KEY = 32
-BLOCK_ROWS = 1024
-SHINGLES_AT_ONCE = 1 << 12
-SHINGLES_HELD = 1 << 18
-# Room for the rounding of a similarity times a count.
-ROUNDING = 1e-6
-
-
-def _mixed(values: np.ndarray, turn: int) -> np.ndarray:
-    """Another 64-bit hash from a hash (the finalizer of splitmix64)."""
-    with np.errstate(over="ignore"):
-        # Increment, multipliers and shifts of splitmix64.
-        z = values + np.uint64(0x9E3779B97F4A7C15) * np.uint64(turn + 1)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
-
-
-def shingle_hashes(parts: Sequence[bytes], words: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text's words.
-
-    A text of fewer words is one shingle, one without words has none.
-    """
-    if not parts:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(parts)
-    width = min(words, len(parts))
-    ends = np.cumsum([len(p) + 1 for p in parts]).tolist()
-    starts = [0, *ends]
-    hashed = xxhash.xxh64_intdigest
-    return np.unique(
-        np.array([hashed(joined[a : b - 1]) for a, b in zip(starts, ends[width - 1 :])], dtype="<u8")
-    )
-
-
-def fingerprint_of(hashes: np.ndarray, n: int) -> list[int]:
-    """``n`` independent 64-bit SimHashes over hashes."""
-    counts = np.zeros((n, 64), dtype=np.int64)
-    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
-        some = hashes[at : at + SHINGLES_AT_ONCE]
-        for turn in range(n):
-            bits = np.unpackbits(
-                _mixed(some, turn).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
-            )
-            counts[turn] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<i8").ravel().tolist()
-
-
-def wide_fingerprint(parts: Sequence[bytes], words: int, n: int) -> list[int]:
-    """``n`` independent 64-bit SimHashes over the distinct shingles of a text's words."""
-    return fingerprint_of(shingle_hashes(parts, words), n)
-
-
-_TURNS = np.arange(KEYS * KEY_HASHES, dtype=np.uint64)[:, None]
-_MASKS, _FACTORS = _mixed(_TURNS, 1), _mixed(_TURNS, 2) | np.uint64(1)
-
-
-def keys_of(hashes: np.ndarray) -> list[int]:
-    """MinHash keys of a set of hashes; an empty set has none."""
-    if not len(hashes):
-        return []
-    lowest = np.full(len(_TURNS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
-        some = (hashes[None, at : at + SHINGLES_AT_ONCE] ^ _MASKS) * _FACTORS
-        np.minimum(lowest, some.min(axis=1), out=lowest)
-    keys = np.arange(KEYS, dtype=np.uint64)
-    for some in lowest.reshape(KEYS, KEY_HASHES).T:
-        keys = _mixed(keys ^ some, 0)
-    return keys.view(np.int64).tolist()
-
-
-def most_differing(similarity: float, parts: int = PARTS) -> int:
-    """Bits in which texts of this Jaccard similarity differ, and six standard errors more.
-
-    Sets of equal size and similarity s have the cosine 2 s / (1 + s), and a SimHash bit
-    differs with the angle's share of pi.
-    """
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    bits = 64 * parts
-    return int(bits * p + 6 * np.sqrt(bits * p * (1 - p)))
-
-
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, raw, text_id, keys, wide, n) of every row, nothing shuffled.
-
-    ``raw``: hash of the text as it is; ``text_id``: hash of its lower-cased words;
-    ``n``: how many shingles it has.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys, wide, sizes = [], [], [], []
-            known: dict[bytes, tuple] = {}  # by digest, which is small
-            for text in texts_of(batch.column(2)):
-                parts = text.lower().split()
-                joined = b" ".join(parts)
-                digest = xxhash.xxh3_128_digest(joined)
-                if digest not in known:
-                    hashes = shingle_hashes(parts, words)
-                    known[digest] = (
-                        xxhash.xxh3_64_intdigest(joined) - (1 << 63),
-                        keys_of(hashes),
-                        fingerprint_of(hashes, PARTS),
-                        len(hashes),
-                    )
-                one = known[digest]
-                ids.append(one[0])
-                keys.append(one[1])
-                wide.append(one[2])
-                sizes.append(one[3])
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array(ids, pa.int64()),
-                    pa.array(keys, longs), pa.array(wide, longs), pa.array(sizes, pa.int32()),
-                ],
-                ["doc_id", "raw", "text_id", "keys", "wide", "n"],
-            )
-
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("raw"), "text"
-    )
-    return rows.mapInArrow(
-        run,
-        "doc_id bigint, raw bigint, text_id bigint, keys array<bigint>, wide array<bigint>, n int",
-    )
-
-
-def _shingles(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(text_id, shingles): hashes of the distinct shingles of the texts in ``wanted``
-    (raw, text_id), each text once."""
-    longs = pa.list_(pa.int64())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
-        ids, found, held = [], [], 0
-        for batch in batches:
-            for one, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                if one in known:
-                    continue
-                known.add(one)
-                ids.append(one)
-                found.append(shingle_hashes(text.lower().split(), words).view(np.int64))
-                held += len(found[-1])
-                if held > SHINGLES_HELD:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(found, longs)], ["text_id", "shingles"]
-                    )
-                    ids, found, held = [], [], 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(found, longs)], ["text_id", "shingles"]
-        )
-
-    rows = docs.select(F.xxhash64("text").alias("raw"), "text").join(wanted, "raw")
-    found = rows.select("text_id", "text").mapInArrow(run, "text_id bigint, shingles array<bigint>")
-    return found.groupBy("text_id").agg(F.first("shingles").alias("shingles"))
 
-
-def _possible(similarity: float) -> Column:
-    """Whether sizes and wide fingerprints of a and b allow this similarity."""
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    parts = [F.bit_count(F.col("a_wide")[i].bitwiseXOR(F.col("b_wide")[i])) for i in range(PARTS)]
-    apart = reduce(Column.__add__, parts)
-    return (small >= similarity * large - ROUNDING) & (
-        (small < FEW_SHINGLES) | (apart <= most_differing(similarity))
-    )
-
-
-def _similar(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingles have this Jaccard similarity or more."""
-    both = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    either = F.size("a_shingles") + F.size("b_shingles") - both
-    return (
-        pairs.join(shingles.toDF("a", "a_shingles"), "a")
-        .join(shingles.toDF("b", "b_shingles"), "b")
-        .where(both >= similarity * either - ROUNDING)
-        .select("a", "b")
-    )
-
-
-def _block_pairs(
-    one: pa.Table, two: pa.Table, same: bool, similarity: float, after: int, upto: int
-) -> pa.Table:
-    """Possible pairs between two blocks of a key that are not yet connected.
-
-    Of each text of the first block those that are its possible pairs number ``after`` + 1 to
-    ``upto``, connected ones counted. A row (null, null) says that others come later.
-    """
-
-    def of(t: pa.Table) -> tuple[np.ndarray, ...]:
-        t = t.sort_by("text_id")
-        flat = t.column("wide").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        columns = (t.column(c).to_numpy() for c in ("text_id", "component", "n"))
-        return *columns, flat.reshape(len(t), PARTS).view(np.uint64)
-
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    if not len(one) or not len(two):
-        return schema.empty_table()
-    (ids, parts, sizes, a), (other_ids, other_parts, other_sizes, b) = of(one), of(two)
-    most = most_differing(similarity)
-    found, later = [], False
-    for at in range(0, len(a), 64):
-        here = slice(at, at + 64)
-        apart = np.zeros((len(a[here]), len(b)), dtype=np.int32)
-        for part in range(PARTS):
-            apart += np.bitwise_count(a[here, part, None] ^ b[None, :, part])
-        small = np.minimum(sizes[here, None], other_sizes[None, :])
-        large = np.maximum(sizes[here, None], other_sizes[None, :])
-        possible = (small >= similarity * large - ROUNDING) & ((small < FEW_SHINGLES) | (apart <= most))
-        if same:
-            possible &= other_ids[None, :] < ids[here, None]
-        number = possible.cumsum(axis=1, dtype=np.int32)
-        possible &= (parts[here, None] != other_parts[None, :]) & (number > after)
-        later = later or bool((possible & (number > upto)).any())
-        x, y = np.nonzero(possible & (number <= upto))
-        found.append((ids[here][x], other_ids[y]))
-    x, y = (np.concatenate(c) for c in zip(*found))
-    table = pa.table([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=schema)
-    return pa.concat_tables([table, schema.empty_table()] if not later else [
-        table, pa.table([pa.nulls(1, pa.int64())] * 2, schema=schema)])
-
-
-def _wide_pairs(
-    keyed: DataFrame, texts: DataFrame, parts: DataFrame, similarity: float, after: int, upto: int
-) -> DataFrame:
-    """(a, b): pairs of ``_block_pairs`` over all pairs of blocks of all wide keys.
-
-    ``keyed``: key, text_id and the key's number of texts.
-    """
-    blocks = F.ceil(F.col("key_n") / BLOCK_ROWS).cast("int")
-    held = (
-        keyed.join(texts.select("text_id", "wide", "n"), "text_id")
-        .join(parts.withColumnRenamed("vertex", "text_id"), "text_id", "left")
-        .withColumn("component", F.coalesce("component", "text_id"))
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("text_id"), "blocks").cast("int"))
-    )
-    kept = ["text_id", "component", "n", "wide"]
-
-    def dealt(first: Column, last: Column, mine: str, other: str) -> DataFrame:
-        return (
-            held.withColumn("other", F.explode(F.sequence(first, last)))
-            .select("key", F.col("block").alias(mine), F.col("other").alias(other), *kept)
-            .toDF("key", mine, other, *kept)
-        )
-
-    # Each pair of blocks once: the lower block is x, the other y.
-    by = ["key", "x", "y"]
-    lower = dealt(F.col("block"), F.col("blocks") - 1, "x", "y")
-    upper = dealt(F.lit(0), F.col("block"), "y", "x")
-
-    def run(group: tuple, one: pa.Table, two: pa.Table) -> pa.Table:
-        same = group[1].as_py() == group[2].as_py()
-        return _block_pairs(one, two, same, similarity, after, upto)
-
-    return lower.groupBy(*by).cogroup(upper.groupBy(*by)).applyInArrow(run, "a bigint, b bigint").distinct()
-
-
-def links(texts: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b): enough to connect all texts that have a common key and this similarity.
-
-    ``texts``: text_id, raw, keys, wide, n. Sizes and fingerprints rule pairs out, the
-    shingles of the others are compared. Keys of few texts are joined pair by pair. A key
-    of many is compared in blocks of BLOCK_ROWS texts, each pair of blocks in one task.
-    In turns, a text gets its first possible partner compared, then the next four and so
-    on, as long as there are any that it is not connected with by then; which texts are
-    connected is the same as with all pairs.
-    """
-    keyed = texts.select(F.explode("keys").alias("key"), "text_id")
-    sizes = materialized(
-        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("key_n")).where("key_n > 1"), "shared-keys"
-    )
-    pairs_of = F.col("key_n") * (F.col("key_n") - 1) / 2
-    shared = materialized(keyed.join(sizes.where(pairs_of <= WIDE_KEY).select("key"), "key"), "keyed")
-    wide = materialized(keyed.join(sizes.where(pairs_of > WIDE_KEY), "key"), "wide-keyed")
-    prints = texts.select("text_id", "wide", "n")
-    few = materialized(
-        shared.withColumnRenamed("text_id", "a")
-        .join(shared.withColumnRenamed("text_id", "b"), "key")
-        .where("a < b").select("a", "b").distinct()
-        .join(prints.toDF("a", "a_wide", "a_n"), "a").join(prints.toDF("b", "b_wide", "b_n"), "b")
-        .where(_possible(similarity)).select("a", "b"),
-        "few",
-    )
-    ids = few.select(F.explode(F.array("a", "b")).alias("text_id")).unionAll(wide.select("text_id")).distinct()
-    wanted = texts.select("raw", "text_id").join(ids, "text_id")
-    shingles = materialized(_shingles(docs, wanted, words), "shingles")
-    found = materialized(_similar(few, shingles, similarity), "links")
-    after, upto, later = 0, 1, not wide.isEmpty()
-    while later:
-        parts = connected_components(found)
-        pairs = materialized(_wide_pairs(wide, texts, parts, similarity, after, upto), "wide-pairs")
-        more = _similar(pairs.where("a IS NOT NULL"), shingles, similarity)
-        found = found.unionAll(materialized(more, "links"))
-        later = not pairs.where("a IS NULL").isEmpty()
-        after, upto = upto, 4 * upto + 1
-    return found
-
-
-def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) that stay: one of each group.
 
-    Texts link if the Jaccard similarity of their shingles of ``words`` words is
-    ``similarity`` or more, counted exactly over their hashes of 64 bits; groups are what
-    links connect. Candidates share one of 24 MinHash keys over the same shingles: of
-    pairs of similarity 0.8, whether words differ here and there or in one passage, 0.00007
-    do not, and fewer of more similar ones. Equal texts, up to case of A-Z and white space, are one
-    (they are told by a hash of 64 bits).
-    Of a group the row with the smallest doc_id stays, a null id only where there is no
-    other; of rows alike in id and text the one that is smallest in all columns.
+    Groups are those of ``simhash_components``: fingerprints over shingles of ``words``
+    words, linked at three differing bits or fewer. Of a group the row with the smallest
+    doc_id stays, a null id only where there is no other; of rows alike in id and text
+    (told by a hash of 64 bits) the one that is smallest in all columns.
 
-    Texts without words are one group. All columns come back as they were; no rows give
-    no rows.
+    Texts without words, null ones too, are one group. All columns come back as they
+    were; no rows give no rows.
     """
-    columns = docs.columns
-    found = materialized(sketches(docs, words), "sketches")
-    texts = materialized(
-        found.groupBy("text_id").agg(F.min("raw").alias("raw"), F.first("keys").alias("keys"),
-                                    F.first("wide").alias("wide"), F.first("n").alias("n")),
-        "texts",
-    )
-    parts = connected_components(links(texts, docs, words, similarity))
-    rows = found.groupBy("text_id", "doc_id", "raw").agg(F.count(F.lit(1)).alias("alike"))
-    grouped = rows.join(parts.withColumnRenamed("vertex", "text_id"), "text_id", "left").select(
-        F.coalesce("component", "text_id").alias("component"),
-        F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                 "raw", "alike").alias("row"),
-    )
-    stay = materialized(grouped.groupBy("component").agg(F.min("row").alias("row")).select("row.*"), "stay")
-    inner = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    keyed = docs.select(
-        inner, F.col("doc_id").isNull().alias("no_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), F.xxhash64("text").alias("raw"),
-    )
-    key = ["no_id", "id", "raw"]
-    kept = keyed.join(stay, key)
-    alone = kept.where("alike = 1").select("row.*")
-    several = kept.where("alike > 1").groupBy(*key).agg(F.min("row").alias("row")).select("row.*")
-    return alone.unionAll(several)
+    key = F.xxhash64("doc_id", "text").alias("key")
+    rows = docs.select(
+        key, F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
+    ).groupBy("key").agg(
+        F.min(F.struct("no_id", "id")).alias("order"), F.count(F.lit(1)).alias("alike")
+    )
+    groups = simhash_components(docs.select(key.alias("doc_id"), "text"), words)
+    labels = groups.groupBy(F.col("doc_id").alias("key")).agg(F.first("component_id").alias("component"))
+    placed = materialized(rows.join(labels, "key"), "placed")
+    stay = placed.groupBy("component").agg(F.min(F.struct("order", "key"))["key"].alias("stays"))
+    # Rows that nothing is to be done with are not listed: most stay, and alone.
+    marks = placed.join(stay, "component").select("key", (F.col("key") == F.col("stays")).alias("kept"), "alike")
+    marks = materialized(marks.where("NOT kept OR alike > 1").select("key", "kept"), "marks")
+    rest = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    alone = rest.join(marks, "key", "left_anti").select("row.*")
+    repeated = marks.where("kept")
+    if repeated.isEmpty():
+        return alone
+    one = rest.join(repeated, "key").groupBy("key").agg(F.min("row").alias("row"))
+    return alone.unionAll(one.select("row.*"))

@@ -1,158 +1,39 @@
 from __future__ import annotations
 
-import random
+from collections import Counter
 
-import numpy as np
+from tallywood.llm.near_copies import one_of_each
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
-from tallywood.llm import near_copies
 
+def expected(rows: list[tuple]) -> Counter:
+    """Of each group the first row by null id, id and then all columns."""
+    groups = plain_components([plain_fingerprint(r[1] or "") for r in rows], list(range(len(rows))))
+    best: dict = {}
+    for group, row in zip(groups, rows):
+        order = (row[0] is None, row[0] or 0, tuple((x is not None, x) for x in row))
+        if group not in best or order < best[group][0]:
+            best[group] = order, row
+    return Counter(row for _, row in best.values())
 
-def jaccard(a: str, b: str, k: int = 5) -> float:
-    def of(t):
-        w = t.lower().split()
-        return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
 
-    x, y = of(a), of(b)
-    return len(x & y) / len(x | y)
-
-
-def corpus(seed=1, n=60):
-    rng = random.Random(seed)
-    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(3000)]
-    texts = []
-    for _ in range(n):
-        words = rng.choices(vocabulary, k=rng.randint(120, 500))
-        texts.append(" ".join(words))
-        for _ in range(rng.randint(0, 3)):
-            copy = list(words)
-            for _ in range(rng.randint(0, max(1, len(words) // 60))):
-                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
-            texts.append(" ".join(copy))
-    return texts
-
-
-def test_near_copies_go_and_others_stay(spark):
-    texts = corpus()
-    frame = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id int, text string, source string")
-    kept = {r.doc_id for r in near_copies.one_of_each(frame).collect()}
-    missed = copies = 0
-    for i, t in enumerate(texts):
-        like = [jaccard(t, texts[j]) for j in range(len(texts)) if j != i]
-        smaller = [jaccard(t, texts[j]) for j in range(i)]
-        if max(smaller, default=0) >= 0.8:
-            copies += 1
-            missed += i in kept
-        if max(like) < 0.6:
-            assert i in kept
-    assert copies > 30 and missed <= 0.04 * copies
-
-
-def test_blocks_connect_as_all_pairs_do(spark, monkeypatch):
-    texts = corpus(2, 12) * 1
-    rng = random.Random(9)
-    base = texts[0].split()
-    for _ in range(150):  # one large group of near copies
-        copy = list(base)
-        copy[rng.randrange(len(copy))] = "zz"
-        texts.append(" ".join(copy) + f" end{len(texts)}")
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    results = []
-    for wide, rows in ((32, 16), (10**9, 1024), (0, 1024)):
-        monkeypatch.setattr(near_copies, "WIDE_KEY", wide)
-        monkeypatch.setattr(near_copies, "BLOCK_ROWS", rows)
-        results.append(sorted(r.doc_id for r in near_copies.one_of_each(frame).collect()))
-    assert results[0] == results[1] == results[2]
-    assert not set(results[0]) & set(range(len(texts) - 150, len(texts)))
+def test_one_row_of_each_group_stays(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = one_of_each(docs)
+    assert found.dtypes == docs.dtypes
+    assert Counter(map(tuple, found.collect())) == expected([tuple(r) for r in docs.collect()])
 
 
 def test_odd_rows(spark):
-    rows = [(None, "same words here now yes ok", 1), (5, "Same  words here now yes OK", 2),
-            (4, "same words here now yes ok", 3), (4, "same words here now yes ok", 2),
-            (9, None, 1), (8, "", 1), (7, " \n", 1), (None, "alone in the world it is", 1),
-            (11, "x" * 200_000, 1), (12, "w " * 100_000, 1)]
-    frame = spark.createDataFrame(rows, "doc_id int, text string, raw int")
-    kept = near_copies.one_of_each(frame)
-    assert kept.columns == frame.columns
-    assert {tuple(r) for r in kept.collect()} == {
-        (4, "same words here now yes ok", 2), (7, " \n", 1), (None, "alone in the world it is", 1),
-        (11, "x" * 200_000, 1), (12, "w " * 100_000, 1),
-    }
-    assert near_copies.one_of_each(frame.limit(0)).count() == 0
-
-
-def test_bits_for_a_similarity():
-    assert near_copies.most_differing(1.0) == 0
-    rng = np.random.default_rng(0)
-    shared = rng.integers(0, 10**9, 400)
-    texts = []
-    for seed in (1, 2):
-        own = np.random.default_rng(seed).integers(10**9, 2 * 10**9, 50)
-        texts.append([str(x).encode() for x in [*shared, *own]])
-    prints = [near_copies.wide_fingerprint(t, 1, 8) for t in texts]
-    apart = sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(*prints))
-    assert apart <= near_copies.most_differing(0.8)
-
-
-def passages(seed=4, n=150, least=0.82):
-    """Pairs of texts that differ in one passage: appended, or in place of another."""
-    rng = random.Random(seed)
-    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(5000)]
-    pairs = []
-    for i in range(n):
-        words = rng.choices(vocabulary, k=rng.randint(100, 400))
-        shingles = len(words) - 4
-        if i % 2:
-            other = words + rng.choices(vocabulary, k=int(shingles * (1 / least - 1)))
-        else:
-            k = int(shingles * (1 - least) / (1 + least)) - 4
-            at = rng.randrange(5, len(words) - k - 5)
-            other = words[:at] + rng.choices(vocabulary, k=k) + words[at + k :]
-        pairs.append((" ".join(words), " ".join(other)))
-    return pairs
-
-
-def test_texts_that_differ_in_one_passage_are_found(spark):
-    pairs = passages()
-    assert all(0.81 < jaccard(a, b) < 0.87 for a, b in pairs)
-    texts = [t for pair in pairs for t in pair]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    kept = {r.doc_id for r in near_copies.one_of_each(frame).collect()}
-    assert kept >= set(range(0, len(texts), 2))
-    assert len(kept) - len(pairs) <= 0.02 * len(pairs)
-
-
-def kept_exactly(texts):
-    """Places of the first text of each group, by comparing all pairs."""
-    first = list(range(len(texts)))
-
-    def root(i):
-        while first[i] != i:
-            i = first[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if jaccard(texts[i], texts[j]) >= 0.8 and root(i) != root(j):
-                low, high = sorted((root(i), root(j)))
-                first[high] = low
-    return [i for i in range(len(texts)) if first[i] == i]
-
-
-def test_groups_are_exact_on_both_sides_of_the_limit(spark, monkeypatch):
-    texts = [t for least in (0.68, 0.74, 0.78, 0.8) for pair in passages(7, 14, least) for t in pair]
-    rng = random.Random(3)
-    for i in range(30):  # short texts: 5 of 7, 4 of 5 and 4 of 6 shingles in common
-        words = [f"s{i}x{j}" for j in range(10)]
-        texts += [" ".join(words), " ".join([*words[:9], "other"])]
-        texts += [" ".join(w + "y" for w in words[:8]), " ".join(w + "y" for w in words[:9])]
-        texts += [" ".join(w + "z" for w in words[:9]), " ".join([*(w + "z" for w in words[:8]), "other"])]
-    page = [f"p{j}" for j in range(200)]
-    for i in range(40):  # pages of one kind, some similar enough, most not
-        own = [f"o{i if rng.random() < 0.6 else i // 4}w{j}" for j in range(rng.randint(8, 34))]
-        texts.append(" ".join(page + own))
-    expected = kept_exactly(texts)
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    for wide, rows in ((32, 1024), (0, 16), (10**9, 1024)):
-        monkeypatch.setattr(near_copies, "WIDE_KEY", wide)
-        monkeypatch.setattr(near_copies, "BLOCK_ROWS", rows)
-        assert sorted(r.doc_id for r in near_copies.one_of_each(frame).collect()) == expected
+    rows = [
+        (5, "one two three four", 3, "a"), (4, "ONE two  three four", 2, "b"), (4, "ONE two  three four", 1, "b"),
+        (None, "one two three four", 0, None), (9, None, 1, "c"), (8, "", 1, "c"), (7, " \t", 2, None),
+        (None, "only without an id", 5, "d"), (None, "only without an id", 5, "d"), (1, "x" * 200_000, 1, "e"),
+        (2, "w " * 100_000, 1, "e"), (3, "quite another text", 1, "f"), (3, "and one more of this id", 1, "f"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `key` int, `component.x` string")
+    assert Counter(map(tuple, one_of_each(docs).collect())) == expected(rows)
+    alone = docs.where("doc_id = 3")
+    assert one_of_each(alone).count() == 2
+    assert one_of_each(docs.limit(0)).count() == 0
+    assert one_of_each(docs.limit(0)).dtypes == docs.dtypes
