@@ -22,9 +22,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: five-word shingles, 0.8 or more."""
+    """One document of each SimHash group: three-word shingles, three differing bits or fewer."""
     shipped(spark)
-    return near_copies.one_of_each(docs, words=5, similarity=0.8)
+    return near_copies.one_of_each(docs, words=3)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
