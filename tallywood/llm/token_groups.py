@@ -86,50 +86,60 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], order
 
 
+def _class_id(tokens: np.ndarray) -> int:
+    """64-bit hash of a set: equal sets are one class."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
+
+
 def _digests(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, sid, n, prefix) of every row: a 128-bit hash of its set, the set's size,
-    and its first tokens; without words ``sid`` is null."""
+    """(doc_id, cid, n, like, prefix) of every row: the class and the size of its set, a
+    second smallest hash, and its first tokens; without words all but n are null.
+
+    ``like`` is equal for two sets as likely as they are similar.
+    """
     frequent, rank = _frequent(docs, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids, sizes, prefixes = [], [], []
+            rows: list[tuple] = []
             for text in texts_of(batch.column("text")):
                 tokens = shingle_set(text, words)
-                sids.append(xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
-                sizes.append(len(tokens))
-                prefixes.append(_prefix(tokens, percent, frequent, rank) if len(tokens) else None)
+                if not len(tokens):
+                    rows.append((None, 0, None, None))
+                    continue
+                second = _mixed(tokens.view(np.uint64) ^ np.uint64(words)).min()
+                rows.append((
+                    _class_id(tokens), len(tokens), int(second.view(np.int64)),
+                    _prefix(tokens, percent, frequent, rank),
+                ))
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sids, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "sid", "n", "prefix"],
-            )
-
-    return docs.mapInArrow(run, "doc_id bigint, sid binary, n bigint, prefix array<bigint>")
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                ["doc_id", "cid", "n", "like", "prefix"],
+            )
 
+    return docs.mapInArrow(run, "doc_id bigint, cid bigint, n bigint, like bigint, prefix array<bigint>")
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cid, n, tokens, like) of the classes ``wanted`` (cid, sid, doc_id).
 
-    Only the texts of those documents are read again. ``like`` is the smallest of the
-    tokens' second hashes, equal for two sets as likely as they are similar.
-    """
+def _sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """(cid, tokens) of the classes in ``needed`` (cid); only one document's text of each
+    is read again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, words) for t in texts_of(batch.column(0))]
             sets = [s for s in sets if len(s)]
-            second = [int(_mixed(s.view(np.uint64) ^ np.uint64(words)).min().view(np.int64)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array(sets, pa.list_(pa.int64())), pa.array(second, pa.int64())],
-                ["sid", "tokens", "like"],
-            )
+                [pa.array([_class_id(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                ["cid", "tokens"],
+            )
 
-    ids = wanted.select(F.col("doc_id").alias("w")).distinct()
+    needed = materialized(needed.distinct(), "needed")
+    ids = classes.join(needed, "cid", "left_semi").select(F.col("doc_id").alias("w")).distinct()
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["w"]), "left_semi").select("text")
-    found = texts.mapInArrow(run, "sid binary, tokens array<bigint>, like bigint")
-    named = found.join(wanted.select("cid", "sid", "n"), "sid")
-    return named.groupBy("cid").agg(*(F.first(c).alias(c) for c in ("n", "tokens", "like")))
+    found = texts.mapInArrow(run, "cid bigint, tokens array<bigint>").join(needed, "cid", "left_semi")
+    return materialized(found.dropDuplicates(["cid"]), "sets")
 
 
 def _may_link(percent: int, n: Column, pos: Column, low: Column, high: Column, first: Column) -> Column:
@@ -191,21 +201,25 @@ def open_group(queries: pa.Table, members: pa.Table, percent: int) -> list[tuple
     return links
 
 
-def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _opened(
+    queries: DataFrame, members: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int
+) -> DataFrame:
     """(a, b): verified links of ``queries`` (cid, comp, gid) with ``members`` (gid, cid, comp).
 
-    Many queries of one group are dealt to several tasks, each with the group's members.
+    Only groups that some query asks for are read. Many queries of one group are dealt to
+    several tasks, each with the group's members.
     """
-    about = queries.join(sets.select("cid", "n"), "cid")
-    load = about.groupBy("gid").agg(F.ceil(F.sum("n") / QUERY_TOKENS).alias("chunks"))
+    load = queries.join(classes.select("cid", "n"), "cid").groupBy("gid").agg(
+        F.ceil(F.sum("n") / QUERY_TOKENS).alias("chunks")
+    )
     load = materialized(load, "load")
-    tokens = sets.select("cid", "tokens")
     asked = queries.join(load, "gid").select(
         "gid", F.pmod(F.xxhash64("cid"), "chunks").alias("chunk"), "cid", "comp"
     )
     opened = members.join(load, "gid").select(
         "gid", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), "cid", "comp"
     )
+    tokens = _sets(docs, classes, asked.select("cid").unionAll(opened.select("cid")), words)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         links = open_group(left, right, percent)
@@ -223,66 +237,71 @@ def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: in
     return left.cogroup(right).applyInArrow(run, "a bigint, b bigint")
 
 
-def _to_leading(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of documents to the leading holder of each of their prefix tokens.
+def _leading(shared: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Queries (cid, comp, gid) and members (gid, cid, comp): documents, and the leading
+    holders of their prefix tokens as groups of one.
 
     The holder whose order comes to the token first has the fewest tokens of its own; of
-    a family of copies it is the common origin. One comparison a row, so that
-    a token that very many documents share costs no pairs.
+    a family of copies it is the common origin. One comparison a row, so that a token
+    that very many documents share costs no pairs.
     """
     lead = shared.groupBy("token").agg(F.min(F.struct("pos", "n", "cid")).alias("lead"))
     near = _may_link(
         percent, F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.n"), F.col("lead.pos")
     )
     pairs = shared.join(lead, "token").where((F.col("cid") != F.col("lead.cid")) & near)
-    queries = pairs.select("cid", F.col("cid").alias("comp"), F.col("lead.cid").alias("gid")).distinct()
-    queries = materialized(queries, "led")
-    leaders = queries.select("gid").distinct()
-    members = leaders.select("gid", F.col("gid").alias("cid"), F.col("gid").alias("comp"))
-    return _opened(queries, members, sets, percent)
+    # Of two that lead each other at different tokens one asks.
+    ends = (F.col("cid"), F.col("lead.cid"))
+    asks = pairs.select(F.greatest(*ends).alias("x"), F.least(*ends).alias("y"), F.col("lead.cid").alias("gid"))
+    once = asks.groupBy("x", "y").agg(F.max("gid").alias("gid"))
+    cid = F.when(F.col("gid") == F.col("x"), F.col("y")).otherwise(F.col("x"))
+    queries = materialized(once.select(cid.alias("cid"), cid.alias("comp"), "gid"), "led")
+    members = queries.select("gid").distinct()
+    return queries, members.select("gid", F.col("gid").alias("cid"), F.col("gid").alias("comp"))
 
 
-def _groups(sets: DataFrame) -> DataFrame:
+def _groups(classes: DataFrame) -> DataFrame:
     """(cid, gid): documents of the same second hash, in blocks of bounded size."""
-    sizes = sets.groupBy("like").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("blocks"))
+    sizes = classes.groupBy("like").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("blocks"))
     block = F.pmod(F.xxhash64("cid"), "blocks")
-    return sets.select("cid", "like").join(sizes, "like").select(
+    return classes.select("cid", "like").join(sizes, "like").select(
         "cid", F.xxhash64("like", block).alias("gid")
     )
 
 
-def _to_groups(
-    shared: DataFrame, sets: DataFrame, known: DataFrame, percent: int
-) -> DataFrame:
-    """All links between documents that ``known`` (vertex, component) does not connect yet.
+def _qualifying(
+    shared: DataFrame, classes: DataFrame, known: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Queries (cid, comp, gid) and members (gid, cid, comp): documents, and groups that may
+    hold similar ones which ``known`` (vertex, component) does not connect with them yet.
 
     The matrix is sparse: a row for a token, a group and a component of its members, with
     the place of the token and the sizes of the sets at best. Documents meet the rows of
     their prefix tokens. Most holders of a frequent token belong to one component by now;
     those ask nothing, as the others ask them.
     """
-    groups = _groups(sets)
+    holders = classes.join(shared.select("cid").distinct(), "cid", "left_semi")
+    groups = _groups(holders)
     places = groups.join(known, groups["cid"] == known["vertex"], "left").select(
         "cid", "gid", F.coalesce("component", "cid").alias("comp")
     )
     places = materialized(places, "places")
-    rows = materialized(shared.join(places, "cid"), "placed")
+    rows = shared.join(places, "cid")
     tokens = rows.groupBy("token").agg(
         F.min("comp").alias("least"), F.max("comp").alias("most"),
         F.min(F.struct("pos", "n", "comp"))["comp"].alias("main"),
     )
     open_tokens = tokens.where("least != most").select("token", "main")
-    matrix = rows.groupBy("token", "gid", "comp").agg(
+    rows = materialized(rows.join(open_tokens, "token"), "placed")
+    matrix = rows.groupBy("token", "gid", F.col("comp").alias("held")).agg(
         F.min("pos").alias("first"), F.min("n").alias("low"), F.max("n").alias("high")
     )
-    asking = rows.join(open_tokens, "token").where("comp != main").select(
-        "token", "main", "cid", "comp", "pos", "n"
-    )
-    cells = matrix.select("token", "gid", F.col("comp").alias("held"), "first", "low", "high")
+    asking = rows.where("comp != main").select("token", "main", "cid", "comp", "pos", "n")
     near = _may_link(percent, *(F.col(c) for c in ("n", "pos", "low", "high", "first")))
-    met = asking.join(cells, "token").where(((F.col("held") == F.col("main")) | (F.col("held") < F.col("comp"))) & near)
+    once = (F.col("held") == F.col("main")) | (F.col("held") < F.col("comp"))
+    met = asking.join(matrix, "token").where(once & near)
     queries = materialized(met.select("cid", "comp", "gid").distinct(), "asked")
-    return _opened(queries, places.select("gid", "cid", "comp"), sets, percent)
+    return queries, places.select("gid", "cid", "comp")
 
 
 def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -290,8 +309,8 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
 
     Documents link where the sets of their word shingles have ``percent`` of a hundred or
     more of their union in common; component_id is the smallest doc_id that links reach,
-    the document's own included. Equal sets are one vertex. Shingles are compared by
-    64-bit hashes, sets by 128-bit ones. No pairs of a group are laid out: documents are
+    the document's own included. Equal sets are one vertex. Shingles and
+    whole sets are compared by 64-bit hashes. No pairs of a group are laid out: documents are
     first compared with one leading holder of each token of their prefix, and what that
     leaves unconnected goes through the token-group matrix.
 
@@ -302,29 +321,29 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     digests = materialized(_digests(docs, words, percent), "digests")
-    classes = digests.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")
+    classes = digests.where("cid IS NOT NULL").groupBy("cid").agg(
+        F.first("n").alias("n"), F.first("like").alias("like"), F.min("doc_id").alias("doc_id")
     )
-    classes = materialized(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    keyed = classes.select(
+    classes = materialized(classes, "classes")
+    keyed = digests.select(
         F.posexplode("prefix").alias("pos", "token"), "cid", F.col("n").cast("int").alias("n")
     )
     several = keyed.groupBy("token").agg(F.min("cid").alias("a"), F.max("cid").alias("b"))
-    shared = materialized(keyed.join(several.where("a != b").select("token"), "token"), "shared")
-    wanted = classes.join(shared.select("cid").distinct(), "cid", "left_semi")
-    sets = materialized(_sets(docs, wanted.select("cid", "sid", "doc_id", "n"), words), "sets")
-    led = materialized(_to_leading(shared, sets, percent), "links")
+    shared = keyed.join(several.where("a != b").select("token"), "token").distinct()
+    shared = materialized(shared, "shared")
+    led = materialized(_opened(*_leading(shared, percent), docs, classes, words, percent), "links")
     known = connected_components(led)
-    rest = materialized(_to_groups(shared, sets, known, percent), "links")
+    groups = _qualifying(shared, classes, known, percent)
+    rest = materialized(_opened(*groups, docs, classes, words, percent), "links")
     parts = connected_components(led.unionAll(rest))
     labelled = classes.join(parts, classes["cid"] == parts["vertex"], "left").select(
-        "sid", "doc_id", F.coalesce("component", "cid").alias("component")
+        "cid", "doc_id", F.coalesce("component", "cid").alias("component")
     )
     smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(smallest, "component").select("sid", "component_id")
-    return digests.join(named, "sid", "left").select(
+    named = labelled.join(smallest, "component").select("cid", "component_id")
+    return digests.select("doc_id", "cid", "n").join(named, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 

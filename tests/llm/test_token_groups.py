@@ -92,8 +92,8 @@ def test_families_of_copies(spark, monkeypatch, sizes, words, edits):
 def test_all_links_go_through_the_groups(spark, monkeypatch):
     """Without the comparison with leading holders the matrix finds every link."""
     rows = families(3, [40, 30, 2, 2, 1], 60, 3)
-    none = lambda shared, sets, percent: spark.createDataFrame([], "a bigint, b bigint")
-    monkeypatch.setattr(op, "_to_leading", none)
+    empty = spark.createDataFrame([], "gid bigint, cid bigint, comp bigint")
+    monkeypatch.setattr(op, "_leading", lambda shared, percent: (empty, empty))
     monkeypatch.setattr(op, "GROUP_TOKENS", 300)
     same(op.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), rows)
 
