@@ -20,8 +20,3 @@ def parameter_table(model, df: DataFrame) -> DataFrame:
         for p, value in sorted(stage.extractParamMap().items(), key=lambda item: item[0].name)
     ]
     return df.sparkSession.createDataFrame(rows, "parameter string, value string, meaning string")
-
-
-def rules(model) -> str:
-    """Learned rules of a tree or forest as text."""
-    return last_stage(model).toDebugString

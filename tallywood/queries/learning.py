@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import one_hot_index, squared_distance
-from tallywood.learning import cluster, features, inspect, jobs, tuning
+from tallywood.learning import cluster, features, inspect, jobs, trees, tuning
 from tallywood.learning.models import (
     DEFAULT_FOLDS,
     GRIDS,
@@ -353,6 +353,144 @@ def rf_classify_predict(t: Tables) -> DataFrame:
     return _churn_fit(t, "forest", maxDepth=10, numTrees=50, maxBins=45)
 
 
+# --- trees as tables ---------------------------------------------------------------
+
+TREE_FEATURES = ["n_orders", "c_nationkey", "price_band"]
+TREE_DEPTH = 4
+
+
+def tree_rows(t: Tables) -> DataFrame:
+    """Customers with few-valued features; the label says whether they spent much."""
+    rows = churn_rows(t).withColumn("price_band", F.floor(F.col("mean_price") / 20000).cast("double"))
+    spends = F.when(F.col("spent") > 1_500_000, 1.0).otherwise(0.0)
+    known = rows.select("c_custkey", *TREE_FEATURES, spends.alias("label"))
+    return features.assemble(known, TREE_FEATURES)
+
+
+def _fitted_tree(t: Tables):
+    rows = materialized(tree_rows(t), "tree-rows")
+    return rows, estimator("tree", maxDepth=TREE_DEPTH, maxBins=256).fit(rows)
+
+
+def _tree_sql() -> str:
+    """CTEs that grow the same tree level by level: ``nodes`` (path, ...) and ``ends`` (id, path).
+
+    A path says left or right from the root down. Thresholds lie half way between
+    neighbouring values of all rows; the greatest gain wins, then the first feature, then
+    the smallest threshold. What has one prediction throughout is one leaf.
+    """
+    steps = [f"""totals AS (
+          SELECT o_custkey AS id, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
+          FROM orders GROUP BY o_custkey
+        ),
+        base AS (
+          SELECT c_custkey AS id, CAST(coalesce(n, 0) AS DOUBLE) AS x0, CAST(c_nationkey AS DOUBLE) AS x1,
+            CASE WHEN coalesce(n, 0) = 0 THEN 0.0 ELSE floor(spent / n / 20000) END AS x2,
+            CASE WHEN coalesce(spent, 0) > 1500000 THEN 1 ELSE 0 END AS y
+          FROM customer LEFT JOIN totals ON id = c_custkey
+        ),
+        value AS (SELECT DISTINCT f, x FROM (UNPIVOT base ON x0, x1, x2 INTO NAME f VALUE x)),
+        cut AS (
+          SELECT f, (x + after) / 2 AS thr
+          FROM (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS after FROM value)
+          WHERE after IS NOT NULL
+        ),
+        at0 AS MATERIALIZED (SELECT *, '' AS path FROM base)"""]
+    gini = "(1.0 - (({a}) / ({n})) * (({a}) / ({n})) - (({b}) / ({n})) * (({b}) / ({n})))"
+    for d in range(TREE_DEPTH + 1):
+        own = gini.format(a="CAST(n - n1 AS DOUBLE)", b="CAST(n1 AS DOUBLE)", n="CAST(n AS DOUBLE)")
+        steps.append(f"""sum{d} AS (
+          SELECT path, n, n1, {own} AS impurity FROM (
+            SELECT path, count(*) AS n, sum(y) AS n1 FROM at{d} GROUP BY path))""")
+        if d == TREE_DEPTH:
+            steps.append(f"""level{d} AS (SELECT *, CAST(NULL AS VARCHAR) AS f, CAST(NULL AS DOUBLE) AS thr,
+              CAST(NULL AS DOUBLE) AS gain FROM sum{d})""")
+            break
+        left = gini.format(a="l - l1", b="l1", n="l")
+        right = gini.format(a="(n - l) - (n1 - l1)", b="n1 - l1", n="n - l")
+        steps.append(f"""try{d} AS (
+          SELECT path, f, thr, impurity - (l / n) * {left} - ((n - l) / n) * {right} AS gain
+          FROM (
+            SELECT path, f, thr, impurity, CAST(n AS DOUBLE) AS n, CAST(n1 AS DOUBLE) AS n1,
+              CAST(count(*) FILTER (WHERE x <= thr) AS DOUBLE) AS l,
+              CAST(count(*) FILTER (WHERE x <= thr AND y = 1) AS DOUBLE) AS l1
+            FROM (UNPIVOT at{d} ON x0, x1, x2 INTO NAME f VALUE x) JOIN cut USING (f) JOIN sum{d} USING (path)
+            GROUP BY ALL)
+          WHERE l > 0 AND l < n AND impurity >= 1e-16),
+        level{d} AS (
+          SELECT s.*, b.f, b.thr, b.gain FROM sum{d} s LEFT JOIN (
+            SELECT * FROM try{d} QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, thr) = 1
+          ) b ON b.path = s.path AND b.gain > 0),
+        at{d + 1} AS MATERIALIZED (
+          SELECT a.* REPLACE (a.path || CASE WHEN
+            CASE f WHEN 'x0' THEN x0 WHEN 'x1' THEN x1 ELSE x2 END <= thr THEN 'L' ELSE 'R' END AS path)
+          FROM at{d} a JOIN level{d} v ON v.path = a.path AND v.f IS NOT NULL)""")
+    levels = " UNION ALL ".join(f"SELECT * FROM level{d}" for d in range(TREE_DEPTH + 1))
+    last = " UNION ALL ".join(
+        f"SELECT a.id, a.path FROM at{d} a JOIN level{d} v ON v.path = a.path AND v.f IS NULL"
+        for d in range(TREE_DEPTH + 1)
+    )
+    steps.append(f"""grown AS MATERIALIZED ({levels}),
+        told AS (SELECT *, CASE WHEN n1 > n - n1 THEN 1.0 ELSE 0.0 END AS prediction FROM grown),
+        one AS (
+          SELECT a.path FROM told a JOIN told b ON starts_with(b.path, a.path) AND b.f IS NULL
+          GROUP BY a.path HAVING count(DISTINCT b.prediction) = 1
+        ),
+        nodes AS MATERIALIZED (
+          SELECT told.* REPLACE (CASE WHEN one.path IS NULL THEN f END AS f),
+            row_number() OVER (ORDER BY told.path) - 1 AS node
+          FROM told LEFT JOIN one ON one.path = told.path
+          WHERE NOT EXISTS (SELECT 1 FROM one o WHERE o.path != told.path AND starts_with(told.path, o.path))
+        ),
+        ends AS ({last})""")
+    return "WITH " + ", ".join(steps)
+
+
+@query(
+    "tree_nodes_table",
+    f"""{_tree_sql()}
+        SELECT CAST(a.node AS INTEGER) AS node, CAST(substr(a.f, 2) AS INTEGER) AS feature,
+          CASE WHEN a.f IS NOT NULL THEN a.thr END AS threshold,
+          CAST(l.node AS INTEGER) AS "left", CAST(r.node AS INTEGER) AS "right",
+          CASE WHEN a.f IS NOT NULL THEN round(a.gain, 9) END AS gain,
+          CAST(a.n AS BIGINT) AS n, CAST(a.n1 AS BIGINT) AS n_positive, CAST(a.prediction AS DOUBLE) AS prediction
+        FROM nodes a LEFT JOIN nodes l ON l.path = a.path || 'L' LEFT JOIN nodes r ON r.path = a.path || 'R'""",
+)
+def tree_nodes_table(t: Tables) -> DataFrame:
+    """Every node of a fitted tree: its split, rows, class counts and prediction."""
+    rows, model = _fitted_tree(t)
+    return trees.node_table(model, t.spark).select(
+        "node", "feature", "threshold", "left", "right", F.round("gain", 9).alias("gain"), "n",
+        F.col("stats")[1].cast("bigint").alias("n_positive"), "prediction",
+    )
+
+
+@query(
+    "tree_scores_by_table",
+    f"""{_tree_sql()}
+        SELECT ends.id AS c_custkey, CAST(nodes.prediction AS DOUBLE) AS prediction, true AS as_model
+        FROM ends JOIN nodes ON nodes.f IS NULL AND starts_with(ends.path, nodes.path)""",
+)
+def tree_scores_by_table(t: Tables) -> DataFrame:
+    """Every customer's class by walking the table of nodes, and whether the model says so too."""
+    rows, model = _fitted_tree(t)
+    modelled = model.transform(rows).withColumnRenamed("prediction", "told")
+    scored = trees.score_classes(modelled, trees.node_table(model, t.spark), depth=TREE_DEPTH)
+    return scored.select("c_custkey", "prediction", (F.col("prediction") == F.col("told")).alias("as_model"))
+
+
+GRID_FEATURES = ["n_orders", "spent", "mean_price", "c_nationkey"]
+
+
+@query("churn_tree_grid")
+def churn_tree_grid(t: Tables) -> DataFrame:
+    """All 72 points of the churn tree's grid by ten-fold cross validation, best first."""
+    train, _ = churn_split(t)
+    rows = features.assemble(train, GRID_FEATURES)
+    fold = F.pmod(F.xxhash64("c_custkey", F.lit("fold")), F.lit(DEFAULT_FOLDS))
+    return trees.prefix_grid(rows, "tree", GRIDS["churn_tree"], fold, DEFAULT_FOLDS)
+
+
 @query("cross_validate_grid")
 def cross_validate_grid(t: Tables) -> DataFrame:
     """Parameter sets of a ten-fold cross validation with their mean metric."""

@@ -23,7 +23,7 @@ SLOW = {  # searches and sweeps, run one by one by the comparison tool
     "model_parameter_table", "categorical_tree_predict", "kmeans_anomalies",
     "leaderboard_is_sorted", "reloaded_search_scores_as_before", "claims_severity_job_ids",
     "text_probabilities_add_up", "forest_predictions_are_known_classes", "cost_sweep_has_every_point",
-    "cluster_labels_add_up",
+    "cluster_labels_add_up", "churn_tree_grid",
 }
 
 
