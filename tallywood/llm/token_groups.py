@@ -122,24 +122,35 @@ def _digests(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, cid bigint, n bigint, like bigint, prefix array<bigint>")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """(cid, tokens) of the classes in ``needed`` (cid); only one document's text of each
-    is read again."""
+def _texts(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
+    """(cid, text) of the classes in ``needed`` (cid), by the document that stands for each.
+
+    Texts travel instead of tokens, as they are smaller. Where an id has several texts all
+    are there; ``_with_tokens`` takes the right one.
+    """
+    # Written first, so that a small list is known to be small and no text is shuffled for it.
+    wanted = materialized(
+        classes.join(needed.distinct(), "cid", "left_semi").select("cid", F.col("doc_id").alias("w")), "wanted"
+    )
+    texts = materialized(
+        docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["w"])).select("cid", "text"), "texts"
+    )
+    repeated = texts.groupBy("cid").count().where("count > 1")
+    return texts if repeated.isEmpty() else materialized(texts.distinct(), "texts")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, words) for t in texts_of(batch.column(0))]
-            sets = [s for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_id(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                ["cid", "tokens"],
-            )
 
-    needed = materialized(needed.distinct(), "needed")
-    ids = classes.join(needed, "cid", "left_semi").select(F.col("doc_id").alias("w")).distinct()
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["w"]), "left_semi").select("text")
-    found = texts.mapInArrow(run, "cid bigint, tokens array<bigint>").join(needed, "cid", "left_semi")
-    return materialized(found.dropDuplicates(["cid"]), "sets")
+def _with_tokens(rows: pa.Table, words: int) -> pa.Table:
+    """Rows with the tokens of their text, without those of another text of the same id."""
+    rows = rows.combine_chunks()
+    sets, kept = [], []
+    texts = (t for chunk in rows.column("text").chunks for t in texts_of(chunk))
+    for at, (cid, text) in enumerate(zip(rows.column("cid").to_pylist(), texts)):
+        tokens = shingle_set(text, words)
+        if len(tokens) and _class_id(tokens) == cid:
+            sets.append(tokens)
+            kept.append(at)
+    taken = rows.drop_columns(["text"]).take(pa.array(kept, pa.int64()))
+    return taken.append_column("tokens", pa.array(sets, pa.list_(pa.int64())))
 
 
 def _may_link(percent: int, n: Column, pos: Column, low: Column, high: Column, first: Column) -> Column:
@@ -219,10 +230,11 @@ def _opened(
     opened = members.join(load, "gid").select(
         "gid", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), "cid", "comp"
     )
-    tokens = _sets(docs, classes, asked.select("cid").unionAll(opened.select("cid")), words)
+    asked, opened = materialized(asked, "asking"), materialized(opened, "opened")
+    texts = _texts(docs, classes, asked.select("cid").unionAll(opened.select("cid")))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        links = open_group(left, right, percent)
+        links = open_group(_with_tokens(left, words), _with_tokens(right, words), percent)
         return pa.table({
             "a": pa.array([a for a, _ in links], pa.int64()),
             "b": pa.array([b for _, b in links], pa.int64()),
@@ -230,8 +242,8 @@ def _opened(
 
     # Fresh columns by ``toDF``: both sides stem from the same tables.
     left, right = (
-        f.join(tokens, "cid").select("gid", "chunk", "cid", "comp", "tokens")
-        .toDF("gid", "chunk", "cid", "comp", "tokens").groupBy("gid", "chunk")
+        f.join(texts, "cid").select("gid", "chunk", "cid", "comp", "text")
+        .toDF("gid", "chunk", "cid", "comp", "text").groupBy("gid", "chunk")
         for f in (asked, opened)
     )
     return left.cogroup(right).applyInArrow(run, "a bigint, b bigint")
