@@ -114,7 +114,9 @@ def sample_negatives(
     draws = placed.select(
         user, F.explode(F.array(2 * place, 2 * place + 1)).alias("_draw")
     ).where(F.col("_draw") < n_items)
-    walk = F.col(user) * USER_STEP + F.col("_draw") * stride + seed
+    # Reduced first: the product of a large id would not fit.
+    own = F.pmod(F.col(user), F.lit(n_items))
+    walk = own * USER_STEP + F.col("_draw") * stride + seed
     drawn = draws.withColumn("_at", F.pmod(walk, F.lit(n_items))).join(catalog, "_at").drop("_at")
     others = drawn.join(pairs, [user, item], "left_anti")
     ranked = number_within(others, [user], ["_draw"], "_rank", heavy)

@@ -31,7 +31,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if current is None:
-        if not context.master.startswith("local"):
+        # ``local-cluster[...]`` has executors of their own.
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallywood-"))
         current = context.getCheckpointDir()

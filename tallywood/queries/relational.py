@@ -264,15 +264,14 @@ def head_ordered(t: Tables) -> DataFrame:
     "union_all_train_test",
     """SELECT l_orderkey, l_quantity, l_tax FROM lineitem WHERE l_linestatus = 'F'
        UNION ALL
-       SELECT l_orderkey, l_quantity, l_tax FROM lineitem WHERE l_linestatus <> 'F'""",
+       SELECT l_orderkey, l_quantity, l_tax FROM lineitem WHERE l_linestatus IS DISTINCT FROM 'F'""",
 )
 def union_all_train_test(t: Tables) -> DataFrame:
-    train = t.lineitem.where(F.col("l_linestatus") == "F").select(
+    closed = F.col("l_linestatus").eqNullSafe("F")
+    train = t.lineitem.where(closed).select(
         "l_orderkey", "l_quantity", "l_tax", F.col("l_extendedprice").alias("loss")
     )
-    test = t.lineitem.where(F.col("l_linestatus") != "F").select(
-        "l_tax", "l_quantity", "l_orderkey"
-    )
+    test = t.lineitem.where(~closed).select("l_tax", "l_quantity", "l_orderkey")
     return rows.union_rows(train, test, drop_left=["loss"])
 
 
