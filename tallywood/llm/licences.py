@@ -50,6 +50,9 @@ TAGS = ("spdx-license-identifier:", "license-expression:")
 SURE = {"tag": 0.9, "base": 0.6, "notice": 0.4}
 
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
+_NEXT = re.compile(r"[ \t]*([()]|[a-z0-9][a-z0-9.+:-]*)")
+_UNKNOWN = re.compile(r"licenseref-[a-z0-9.-]+|[a-z0-9]+(-[a-z0-9.]+)*-\d+(\.\d+)*(-only|-or-later)?\+?")
+_LINE_END = re.compile(r"[\r\n]")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -116,17 +119,25 @@ def evaluate(tokens: list[str], allowed: frozenset[str]) -> tuple[bool, set[str]
     return stack[0]
 
 
+def is_identifier(name: str) -> bool:
+    """Whether a token names a licence: one of a known family, a reference, or any name that
+    ends with a version, as SPDX identifiers do."""
+    return family(name) in FAMILIES.values() or _UNKNOWN.fullmatch(name) is not None
+
+
 def _leading(line: str) -> list[str] | None:
     """The longest beginning of a line that is an expression, in postfix order.
 
-    A tag may be followed by other text, such as the end of a comment. One pass finds
-    the last operand or bracket up to which the tokens are an expression; only that
-    beginning is put in postfix order.
+    A tag may be followed by other text, such as the end of a comment: the first character
+    that belongs to no token, or word that names no licence, ends the expression; so does
+    an operator without an operand after it. One pass finds the last operand or bracket
+    up to which the tokens are an expression.
     """
-    tokens = _TOKEN.findall(line)
-    depth = whole = 0
+    tokens: list[str] = []
+    depth = whole = at = 0
     operand_next = True
-    for at, token in enumerate(tokens, 1):
+    while (found := _NEXT.match(line, at)) is not None:
+        token, at = found[1], found.end()
         if operand_next == (token in _RANK or token == ")"):
             break
         if token == "(":
@@ -135,10 +146,18 @@ def _leading(line: str) -> list[str] | None:
             depth -= 1
             if depth < 0:
                 break
+        elif token in _RANK:
+            operand_next = True
         else:
-            operand_next = token in _RANK
+            bare = token.rstrip(".:")
+            if not (tokens and tokens[-1] == "with") and not is_identifier(bare):
+                break
+            operand_next = False
+            if bare != token:  # a full stop ends the sentence
+                token, at = bare, len(line)
+        tokens.append(token)
         if not depth and not operand_next:
-            whole = at
+            whole = len(tokens)
     return postfix(" ".join(tokens[:whole]))
 
 
@@ -183,8 +202,8 @@ def scan_text(text: bytes, allowed: frozenset[str]) -> tuple:
     expressions = []
     raw = text.decode(errors="replace").translate(_LOWER)
     for end, _ in _tags().iter(raw):
-        stop = raw.find("\n", end)  # a tag's expression ends with its line
-        tail = raw[end + 1 : stop if stop >= 0 else len(raw)]
+        stop = _LINE_END.search(raw, end)  # a tag's expression ends with its line
+        tail = raw[end + 1 : stop.start() if stop else len(raw)]
         tokens = _leading(tail)
         if tokens is None:
             expressions.append((tail.strip(), False, False))

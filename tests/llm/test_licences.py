@@ -109,3 +109,18 @@ def test_leading_expression_is_the_longest_that_parses():
         tokens = rng.choices(["mit", "isc", "and", "or", "with", "(", ")"], k=rng.randint(0, 9))
         whole = (licences.postfix(" ".join(tokens[:n])) for n in range(len(tokens), 0, -1))
         assert licences._leading(" ".join(tokens)) == next((p for p in whole if p is not None), None)
+
+
+@pytest.mark.parametrize("line,labels,usable", [
+    ("MIT.", "mit", True), ("MIT, or so", "mit", True), ("MIT*/ or x", "mit", True),
+    ("see LICENSE file", "", None), ("MIT AND", "mit", True), ("MIT\rand GPL-2.0", "mit", True),
+    ("MIT or so", "mit", True), ("GPL-2.0-only WITH Classpath-exception-2.0 */", "gpl", False),
+    ("Zlib-1.2 or MIT", "mit,zlib-1.2", True), ("LicenseRef-Own", "licenseref-own", False),
+    ("(MIT or GPL-2.0).", "gpl,mit", True), ("Apache-2.0: text", "apache", True),
+])
+def test_where_an_expression_ends(line, labels, usable):
+    *_, found, score, expressions = licences.scan_text(
+        f"SPDX-License-Identifier: {line}\nnext".encode(), frozenset(licences.PERMISSIVE)
+    )
+    assert found == labels and (score > 0) == bool(labels)
+    assert [e[2] for e in expressions if e[1]] == ([] if usable is None else [usable])
