@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,9 +22,10 @@ from tallywood.plans.scratch import materialized
 TERM_SPACE = 1 << 24
 # Most labelled rows of either class that the model is fitted on.
 SAMPLE_ROWS = 10_000
-# Most terms with a weight.
+# Most terms chosen by their own evidence.
 MOST_TERMS = 4096
-
+# Most frequent terms of the sample whose pairs are all tested.
+PAIR_TERMS = 4096
 
 # Bytes that word beginnings have: forms of one word share some of them.
 BEGINNINGS = (4, 5, 6, 7)
@@ -87,16 +88,16 @@ class FactorizationMachine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def score(self, numbers: list[int]) -> float:
+    def score(self, numbers: Sequence[int]) -> float:
         z = self.bias
-        if numbers:
+        if len(numbers):
             v = self.factors[numbers]
             z += self.weights[numbers].sum() + 0.5 * (v.sum(axis=0) ** 2 - (v * v).sum(axis=0)).sum()
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
 def fit_machine(
-    terms: np.ndarray, rows: list[list[int]], toxic: np.ndarray, importance: np.ndarray,
+    terms: np.ndarray, rows: Sequence[Sequence[int]], toxic: np.ndarray, importance: np.ndarray,
     factors: int = 8, epochs: int = 20, batch: int = 256, rate: float = 0.02,
     penalty: float = 1e-4, seed: int = 7,
 ) -> FactorizationMachine:
@@ -111,7 +112,7 @@ def fit_machine(
     table[n_terms, 0] = np.log(share / (1 - share))
     first, second, step = np.zeros_like(table), np.zeros_like(table), 0
     sizes = np.array([len(r) for r in rows], dtype=np.int64)
-    flat = np.array([x for r in rows for x in r], dtype=np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r, np.int64) for r in rows]])
     starts = np.concatenate([[0], sizes.cumsum()])
     scale = importance / importance.mean() if len(importance) else importance
     for _ in range(epochs if len(rows) else 0):
@@ -145,6 +146,40 @@ def fit_machine(
     )
 
 
+def _presence(rows: list[np.ndarray], low: int, high: int) -> np.ndarray:
+    """Texts by the terms numbered ``low`` to ``high``, 1 where a text has the term."""
+    held = np.zeros((len(rows), high - low), dtype=np.float32)
+    for i, row in enumerate(rows):
+        held[i, row[np.searchsorted(row, low) : np.searchsorted(row, high)] - low] = 1
+    return held
+
+
+def interacting(
+    rows: list[np.ndarray], n_terms: int, error: np.ndarray, importance: np.ndarray,
+    spread: float, least: float, block: int = 1024,
+) -> np.ndarray:
+    """Numbers of the terms that some other term makes matter.
+
+    The score test of every pair: the errors a model leaves on the texts that have both
+    terms, squared, over their variance were the pair to mean nothing (``spread`` a
+    text). Either term of a pair at ``least`` or above is returned. Rows are sorted
+    numbers; two blocks of columns are dense at a time.
+    """
+    found: set[int] = set()
+    weighted = (error * importance)[:, None].astype(np.float32)
+    square = (importance**2)[:, None].astype(np.float32)
+    for left in range(0, n_terms, block):
+        a = _presence(rows, left, min(left + block, n_terms))
+        slope, size = (a * weighted).T, (a * square).T
+        for right in range(left, n_terms, block):
+            b = a if right == left else _presence(rows, right, min(right + block, n_terms))
+            test = (slope @ b) ** 2 / np.maximum(spread * (size @ b), 1e-9)
+            i, j = np.nonzero(test >= least)
+            apart = (i + left) != (j + right)
+            found.update((i[apart] + left).tolist(), (j[apart] + right).tolist())
+    return np.array(sorted(found), dtype=np.int64)
+
+
 def _sample(labels: DataFrame, doc_id: str, label: str, most: int) -> DataFrame:
     """(doc_id, toxic, importance) of at most ``most`` documents of either class.
 
@@ -197,15 +232,19 @@ def _plogp(n: Column, of: Column) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-    most_terms: int = MOST_TERMS, label: str = "toxic",
+    most_terms: int = MOST_TERMS, pair_terms: int = PAIR_TERMS, label: str = "toxic",
 ) -> FactorizationMachine:
     """Fit on a sample of labelled documents, ``sample_rows`` of either class at most.
 
-    Terms are chosen by the likelihood ratio of term and label, at most ``most_terms``
-    of those above 1.35 times the logarithm of the number of terms, which few reach by
-    chance; only these terms of the sample come to the driver. Texts and labels join
-    on doc_id; rows without a label, a null id or a null label teach nothing. Without
-    any labels the model is the constant one half.
+    Terms are chosen in two ways. By their own evidence: the likelihood ratio of term and
+    label, at most ``most_terms`` of those above 1.35 times the logarithm of the number
+    of terms, which few reach by chance. And by their pairs: a machine over these terms
+    leaves errors, and every pair of the ``pair_terms`` most frequent terms is tested
+    against them (``interacting``), so two words that say nothing alone and much
+    together are terms as well; then the machine is fitted over all of them. Only these
+    terms of the sample come to the driver. Texts and labels join on doc_id; rows
+    without a label, a null id or a null label teach nothing. Without any labels the
+    model is the constant one half.
     """
     sample = materialized(_sample(labels, "doc_id", label, sample_rows), "labelled")
     rows = materialized(_sample_terms(docs, sample), "sample-terms")
@@ -231,7 +270,9 @@ def train(
         .orderBy(F.desc("evidence"), "term")
         .limit(most_terms)
     )
-    terms = np.array(sorted(r["term"] for r in chosen.collect()), dtype=np.int64)
+    own = {r["term"] for r in chosen.collect()}
+    often = counts.where("n >= 2").orderBy(F.desc("n"), "term").limit(pair_terms)
+    terms = np.array(sorted(own.union(r["term"] for r in often.collect())), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = {int(t): i for i, t in enumerate(terms)}
@@ -242,13 +283,29 @@ def train(
                 ["terms", "toxic", "importance"],
             )
 
-    kept = rows.mapInArrow(run, rows.schema).toArrow().to_pylist()
+    kept = rows.mapInArrow(run, rows.schema).toArrow()
+    held = [r.values.to_numpy() for r in kept["terms"]]
+    toxic, importance = (kept[c].to_numpy().astype(float) for c in ("toxic", "importance"))
     # In an order of their own, so that the fit does not depend on which task came first.
-    kept.sort(key=lambda r: (r["toxic"], r["terms"]))
-    return fit_machine(
-        terms, [r["terms"] for r in kept], np.array([float(r["toxic"]) for r in kept]),
-        np.array([r["importance"] for r in kept]),
-    )
+    order = sorted(range(len(held)), key=lambda i: (toxic[i], held[i].tobytes()))
+    held, toxic, importance = [held[i] for i in order], toxic[order], importance[order]
+
+    def fitted(numbers: np.ndarray) -> tuple[FactorizationMachine, list[np.ndarray]]:
+        place = np.full(len(terms), -1)
+        place[numbers] = np.arange(len(numbers))
+        chosen_rows = [p[p >= 0] for p in (place[r] for r in held)]
+        return fit_machine(terms[numbers], chosen_rows, toxic, importance), chosen_rows
+
+    alone = np.flatnonzero([int(t) in own for t in terms])
+    machine, alone_rows = fitted(alone)
+    error = toxic - np.array([machine.score(r) for r in alone_rows])
+    share = float((importance * toxic).sum() / importance.sum())
+    # Pairs are many more than terms, so they must reach as much more.
+    pairs = max(len(terms) * (len(terms) - 1) / 2, 2)
+    least_pair = 2 * 1.35 * float(np.log(pairs))
+    paired = interacting(held, len(terms), error, importance, share * (1 - share), least_pair)
+    both_ways = np.union1d(alone, paired)
+    return machine if len(both_ways) == len(alone) else fitted(both_ways)[0]
 
 
 def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:

@@ -38,6 +38,47 @@ def test_pairs_that_no_sum_of_weights_separates():
             assert (machine.score([a, b]) > 0.5) == (a == b - 2)
 
 
+def test_training_finds_pairs_whose_words_say_nothing_alone(spark):
+    rng = np.random.default_rng(3)
+    filler = [f"word{i}" for i in range(60)]
+    docs, labels = [], []
+    for i in range(4000):
+        a, b = rng.integers(0, 2, 2)
+        words = [*rng.choice(filler, 12), *["group"] * a, *["insult"] * b]
+        docs.append((i, " ".join(rng.permutation(words))))
+        labels.append((i, int(a == b)))
+    machine = toxicity.train(
+        spark.createDataFrame(docs[:3000], "doc_id int, text string"),
+        spark.createDataFrame(labels[:3000], "doc_id int, toxic int"),
+    )
+    held = spark.createDataFrame(docs[3000:], "doc_id int, text string")
+    found = {r.row.doc_id: r.score for r in toxicity.score(held, machine).collect()}
+    assert np.mean([(found[i] >= 0.5) == t for i, t in labels[3000:]]) > 0.97
+
+
+def test_score_and_pair_tests_equal_sums_over_pairs():
+    rng = np.random.default_rng(5)
+    machine = toxicity.FactorizationMachine(
+        np.arange(9), 0.3, rng.normal(size=9), rng.normal(size=(9, 4)) / 3
+    )
+    rows = [np.flatnonzero(rng.random(9) < 0.5) for _ in range(50)]
+    for r in rows:
+        z = 0.3 + machine.weights[r].sum() + sum(
+            machine.factors[a] @ machine.factors[b] for a in r for b in r if a < b
+        )
+        assert abs(machine.score(r) - 1 / (1 + np.exp(-z))) < 1e-12
+    error, weight = rng.normal(size=50), rng.choice([1.0, 2.5], 50)
+    expected = set()
+    for a in range(9):
+        for b in range(a):
+            both = [i for i, r in enumerate(rows) if a in r and b in r]
+            slope = sum(error[i] * weight[i] for i in both)
+            if both and slope**2 / (0.2 * sum(weight[i] ** 2 for i in both)) >= 8:
+                expected |= {a, b}
+    found = toxicity.interacting(rows, 9, error, weight, 0.2, 8.0, block=4)
+    assert expected and set(found.tolist()) == expected
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, "you idiot there", 1), (2, None, 2), (None, "nice", 3), (4, "", 4), (4, "", 4),
