@@ -43,10 +43,10 @@ def spearman_matrix(t: Tables) -> DataFrame:
     return found.select("i", "j", F.round("corr", 6).alias("corr"))
 
 
-def _chi_square_sql(features: list[str], label: str) -> str:
+def _chi_square_sql(features: list[str], label: str, digits: int = 6) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{f}' AS feature,
-                   round(sum((o - r * c / n) * (o - r * c / n) / (r * c / n)), 6) AS statistic,
+                   round(sum((o - r * c / n) * (o - r * c / n) / (r * c / n)), {digits}) AS statistic,
                    CAST((count(DISTINCT v) - 1) * (count(DISTINCT l) - 1) AS BIGINT) AS dof
             FROM (SELECT rows.v, columns.l, r, c, n, coalesce(o, 0) AS o
                   FROM (SELECT {f} AS v, CAST(count(*) AS DOUBLE) AS r FROM lineitem GROUP BY 1) rows
@@ -66,14 +66,28 @@ def chi_square_stat(t: Tables) -> DataFrame:
     return found.select("feature", F.round("statistic", 6).alias("statistic"), "dof")
 
 
-@query("chi_square_p_value")
+def _p_value_sql(statistics: str) -> str:
+    """One less the series of the lower incomplete gamma function, term by term in logarithms."""
+    return f"""
+        SELECT feature, round(statistic, 6) AS statistic, dof,
+               round(1 - sum(exp((a + n) * ln(x) - x - lgamma(a + n + 1))), 9) AS p_value
+        FROM (SELECT *, statistic / 2 AS x, dof / 2.0 AS a,
+                     unnest(range(CAST(2 * statistic AS BIGINT) + 500)) AS n
+              FROM ({statistics}))
+        GROUP BY feature, statistic, dof"""
+
+
+@query(
+    "chi_square_p_value",
+    _p_value_sql(_chi_square_sql(["l_linenumber", "l_linestatus"], "l_returnflag = 'R'", 15)),
+)
 def chi_square_p_value(t: Tables) -> DataFrame:
-    coded = t.lineitem.select(
-        F.col("l_linenumber").cast("double").alias("l_linenumber"),
-        F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0).alias("is_open"),
-        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("returned"),
+    lines = t.lineitem.withColumn("returned", F.col("l_returnflag") == "R")
+    found = stats.chi_square_p_values(lines, ["l_linenumber", "l_linestatus"], "returned")
+    return found.select(
+        "feature", F.round("statistic", 6).alias("statistic"), "dof",
+        (F.round("p_value", 9) + 0.0).alias("p_value"),
     )
-    return stats.chi_square_p_values(coded, ["l_linenumber", "is_open"], "returned")
 
 
 @query(
@@ -84,7 +98,7 @@ def chi_square_p_value(t: Tables) -> DataFrame:
 def p_values_follow_from_the_statistic(t: Tables) -> DataFrame:
     """Statistics as SQL has them; the p-value of an even number of degrees of freedom is
     exp(-x/2) times the first terms of the series of exp(x/2), one of one degree erfc."""
-    found = chi_square_p_value(t).replace("is_open", "l_linestatus", "feature")
+    found = chi_square_p_value(t)
     half = F.col("statistic") / 2
     terms = F.sequence(F.lit(0), F.greatest((F.col("dof") / 2).cast("int") - 1, F.lit(0)))
     series = F.exp(-half) * F.aggregate(

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywood.functions.special import chi_square_tail
 from tallywood.plans import materialized
 
 
@@ -59,13 +58,10 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 
 def chi_square_p_values(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Spark ML's test with p-values; features and label are numeric codes."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    rows = assembler.transform(df.select(*features, F.col(label).cast("double").alias("_label")))
-    names = F.array(*[F.lit(f) for f in features])
-    return ChiSquareTest.test(rows, "_features", "_label", flatten=True).select(
-        F.get(names, F.col("featureIndex")).alias("feature"),
-        F.col("pValue").alias("p_value"),
-        F.col("degreesOfFreedom").cast("bigint").alias("dof"),
-        "statistic",
+    """``chi_square`` with the chance of a statistic as large if label and feature are apart.
+
+    A column expression over the statistic: any values, any number of them.
+    """
+    return chi_square(df, features, label).withColumn(
+        "p_value", chi_square_tail(F.col("statistic"), F.col("dof"))
     )

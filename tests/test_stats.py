@@ -11,10 +11,11 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import ChiSquareTest, Correlation
 from pyspark.sql import functions as F
 
 from tallywood import stats
+from tallywood.functions.special import chi_square_tail
 from tallywood.learning import evaluate
 
 ROWS = [(0.5 * i, float(i * i % 7), 3.0, 20.0 - i * 1.5 + i % 3) for i in range(9)]
@@ -163,3 +164,54 @@ def test_regression_report(spark):
     assert tuple(found) == pytest.approx((0.375, 0.612372, 0.948608, 0.5, 8.859375), abs=1e-5)
     for metric, name in (("mse", "mse"), ("r2", "r2"), ("mae", "mae"), ("var", "explained_variance")):
         assert found[name] == pytest.approx(RegressionEvaluator(metricName=metric).evaluate(frame))
+
+
+def tail(x: float, dof: int) -> float:
+    """Closed forms: a finite sum, from exp for even and erfc for odd degrees of freedom."""
+    half = x / 2
+    start = 0 if dof % 2 == 0 else 0.5
+    total = 0.0 if dof % 2 == 0 else math.erfc(math.sqrt(half))
+    for k in range(dof // 2):
+        a = start + k
+        total += math.exp(a * math.log(half) - half - math.lgamma(a + 1))
+    return total
+
+
+def test_chi_square_tail_equals_closed_forms_and_published_quantiles(spark):
+    points = [
+        (x, dof) for dof in (1, 2, 3, 4, 7, 10, 31, 100, 999, 5000)
+        for x in (1e-6, 0.3, 1.0, dof - 0.5, dof + 0.5, dof + 2.5, 1.5 * dof, dof + 60.0, 400.0)
+    ]
+    rows = spark.createDataFrame(points, "x double, dof bigint")
+    found = rows.withColumn("p", chi_square_tail(F.col("x"), F.col("dof"))).collect()
+    assert len(found) == len(points)
+    for r in found:
+        assert r.p == pytest.approx(tail(r.x, r.dof), rel=1e-9, abs=1e-11), r
+    # Upper quantiles of printed tables.
+    quantiles = [
+        (3.841, 1, 0.05), (6.635, 1, 0.01), (5.991, 2, 0.05), (16.812, 6, 0.01),
+        (18.307, 10, 0.05), (43.773, 30, 0.05), (124.342, 100, 0.05),
+    ]
+    table = spark.createDataFrame(quantiles, "x double, dof bigint, p double")
+    for r in table.withColumn("q", chi_square_tail(F.col("x"), F.col("dof"))).collect():
+        assert r.q == pytest.approx(r.p, abs=2e-5)
+
+
+def test_chi_square_tail_of_odd_arguments(spark):
+    rows = spark.createDataFrame(
+        [(0.0, 3), (float("inf"), 3), (5.0, 0), (None, 3), (float("nan"), 3), (1e6, 4), (2.0, None)],
+        "x double, dof bigint",
+    )
+    found = [r.p for r in rows.select(chi_square_tail(F.col("x"), F.col("dof")).alias("p")).collect()]
+    assert found == [1.0, 0.0, 1.0, None, None, 0.0, None]
+
+
+def test_chi_square_p_values_equal_spark_ml(spark):
+    rows = [(float(i % 4), float((i * i) % 3), float((i + i // 7) % 2)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "a double, b double, label double")
+    found = {r.feature: r for r in stats.chi_square_p_values(frame, ["a", "b"], "label").collect()}
+    vectors = spark.createDataFrame([(Vectors.dense(a, b), y) for a, b, y in rows], ["f", "y"])
+    for name, r in zip("ab", ChiSquareTest.test(vectors, "f", "y", flatten=True).orderBy("featureIndex").collect()):
+        assert found[name].dof == r.degreesOfFreedom
+        assert found[name].statistic == pytest.approx(r.statistic, abs=1e-9)
+        assert found[name].p_value == pytest.approx(r.pValue, abs=1e-9)
