@@ -16,7 +16,6 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import (
     HashingTF,
-    OneHotEncoder,
     StringIndexer,
     Tokenizer,
     VectorAssembler,
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import one_hot_index, squared_distance
-from tallywood.learning import cluster, features, inspect, jobs, trees, tuning
+from tallywood.learning import cluster, features, inspect, jobs, linear, trees, tuning
 from tallywood.learning.models import (
     DEFAULT_FOLDS,
     GRIDS,
@@ -209,18 +208,11 @@ def claim_rows(t: Tables) -> DataFrame:
     )
 
 
-def claim_vectors(rows: DataFrame, one_hot: bool) -> DataFrame:
-    """Rows with their feature vector, encoded once; only linear models need one-hot."""
+def claim_vectors(rows: DataFrame) -> DataFrame:
+    """Rows with their feature vector for trees, encoded once."""
     codes = {c: f"{c}_code" for c in CLAIM_CATEGORIES}
     indexed = features.index_categories(rows, codes)
-    inputs = list(codes.values())
-    stages: list = []
-    if one_hot:
-        flags = [f"{c}_flags" for c in CLAIM_CATEGORIES]
-        stages.append(OneHotEncoder(inputCols=inputs, outputCols=flags))
-        inputs = flags
-    stages.append(VectorAssembler(inputCols=[*CLAIM_NUMBERS, *inputs], outputCol="features"))
-    return Pipeline(stages=stages).fit(indexed).transform(indexed)
+    return features.assemble(indexed, [*CLAIM_NUMBERS, *codes.values()])
 
 
 def claim_split(rows: DataFrame) -> list[DataFrame]:
@@ -228,8 +220,8 @@ def claim_split(rows: DataFrame) -> list[DataFrame]:
 
 
 def _claim_predictions(t: Tables, kind: str) -> DataFrame:
-    """The preset search of a regression, and its predictions of the held-out rows."""
-    vectors = claim_vectors(claim_rows(t), one_hot=kind == "linear_regression")
+    """The preset search of a tree regression, and its predictions of the held-out rows."""
+    vectors = claim_vectors(claim_rows(t))
     train, held_out = claim_split(materialized(vectors, "claims"))
     model = estimator(kind)
     best = tuning.cross_validate(
@@ -267,7 +259,170 @@ def _churn_fit(t: Tables, kind: str, **params) -> DataFrame:
 
 @query("linear_regression_predict")
 def linear_regression_predict(t: Tables) -> DataFrame:
-    return _claim_predictions(t, "linear_regression")
+    """The preset's point with its folds, and the held-out rows scored: two passes in all."""
+    kind = "linear_regression"
+    rows = claim_rows(t)
+    plain = rows.columns
+    codes = {c: f"{c}_code" for c in CLAIM_CATEGORIES}
+    encoded = features.index_categories(rows, codes)
+    for c, code in codes.items():
+        encoded = features.one_hot(encoded, code, f"{c}_flag").drop(code)
+    flags = [c for c in encoded.columns if c not in plain]
+    train, held_out = claim_split(materialized(encoded, "claims"))
+    place = F.xxhash64(F.lit(SEED), "l_orderkey", "l_linenumber")
+    folded = train.withColumn("fold", F.pmod(place, F.lit(folds_of(kind))))
+    names = [*CLAIM_NUMBERS, *flags]
+    sums = linear.matrices(linear.fold_sums(folded, names, "label", "fold"), len(names) + 2)
+    preset = GRIDS[kind]
+    grid = [(p, m) for p in preset["regParam"] for m in preset["elasticNetParam"]]
+    _, best = linear.cross_validated(sums, names, grid)
+    return held_out.select(
+        "l_orderkey", "l_linenumber", "label", best.prediction().alias("prediction")
+    )
+
+
+NET_INPUTS = {
+    "l_quantity": "l_quantity",
+    "l_discount": "l_discount",
+    "l_tax": "l_tax",
+    "returned": "CAST(l_returnflag = 'R' AS DOUBLE)",
+}
+NET_LABEL = "2 * l_quantity - 50 * l_discount + l_orderkey % 7"
+NET_GRID = [(0.001, 0.001), (0.5, 0.0), (0.5, 0.5), (2.0, 1.0)]
+NET_FOLDS = 5
+NET_HELD_OUT = "l_orderkey % 4 = 3"
+
+
+def _net_rows_sql() -> str:
+    """Order lines with features v1.., label y, and the fold of all but the held-out rows."""
+    values = ", ".join(f"CAST({e} AS DOUBLE) AS v{i}" for i, e in enumerate(NET_INPUTS.values(), 1))
+    return f"""SELECT l_orderkey, l_linenumber, {values}, CAST({NET_LABEL} AS DOUBLE) AS y,
+                      {NET_HELD_OUT} AS held_out, (l_orderkey + l_linenumber) % {NET_FOLDS} AS fold
+               FROM lineitem"""
+
+
+def _net_sql(last: str) -> str:
+    """``last`` over ``r`` (the rows), ``fitted`` (a model per point and fold left out, and
+    per point one of all folds, -1) and ``board`` (their errors).
+
+    Coordinate descent as recursion over correlations, one sweep a step.
+    """
+    places = range(1, len(NET_INPUTS) + 1)
+    pairs = [(i, j) for i in places for j in places if i < j]
+    moments = ", ".join(
+        [f"corr(v{i}, v{j}) AS g{i}_{j}" for i, j in pairs]
+        + [f"corr(v{i}, y) AS t{i}, stddev_pop(v{i}) AS s{i}, avg(v{i}) AS m{i}" for i in places]
+    )
+
+    def update(i: int) -> str:
+        others = "".join(
+            f" - g{min(i, j)}_{max(i, j)} * {'n' if j < i else 'w'}{j}" for j in places if j != i
+        )
+        pull = f"(t{i}{others})"
+        return (f"sign({pull}) * greatest(abs({pull}) - penalty * mix / sy, 0)"
+                f" / (1 + penalty * (1 - mix) / sy) AS n{i}")
+
+    grid = ", ".join(f"({n}, {p}, {m})" for n, (p, m) in enumerate(NET_GRID))
+    prediction = " + ".join(["b", *[f"b{i} * v{i}" for i in places]])
+    return f"""
+        WITH RECURSIVE r AS ({_net_rows_sql()}),
+        grid(point, penalty, mix) AS (VALUES {grid}),
+        moments AS (
+            SELECT left_out, count(*) AS n_train, avg(y) AS my, stddev_pop(y) AS sy, {moments}
+            FROM r JOIN (SELECT unnest(range(-1, {NET_FOLDS})) AS left_out) ON fold <> left_out
+            WHERE NOT held_out GROUP BY left_out),
+        sweeps AS (
+            SELECT 0 AS step, point, left_out, {", ".join(f"CAST(0 AS DOUBLE) AS w{i}" for i in places)}
+            FROM grid CROSS JOIN moments
+            UNION ALL
+            SELECT step, point, left_out, {", ".join(f"n{i}" for i in places)}
+            FROM (SELECT step + 1 AS step, point, left_out, {", ".join(update(i) for i in places)}
+                  FROM sweeps JOIN grid USING (point) JOIN moments USING (left_out)
+                  WHERE step < 60)),
+        slopes AS (
+            SELECT point, penalty, mix, left_out, n_train, my,
+                   {", ".join(f"w{i} * sy / s{i} AS b{i}, m{i}" for i in places)}
+            FROM sweeps JOIN moments USING (left_out) JOIN grid USING (point) WHERE step = 60),
+        fitted AS (
+            SELECT *, my - ({" + ".join(f"b{i} * m{i}" for i in places)}) AS b FROM slopes),
+        board AS (
+            SELECT point, penalty, mix, fold, n_train, count(*) AS n_test,
+                   sqrt(avg((y - ({prediction})) * (y - ({prediction})))) AS rmse
+            FROM r JOIN fitted ON fold = left_out WHERE NOT held_out
+            GROUP BY point, penalty, mix, fold, n_train)
+        {last.format(prediction=prediction)}"""
+
+
+def _net_rows(t: Tables) -> DataFrame:
+    inputs = {name: F.expr(e).cast("double") for name, e in NET_INPUTS.items()}
+    return t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        *[e.alias(name) for name, e in inputs.items()],
+        F.expr(NET_LABEL).cast("double").alias("label"),
+        F.expr(NET_HELD_OUT).alias("held_out"),
+        ((F.col("l_orderkey") + F.col("l_linenumber")) % NET_FOLDS).cast("bigint").alias("fold"),
+    )
+
+
+def _net_sums(t: Tables) -> DataFrame:
+    return linear.fold_sums(_net_rows(t).where("NOT held_out"), [*NET_INPUTS], "label", "fold")
+
+
+def _net_search(t: Tables) -> tuple[list[tuple], linear.LinearModel]:
+    names = [*NET_INPUTS]
+    return linear.cross_validated(linear.matrices(_net_sums(t), len(names) + 2), names, NET_GRID)
+
+
+@query(
+    "elastic_net_fold_sums",
+    " UNION ALL ".join(
+        f"""SELECT CAST(fold AS BIGINT) AS fold, {i} AS i, {j} AS j,
+                   round(sum({left} * {right}), 3) AS total
+            FROM (SELECT *, CAST(1 AS DOUBLE) AS one FROM ({_net_rows_sql()}) WHERE NOT held_out)
+            GROUP BY fold"""
+        for names in [["one", *[f"v{i + 1}" for i in range(len(NET_INPUTS))], "y"]]
+        for i, left in enumerate(names)
+        for j, right in enumerate(names)
+        if i <= j
+    ),
+)
+def elastic_net_fold_sums(t: Tables) -> DataFrame:
+    """All that cross validation of a linear model has to know of the rows."""
+    return _net_sums(t).withColumn("total", F.round("total", 3))
+
+
+@query(
+    "elastic_net_folds",
+    _net_sql(
+        "SELECT penalty::DOUBLE AS penalty, mix::DOUBLE AS mix, fold::BIGINT AS fold,"
+        " n_train::BIGINT AS n_train, n_test::BIGINT AS n_test, round(rmse, 6) AS rmse FROM board"
+    ),
+)
+def elastic_net_folds(t: Tables) -> DataFrame:
+    """The error of every point of a grid on every fold, learnt from the other folds."""
+    board, _ = _net_search(t)
+    rows = t.spark.createDataFrame(
+        board, "penalty double, mix double, fold bigint, n_train bigint, n_test bigint, rmse double"
+    )
+    return rows.withColumn("rmse", F.round("rmse", 6))
+
+
+@query(
+    "elastic_net_predict",
+    _net_sql(
+        """SELECT l_orderkey, l_linenumber, y AS label, round({prediction}, 5) AS prediction
+           FROM r JOIN fitted ON left_out = -1
+           WHERE held_out AND point = (SELECT point FROM board GROUP BY point
+                                       ORDER BY avg(rmse), point LIMIT 1)"""
+    ),
+)
+def elastic_net_predict(t: Tables) -> DataFrame:
+    """Held-out rows scored by the point that does best over the folds of the others."""
+    _, best = _net_search(t)
+    return _net_rows(t).where("held_out").select(
+        "l_orderkey", "l_linenumber", "label", F.round(best.prediction(), 5).alias("prediction")
+    )
 
 
 @query("gbt_regression_predict")
@@ -288,7 +443,7 @@ def rf_regression_predict(t: Tables) -> DataFrame:
 )
 def regression_splits_are_whole(t: Tables) -> DataFrame:
     """Training and held-out rows of the regressions: every row, once, with its label."""
-    train, held_out = claim_split(claim_vectors(claim_rows(t), one_hot=False))
+    train, held_out = claim_split(claim_vectors(claim_rows(t)))
     columns = ["l_orderkey", "l_linenumber", "label"]
     return train.select(*columns).unionAll(held_out.select(*columns))
 
@@ -299,7 +454,7 @@ def regression_splits_are_whole(t: Tables) -> DataFrame:
 )
 def saved_regressor_scores_as_before(t: Tables) -> DataFrame:
     """Save a forest regressor, load it back, and compare all held-out scores."""
-    vectors = materialized(claim_vectors(claim_rows(t), one_hot=False), "claims")
+    vectors = materialized(claim_vectors(claim_rows(t)), "claims")
     train, held_out = claim_split(vectors)
     model = estimator("forest_regression", numTrees=5, maxDepth=10, maxBins=23).fit(train)
     path = scratch_path(t.spark, "forest")
@@ -577,7 +732,7 @@ def grid_search_leaderboard(t: Tables) -> DataFrame:
 
 @query("feature_importance_table")
 def feature_importance_table(t: Tables) -> DataFrame:
-    rows = claim_vectors(claim_rows(t), one_hot=False)
+    rows = claim_vectors(claim_rows(t))
     model = Pipeline(stages=[estimator("forest_regression", numTrees=5, maxDepth=5)]).fit(rows)
     names = features.feature_names(rows, "features")
     return features.importance_table(model, names, rows)
