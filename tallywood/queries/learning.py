@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.functions import one_hot_index, squared_distance
-from tallywood.learning import cluster, features, inspect, jobs, linear, trees, tuning
+from tallywood.learning import cluster, features, inspect, jobs, linear, sweep, trees, tuning
 from tallywood.learning.models import (
     DEFAULT_FOLDS,
     GRIDS,
@@ -914,6 +914,74 @@ def cluster_labels_add_up(t: Tables) -> DataFrame:
     return kmeans_cluster_labels(t).groupBy("l_linenumber").agg(F.sum("count").alias("n"))
 
 
+SWEEP_INPUTS = ["l_quantity", "l_linenumber", "round(100 * l_discount)"]
+SWEEP_KS = [3, 6, 12]
+SWEEP_STEPS = 6
+
+
+def _sweep_sql() -> str:
+    """Lloyd's steps written out, over the distinct points with their counts."""
+    places = range(len(SWEEP_INPUTS))
+    values = ", ".join(f"v{i}" for i in places)
+    apart = " + ".join(f"(p.v{i} - c.v{i}) * (p.v{i} - c.v{i})" for i in places)
+    inputs = ", ".join(f"CAST({e} AS DOUBLE) AS v{i}" for i, e in enumerate(SWEEP_INPUTS))
+    known = " AND ".join(f"v{i} IS NOT NULL" for i in places)
+
+    def nearest(step: int) -> str:
+        return f"""a{step} AS MATERIALIZED (
+            SELECT k, {values}, n, near.c AS c, near.d AS d
+            FROM (SELECT k, {", ".join(f"p.v{i}" for i in places)}, any_value(n) AS n,
+                         min({{'d': {apart}, 'c': c.c}}) AS near
+                  FROM points p CROSS JOIN c{step} c
+                  GROUP BY k, {", ".join(f"p.v{i}" for i in places)}))"""
+
+    def moved(step: int) -> str:
+        means = ", ".join(f"sum(n * v{i}) / sum(n) AS v{i}" for i in places)
+        kept = ", ".join(f"coalesce(m.v{i}, c.v{i}) AS v{i}" for i in places)
+        return f"""c{step + 1} AS MATERIALIZED (
+            SELECT k, c, {kept} FROM c{step} c
+            LEFT JOIN (SELECT k, c, {means} FROM a{step} GROUP BY k, c) m USING (k, c))"""
+
+    steps = ", ".join(f"{nearest(s)}, {moved(s)}" for s in range(SWEEP_STEPS))
+    return f"""
+        WITH r AS MATERIALIZED (
+            SELECT * FROM (SELECT md5(concat_ws('-', l_orderkey, l_linenumber)) AS place,
+                                  l_returnflag AS label, {inputs} FROM lineitem) WHERE {known}),
+        points AS MATERIALIZED (SELECT {values}, count(*) AS n FROM r GROUP BY {values}),
+        c0 AS MATERIALIZED (
+            SELECT k, c, {values}
+            FROM (SELECT row_number() OVER (ORDER BY place, {values}) - 1 AS c, {values} FROM r)
+            JOIN (SELECT unnest({SWEEP_KS}) AS k) ON c < k),
+        {steps}, {nearest(SWEEP_STEPS)},
+        labels AS (
+            SELECT k, c, label, CAST(count(*) AS DOUBLE) AS n
+            FROM r JOIN (SELECT k, {values}, c FROM a{SWEEP_STEPS}) USING ({values})
+            GROUP BY k, c, label),
+        spread AS (
+            SELECT k, sum(size * ln(size) - inside) / sum(size) AS entropy
+            FROM (SELECT k, c, sum(n) AS size, sum(n * ln(n)) AS inside FROM labels GROUP BY k, c)
+            GROUP BY k)
+        SELECT k::INT AS k, count(DISTINCT c)::BIGINT AS n_clusters, round(sum(n * d), 3) AS cost,
+               round(any_value(entropy), 6) AS entropy
+        FROM a{SWEEP_STEPS} JOIN spread USING (k) GROUP BY k"""
+
+
+@query("kmeans_shared_scans", _sweep_sql())
+def kmeans_shared_scans(t: Tables) -> DataFrame:
+    """Cost and label entropy per number of clusters, all fitted in the same scans."""
+    names = [f"v{i}" for i in range(len(SWEEP_INPUTS))]
+    rows = t.lineitem.select(
+        F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("place"),
+        F.col("l_returnflag").alias("label"),
+        *[F.expr(e).cast("double").alias(n) for e, n in zip(SWEEP_INPUTS, names, strict=True)],
+    )
+    fitted = sweep.fit_all(rows, names, SWEEP_KS, F.col("place"), SWEEP_STEPS, tolerance=0.0)
+    spread = sweep.label_entropies(rows, names, fitted, "label")
+    return sweep.costs(rows, names, fitted).join(spread, "k").select(
+        "k", "n_clusters", F.round("cost", 3).alias("cost"), F.round("entropy", 6).alias("entropy")
+    )
+
+
 @query("kmeans_entropy_sweep")
 def kmeans_entropy_sweep(t: Tables) -> DataFrame:
     stages, vector = cluster.feature_stages(CLUSTER_NUMBERS, CLUSTER_CATEGORIES, True)
