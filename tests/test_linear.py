@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -77,3 +78,30 @@ def test_odd_rows(spark):
     empty = linear.matrices(linear.fold_sums(frame.limit(0), ["v1"], "y", "fold"), 3)
     board, model = linear.cross_validated(empty, ["v1"], [(0.1, 0.5)])
     assert empty == {} and board == [] and model.intercept == 0.0
+
+
+@pytest.mark.parametrize("penalty", [0.0, 0.1, 2.0])
+def test_logistic_equals_spark_ml(rows, penalty):
+    labelled = rows.withColumn("y", (F.col("y") + 6 * F.sin(F.col("a") * 50) > 155).cast("double"))
+    found = linear.fit_logistic(labelled, NAMES, "y", penalty)
+    vectors = VectorAssembler(inputCols=NAMES, outputCol="features").transform(labelled)
+    model = LogisticRegression(labelCol="y", regParam=penalty, maxIter=1000, tol=1e-13).fit(vectors)
+    assert found.coefficients == pytest.approx(model.coefficients.toArray(), abs=2e-5, rel=1e-4)
+    assert found.intercept == pytest.approx(model.intercept, rel=1e-4)
+    chance = 1 / (1 + F.exp(-found.prediction()))
+    scored = vectors.withColumn("chance", chance)
+    theirs = {r.id: r.probability[1] for r in model.transform(scored.withColumn("id", F.xxhash64("a"))).collect()}
+    for r in scored.withColumn("id", F.xxhash64("a")).collect():
+        assert r.chance == pytest.approx(theirs[r.id], abs=1e-5)
+
+
+def test_logistic_of_odd_rows(spark):
+    data = [(1.0, 1.0), (2.0, 0.0), (3.0, 1.0), (None, 1.0), (float("nan"), 0.0), (4.0, None)]
+    frame = spark.createDataFrame(data, "a double, y double")
+    found = linear.fit_logistic(frame, ["a"], "y", 0.1)
+    assert found.coefficients == pytest.approx([0.0], abs=1e-9)
+    assert found.intercept == pytest.approx(np.log(2))
+    one = linear.fit_logistic(frame.where("y = 1"), ["a"], "y", 0.1)
+    assert one.intercept == float("inf") and one.coefficients.tolist() == [0.0]
+    none = linear.fit_logistic(frame.limit(0), ["a"], "y", 0.1)
+    assert none.intercept == 0.0
