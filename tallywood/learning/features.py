@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     VectorIndexer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood.plans import number_rows
@@ -117,6 +117,31 @@ def hash_terms(df: DataFrame, words: str, name: str, size: int) -> DataFrame:
     return HashingTF(inputCol=words, outputCol=name, numFeatures=size).transform(df)
 
 
+def term_hash(term: Column) -> Column:
+    """The first 32 bits of a term's MD5 as a number: the same in any engine."""
+    return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint")
+
+
+def hashed_counts(df: DataFrame, key: str, words: str, sizes: Sequence[int]) -> DataFrame:
+    """Rows (key, size, place, n): how many of a key's words hash to a place below ``size``.
+
+    Words are hashed and counted once; every size takes its places from those counts by
+    the remainder. In long form, so a text may have any number of words and ``sizes``
+    any height. Null and empty lists of words give no rows.
+    """
+    if not sizes or min(sizes) < 1:
+        raise ValueError("sizes are 1 or more")
+    terms = df.select(key, F.explode(words).alias("_term"))
+    counts = terms.groupBy(key, term_hash(F.col("_term")).alias("_hash")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    places = F.array(
+        *[F.struct(F.lit(s).alias("size"), (F.col("_hash") % s).alias("place")) for s in sizes]
+    )
+    each = counts.select(key, "_n", F.inline(places))
+    return each.groupBy(key, "size", "place").agg(F.sum("_n").alias("n"))
+
+
 def feature_names(df: DataFrame, features: str) -> list[str]:
     """Names of the dimensions of an assembled vector, from its metadata."""
     attrs = df.schema[features].metadata["ml_attr"]["attrs"]

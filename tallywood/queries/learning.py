@@ -163,6 +163,23 @@ def hashing_tf_totals(t: Tables) -> DataFrame:
     return hashing_tf(t).select("doc_id", total.alias("total"))
 
 
+@query(
+    "hashed_term_counts",
+    f"""SELECT doc_id, size::INT AS size, hash % size AS place, count(*) AS n
+        FROM (SELECT doc_id, ('0x' || md5(unnest(tokens))[1:8])::BIGINT AS hash
+              FROM (SELECT doc_id, CASE WHEN text = '' THEN [''] WHEN trimmed = '' THEN []
+                                        ELSE regexp_split_to_array(trimmed, '\\s') END AS tokens
+                    FROM (SELECT doc_id, text, regexp_replace(lower(text), '\\s+$', '') AS trimmed
+                          FROM documents)))
+        CROSS JOIN (SELECT unnest({GRIDS["text"]["numFeatures"]}) AS size)
+        GROUP BY ALL""",
+)
+def hashed_term_counts(t: Tables) -> DataFrame:
+    """Places and counts of hashed terms for all sizes of the text search, from one hash."""
+    tokens = features.tokenize(t.documents.select("doc_id", "text"), "text")
+    return features.hashed_counts(tokens, "doc_id", "words", GRIDS["text"]["numFeatures"])
+
+
 # --- model inputs ----------------------------------------------------------------
 
 CHURN_FEATURES = ["n_orders", "spent", "mean_price", "c_nationkey", "segment_index"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import hashlib
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.ml import Pipeline
@@ -236,3 +237,16 @@ def test_als_repeats_with_its_seed(taste):
     top = recommend.recommend(first, one, "user", "item", 4).collect()
     assert len(top) == 4
     assert [r["prediction"] for r in top] == sorted((r["prediction"] for r in top), reverse=True)
+
+
+def test_hashed_counts_place_every_word_for_every_size(spark):
+    texts = {1: ["a", "b", "a", ""], 2: [], 3: None, 4: ["\u00e9t\u00e9"] * 5}
+    frame = spark.createDataFrame(list(texts.items()), "id int, words array<string>")
+    found = {(r.id, r["size"], r.place): r.n for r in features.hashed_counts(frame, "id", "words", [3, 1000]).collect()}
+    expected = Counter(
+        (i, size, int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % size)
+        for i, words in texts.items() for w in words or [] for size in (3, 1000)
+    )
+    assert found == dict(expected)
+    with pytest.raises(ValueError, match="1 or more"):
+        features.hashed_counts(frame, "id", "words", [0])
