@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywood import sources
 from tallywood.operators.groups import first_purchases
 from tallywood.operators.rows import project
-from tallywood.plans import scratch_path
+from tallywood.plans import materialized, scratch_path
 from tallywood.queries.registry import Tables, query
 
 
@@ -196,11 +198,19 @@ def first_purchase_table(t: Tables) -> DataFrame:
         F.col("o_orderstatus") != "P",
         origin="orders",
     )
-    # One name, written twice: the second insert replaces what the first one stored.
-    path, name = scratch_path(t.spark, "first-purchase"), "first_purchase"
-    sources.overwrite_table(found.withColumn("origin", F.lit("before")), path, name)
-    sources.overwrite_table(found, path, name)
-    stored = t.spark.table(name)
+    # Inserted in two halves over the buckets of rows marked ``before``: each insert replaces
+    # its own buckets only. A name of its own, so that runs at once do not meet.
+    path = scratch_path(t.spark, "first-purchase")
+    name = f"first_purchase_{uuid.uuid4().hex}"
+    found = materialized(found, "first-purchases")
+    sources.overwrite_buckets(found.withColumn("origin", F.lit("before")), path, name, "user_id")
+    low = F.col("bucket") < sources.tables.BUCKETS // 2
+    buckets = t.spark.table(name).select("user_id", "bucket").distinct()
+    for half in (low, ~low):
+        part = materialized(found.join(buckets.where(half), "user_id", "left_semi"), "half")
+        sources.overwrite_buckets(part, path, name, "user_id")
+    stored = t.spark.read.parquet(path).drop("bucket")
+    t.spark.sql(f"DROP TABLE {name}")  # the catalog entry; the files stay
     return project(
         stored, {c: c for c in stored.columns}, {"order_time": "string", "pay_time": "string"}
     )

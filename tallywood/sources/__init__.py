@@ -10,13 +10,13 @@ from tallywood.sources.delimited import (
     read_text_fields,
     write_result_csv,
 )
-from tallywood.sources.tables import keyed_compact, keyed_read, keyed_write, overwrite_table, publish
+from tallywood.sources.tables import keyed_read, keyed_write, overwrite_buckets, overwrite_table, publish
 
 __all__ = [
     "CODED_TEXT_SCHEMA",
-    "keyed_compact",
     "keyed_read",
     "keyed_write",
+    "overwrite_buckets",
     "overwrite_table",
     "publish",
     "read_coded_text",

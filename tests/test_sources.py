@@ -133,15 +133,58 @@ def test_keyed_table(spark, tmp_path):
 
 
 def test_keyed_write_can_be_repeated(spark, tmp_path):
-    people = spark.createDataFrame([("John", 30)], "name string, age int")
+    people = spark.createDataFrame([("John", 30), (None, 7)], "name string, age int")
     path = str(tmp_path / "people")
-    sources.keyed_write(people, path, generation=1)
-    sources.keyed_write(people, path, generation=1)
-    assert sources.keyed_read(spark, path).count() == 1
+    for _ in range(2):
+        sources.keyed_write(people, path, key="name", order_by=["age"])
+        assert sorted(rows_of(sources.keyed_read(spark, path)), key=str) == [("John", 30), (None, 7)]
     with pytest.raises(ValueError):
         sources.keyed_write(people, path, key="name")
 
 
+def bucket_files(path, column):
+    return {
+        folder: sorted(os.listdir(os.path.join(path, folder)))
+        for folder in os.listdir(path)
+        if folder.startswith(f"{column}=")
+    }
+
+
+def test_keyed_write_leaves_other_buckets_alone(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    first = spark.range(500).select("id", F.lit("old").alias("v"), F.lit(1).alias("at"))
+    sources.keyed_write(first, path, "id", ["at"], buckets=16)
+    before = bucket_files(path, "_bucket")
+    assert len(before) == 16
+    second = spark.createDataFrame([(3, "new", 0), (3, "newer", 2), (900, "new", 0)], "id long, v string, at int")
+    sources.keyed_write(second, path, "id", ["at"], buckets=16)
+    after = bucket_files(path, "_bucket")
+    assert 1 <= sum(before[b] != after[b] for b in before) <= 2
+    found = {r["id"]: (r["v"], r["at"]) for r in sources.keyed_read(spark, path).collect()}
+    assert found == {i: ("old", 1) for i in range(500)} | {3: ("newer", 2), 900: ("new", 0)}
+    sources.keyed_write(second.limit(0), path, "id", ["at"], buckets=16)
+    assert bucket_files(path, "_bucket") == after
+
+
+def test_insert_overwrites_only_buckets_with_rows(spark, tmp_path):
+    path, name = str(tmp_path / "parts"), "bucketed_rows"
+    spark.sql(f"drop table if exists {name}")
+    rows = spark.range(200).select("id", F.lit("old").alias("v"))
+    sources.overwrite_buckets(rows, path, name, "id", buckets=8)
+    before = bucket_files(path, "bucket")
+    chosen = spark.table(name).where("bucket in (2, 5)").select("id").withColumn("v", F.lit("new"))
+    chosen = spark.createDataFrame(chosen.collect(), "id long, v string")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    sources.overwrite_buckets(chosen, path, name, "id", buckets=8)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    after = bucket_files(path, "bucket")
+    assert {b for b in before if before[b] != after[b]} == {"bucket=2", "bucket=5"}
+    found = spark.table(name)
+    assert found.count() == 200
+    assert found.where("(v = 'new') != (bucket in (2, 5))").count() == 0
+    spark.sql(f"drop table {name}")
+
+
 def test_overwrite_table(spark, tmp_path):
     path = str(tmp_path / "table")
     name = sources.overwrite_table(spark.range(3), path)
@@ -160,22 +203,6 @@ def test_publish_is_binary(spark):
     assert messages.count() == 100
 
 
-def test_generations_follow_what_is_stored(spark, tmp_path):
-    path = str(tmp_path / "keyed")
-    first = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
-    second = spark.createDataFrame([(2, "c", 0), (3, "d", 0)], "k int, v string, at int")
-    assert sources.keyed_write(first, path, "k", ["at"]) == 1
-    assert sources.keyed_write(second, path, "k", ["at"]) == 2
-    expected = [(1, "a", 1), (2, "c", 0), (3, "d", 0)]
-    assert rows_of(sources.keyed_read(spark, path)) == expected
-    assert sources.keyed_compact(spark, path) == 3
-    assert [n for n in os.listdir(path) if n.startswith("_gen")] == ["_gen=3"]
-    spark.catalog.refreshByPath(path)
-    assert rows_of(sources.keyed_read(spark, path)) == expected
-    assert sources.keyed_write(first, path, "k", ["at"]) == 4
-    assert (2, "b", 1) in rows_of(sources.keyed_read(spark, path))
-
-
 def test_large_ids_are_kept(spark, tmp_path):
     from tallywood.sources import layouts
 
