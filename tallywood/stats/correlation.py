@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.ml.stat import Correlation
@@ -39,7 +40,12 @@ def pearson(df: DataFrame, columns: Sequence[str], weight: str | None = None) ->
     means = rows.agg(
         *[(F.sum(F.col(f"_v{i}") * F.col("_w")) / F.sum("_w")).alias(f"_m{i}") for i in size]
     ).head()
-    centred = [F.col(f"_v{i}") - F.lit(means[i]) for i in size]
+    return _around([F.col(f"_v{i}") - F.lit(means[i]) for i in size], rows, columns)
+
+
+def _around(centred: Sequence[Column], rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The matrix from ``rows`` with weights ``_w``, by values less their means."""
+    size = range(len(columns))
     sums = rows.agg(
         *[
             F.sum(centred[i] * centred[j] * F.col("_w")).alias(f"_c{i}_{j}")
@@ -66,23 +72,53 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Ties share their mean rank. Equal rows are counted before anything else, and ranks
     come from counts of the distinct values, so neither a row nor a value that a large
-    share of the rows has in common is gathered anywhere.
+    share of the rows has in common is gathered anywhere. All columns are ranked by one
+    range shuffle of (column, value) and come back by one join, however many there are.
     """
-    base = materialized(
-        df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("n")),
-        "counted-rows",
+    return _ranked(df, columns)[0]
+
+
+def _ranked(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """``average_ranks`` and the number of rows ranked."""
+    counted = df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    base = materialized(counted.withColumn("_id", F.monotonically_increasing_id()), "counted-rows")
+    # All columns in one: a value lies in the field of its own type, so that none is cast.
+    kinds = dict(base.select(*columns).dtypes)
+    fields = {kind: f"_v{i}" for i, kind in enumerate(sorted(set(kinds.values())))}
+    places = [
+        F.struct(
+            F.lit(i).alias("_c"),
+            *[(F.col(c) if kinds[c] == k else F.lit(None).cast(k)).alias(f) for k, f in fields.items()],
+        )
+        for i, c in enumerate(columns)
+    ]
+    value = ["_c", *fields.values()]
+    stacked = base.select("_id", "n", F.inline(F.array(*places)))
+    counts = stacked.groupBy(*value).agg(F.sum("n").alias("_count"))
+    # One running count through all columns; each column's begins after whole ones.
+    rows = base.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
+    through = F.col("_through") - F.col("_c") * F.lit(rows)
+    ranks = running_sums(counts, value, {"_through": "_count"}).select(
+        *[F.col(c).alias(f"_of{c}") for c in value], (through - (F.col("_count") - 1) / 2.0).alias("_rank")
     )
-    out = base
-    for column in columns:
-        counts = base.groupBy(column).agg(F.sum("n").alias("_count"))
-        rank = F.col("_through") - (F.col("_count") - 1) / 2.0
-        ranks = running_sums(counts, [column], {"_through": "_count"}).select(
-            column, rank.alias("_rank")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in value])
+    wide = (
+        stacked.join(ranks, same)
+        .groupBy("_id")
+        .agg(
+            *[F.max(F.when(F.col("_c") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)],
+            F.max("n").alias("n"),
         )
-        out = out.join(ranks, column).withColumn(column, F.col("_rank")).drop("_rank")
-    return out.select(*columns, "n")
+        .drop("_id")
+    )
+    return wide, rows
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Spearman rank correlation: Pearson correlation of the ranks."""
-    return pearson(materialized(average_ranks(df, columns), "ranks"), columns, weight="n")
+    """Spearman rank correlation: Pearson correlation of the ranks.
+
+    The mean of all ranks is (rows + 1) / 2, so one aggregate over them is enough.
+    """
+    ranks, rows = _ranked(df, columns)
+    weighted = ranks.withColumn("_w", F.col("n").cast("double"))
+    return _around([F.col(c) - F.lit((rows + 1) / 2.0) for c in columns], weighted, columns)

@@ -70,6 +70,24 @@ def test_spearman_with_many_ties_equals_spark_ml(spark):
     assert found["a", "b"] == pytest.approx(ml.head()[0].toArray()[0][1], abs=1e-9)
 
 
+def test_ranks_of_columns_of_different_types(spark):
+    big = 2**60
+    rows = [(big, "x", 1.5), (big + 1, "y", 0.5), (big + 1, "x", 1.5), (None, "z", 2.0), (big + 3, "a", 1.5)]
+    frame = spark.createDataFrame(rows + rows[:1], "k long, s string, d double")
+    found = stats.correlation.average_ranks(frame, ["k", "s", "d"]).collect()
+    assert sorted(tuple(r) for r in found) == [
+        (1.5, 3.0, 3.5, 2), (3.5, 3.0, 3.5, 1), (3.5, 5.0, 1.0, 1), (5.0, 1.0, 3.5, 1),
+    ]
+    assert stats.correlation.average_ranks(frame.limit(0), ["k", "d"]).count() == 0
+
+
+def test_ranks_take_one_join_for_any_number_of_columns(spark, plan_text):
+    frame = spark.range(20).select(*[(F.col("id") * (i + 3) % 7).alias(f"c{i}") for i in range(6)])
+    plan = plan_text(stats.correlation.average_ranks(frame, frame.columns)).split("(1)")[0]
+    # One for the ranks, one for the carries of the running count.
+    assert plan.count("Join") <= 2
+
+
 def test_chi_square_fixture(spark):
     data = [(0, 0.5, 10.0), (0, 1.5, 20.0), (1, 1.5, 30.0)]
     data += [(0, 3.5, 30.0), (0, 3.5, 40.0), (1, 3.5, 40.0)]
