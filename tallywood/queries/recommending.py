@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.learning import jobs, recommend
+from tallywood.learning import factors, jobs, recommend
 from tallywood.plans import find_heavy, materialized
 from tallywood.queries.registry import Tables, query
 from tallywood.queries.relational import ALIAS_SQL, part_aliases
@@ -179,6 +179,55 @@ def als_top_n(t: Tables) -> DataFrame:
     return recommend.recommend(model, one, "user", "item", 5)
 
 
+@query(
+    "als_factors_solve_their_equations",
+    f"""SELECT "user", count(*) AS n, true AS solved FROM ({PAIRS_SQL})
+        WHERE NOT ({HELD_OUT_SQL}) AND plays > 0 GROUP BY 1""",
+)
+def als_factors_solve_their_equations(t: Tables) -> DataFrame:
+    """Every user's factors against the sums of all they bought; single precision is 1e-3 here."""
+    train, _ = holdout(written_pairs(t))
+    model = _als(train)
+    found = factors.equation_residuals(
+        train, model.userFactors, model.itemFactors, "user", "item", "plays",
+        model.rank, recommend.ALS_SMALL["regParam"], recommend.ALS_SMALL["alpha"],
+    )
+    return found.select(F.col("user").cast("bigint"), "n", (F.col("residual") < 1e-3).alias("solved"))
+
+
+FLAGS = ["A", "N", "R"]
+PROFILE_SQL = ", ".join(
+    f"CAST(sum(CASE WHEN l_returnflag = '{f}' THEN l_quantity ELSE 0 END) AS DOUBLE) AS q{f}" for f in FLAGS
+)
+
+
+def profile(rows: DataFrame, owner: str, name: str) -> DataFrame:
+    """Quantities per return flag as a vector."""
+    flag, quantity = F.coalesce("l_returnflag", F.lit("")), F.coalesce("l_quantity", F.lit(0.0))
+    sums = [F.sum(F.when(flag == f, quantity).otherwise(0.0)) for f in FLAGS]
+    return rows.groupBy(F.col(owner).alias(name)).agg(F.array(*sums).alias("v"))
+
+
+@query(
+    "profile_top_n",
+    f"""WITH q AS (SELECT o_custkey AS query, {PROFILE_SQL} FROM lineitem
+                   JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey IS NOT NULL GROUP BY 1),
+             i AS (SELECT l_partkey AS item, {PROFILE_SQL} FROM lineitem
+                   WHERE l_partkey IS NOT NULL GROUP BY 1),
+             s AS (SELECT query, item, {" + ".join(f"q.q{f} * i.q{f}" for f in FLAGS)} AS score FROM q, i),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS k FROM s)
+        SELECT query, CAST(k AS INTEGER) AS rank, item, score FROM r WHERE k <= 5""",
+)
+def profile_top_n(t: Tables) -> DataFrame:
+    """Five parts for every customer, by products of what is bought and returned of either.
+
+    Blocks of 256 parts, so that the bound on the products closes queries at small sizes too.
+    """
+    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    customers = profile(t.lineitem.join(buyers, "l_orderkey"), "o_custkey", "query")
+    return factors.top_products(customers, profile(t.lineitem, "l_partkey", "item"), 5, block=256)
+
+
 @query(
     "als_top_n_is_sorted",
     "SELECT CAST(5 AS BIGINT) AS n, true AS one_user, true AS different_items, true AS known_items",
