@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -11,12 +13,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallywood.functions import squared_distance
+from tallywood.learning import lines
 from tallywood.learning.features import category_stages
-from tallywood.operators.groups import weighted_entropy
+from tallywood.learning.sweep import ROWS_AT_ONCE
 from tallywood.operators.ranking import at_least_nth_largest
-from tallywood.plans import persisted
 
 # Iteration settings, numbers of clusters tried, and the number of
 # clusters and the rank of the threshold used to find anomalies.
@@ -75,28 +78,98 @@ def fit_pipeline(
     return Pipeline(stages=[*stages, kmeans]).fit(df), features
 
 
+def vector_lines(
+    prepared: DataFrame, features: str, keep: Sequence[str] = (), along: int | None = None
+) -> lines.Lines | None:
+    """The vectors' values laid out as lines; none if there are no rows."""
+    first = prepared.select(vector_to_array(features).alias("v")).head()
+    if first is None:
+        return None
+    names = [f"_x{i}" for i in range(len(first["v"]))]
+    # Exploded, so that the vector is made once a row and not once a value.
+    once = prepared.select(*keep, F.explode(F.array(vector_to_array(features))).alias("_v"))
+    values = [F.col("_v")[i].alias(n) for i, n in enumerate(names)]
+    return lines.lines(once.select(*keep, *values), names, keep, along)
+
+
 def cost_sweep(
-    prepared: DataFrame, features: str, ks: Sequence[int], seed: int = 1, **params
+    prepared: DataFrame, features: str, ks: Sequence[int], seed: int = 1,
+    maxIter: int = 20, tol: float = 1e-4,
 ) -> list[tuple[int, float]]:
-    """Training cost per number of clusters; the vectors are cached meanwhile."""
-    with persisted(prepared.select(features)) as vectors:
-        return [
-            (k, float(fit_kmeans(vectors, features, k, seed, **params).summary.trainingCost))
-            for k in ks
-        ]
+    """Training cost per number of clusters, all fitted in the same scans."""
+    held = vector_lines(prepared, features)
+    if held is None:
+        return []
+    fitted = lines.fit_all(held, ks, maxIter, tol, seed)
+    found = {r["k"]: r["cost"] for r in lines.costs(held, fitted).collect()}
+    return [(k, found[k]) for k in ks]
 
 
 def entropy_sweep(
-    prepared: DataFrame, features: str, label: str, ks: Sequence[int], seed: int = 1, **params
+    prepared: DataFrame, features: str, label: str, ks: Sequence[int], seed: int = 1,
+    maxIter: int = 20, tol: float = 1e-4,
+) -> DataFrame:
+    """Size-weighted label entropy of the clusters, per number of clusters, fitted in the same scans."""
+    held = vector_lines(prepared, features)
+    if held is None:
+        return prepared.sparkSession.createDataFrame([], "k int, entropy double")
+    fitted = lines.fit_all(held, ks, maxIter, tol, seed)
+    counts = lines.label_counts(vector_lines(prepared, features, [label], held.along), fitted, label)
+    n = F.col("count").cast("double")
+    sizes = counts.groupBy("k", CLUSTER).agg(F.sum(n).alias("size"), F.sum(n * F.log(n)).alias("inner"))
+    spread = F.sum(F.col("size") * F.log("size") - F.col("inner")) / F.sum("size")
+    return sizes.groupBy("k").agg(F.greatest(spread, F.lit(0.0)).alias("entropy"))
+
+
+def label_counts(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, k: int,
+    seed: int = 1, maxIter: int = 20, tol: float = 1e-4,
+) -> DataFrame:
+    """Rows (cluster, label, count) of the clusters of encoded and scaled columns."""
+    stages, vector = feature_stages(numeric, categorical, scaled=True)
+    prepared = prepare(df, stages)
+    held = vector_lines(prepared, vector)
+    if held is None:
+        return df.select(F.lit(0).alias(CLUSTER), label, F.lit(0).cast("bigint").alias("count"))
+    fitted = lines.fit_all(held, [k], maxIter, tol, seed)
+    return lines.label_counts(vector_lines(prepared, vector, [label], held.along), fitted, label).drop("k")
+
+
+def anomalies(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], k: int,
+    rank: int = ANOMALY_RANK, seed: int = 1, maxIter: int = 20, tol: float = 1e-4,
 ) -> DataFrame:
-    """Size-weighted label entropy of the clusters, per number of clusters."""
-    with persisted(prepared.select(features, label)) as rows:
-        found = []
-        for k in ks:
-            clustered = fit_kmeans(rows, features, k, seed, **params).transform(rows)
-            # One number per k, worked out while the rows are cached.
-            found.append((k, weighted_entropy(clustered, CLUSTER, label).head()["entropy"]))
-    return prepared.sparkSession.createDataFrame(found, "k int, entropy double")
+    """Rows farthest from their cluster's center, with their squared ``distance`` to it.
+
+    Encoded and scaled columns are clustered; one scan measures the rows.
+    """
+    stages, vector = feature_stages(numeric, categorical, scaled=True)
+    prepared = prepare(df, stages)
+    held = vector_lines(prepared, vector)
+    if held is None:
+        return df.withColumn("distance", F.lit(0.0))
+    centers = lines.fit_all(held, [k], maxIter, tol, seed)[k].centers
+    rows = prepared.select(*df.columns, vector_to_array(vector).alias("_point"))
+    return farthest(_measured(rows, centers, df.schema), rank=rank)
+
+
+def _measured(rows: DataFrame, centers: np.ndarray, schema: StructType) -> DataFrame:
+    """Rows with the squared distance of ``_point``, their last column, to the nearest center."""
+    width = centers.shape[1]
+    lengths = (centers**2).sum(axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.columns[-1].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            apart = np.zeros(len(points))
+            for at in range(0, len(points), ROWS_AT_ONCE):
+                some = points[at : at + ROWS_AT_ONCE]
+                near = (lengths - 2 * some @ centers.T).argmin(axis=1)
+                apart[at : at + ROWS_AT_ONCE] = ((some - centers[near]) ** 2).sum(axis=1)
+            names = [*batch.schema.names[:-1], "distance"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(apart)], names)
+
+    return rows.mapInArrow(run, StructType([*schema.fields, StructField("distance", DoubleType())]))
 
 
 def center_table(model: KMeansModel, df: DataFrame) -> DataFrame:

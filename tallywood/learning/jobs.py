@@ -242,10 +242,10 @@ def network_anomalies(
     """Records farthest from their cluster's center, original columns only."""
     text = {*layouts.NETWORK_CATEGORIES, layouts.NETWORK_LABEL}
     numbers = [c for c in records.columns if c not in text]
-    model, vector = cluster.fit_pipeline(
-        records, numbers, layouts.NETWORK_CATEGORIES, k, **cluster.ITERATIONS
+    found = cluster.anomalies(
+        records, numbers, layouts.NETWORK_CATEGORIES, k, rank, **cluster.ITERATIONS
     )
-    return cluster.kmeans_anomalies(records, model, vector, rank).drop("distance")
+    return found.drop("distance")
 
 
 def recommender_auc(

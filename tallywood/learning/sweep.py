@@ -7,7 +7,7 @@ takes as many scans as its slowest member, not the scans of all members together
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywood.plans import shipped
+
 # Rows whose distances to the centers of one k are held at a time.
 ROWS_AT_ONCE = 2048
 
@@ -44,7 +46,7 @@ def _points(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
         yield np.column_stack([some.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
 
 
-def _rows(df: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+def finite_rows(df: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
     """The columns as finite numbers v0, v1, ...; rows with another value are left out."""
     values = [F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
     rows = df.select(*values, *more)
@@ -53,25 +55,21 @@ def _rows(df: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
     return rows
 
 
-def cluster_sums(
-    df: DataFrame, columns: Sequence[str], centers: dict[int, np.ndarray]
+def task_sums(
+    frame: DataFrame, centers: dict[int, np.ndarray], width: int,
+    add: Callable[[Iterator[pa.RecordBatch], dict[int, np.ndarray]], None],
 ) -> DataFrame:
-    """Rows (k, cluster, n, cost, s0, s1, ...) of the non-empty clusters of every k.
+    """Rows (k, cluster, n, cost, s0, s1, ...) from what ``add`` adds up in each task.
 
-    One scan, whatever the number of k; a task hands on one row per cluster.
+    ``add`` gets a task's batches and an array (n, cost, s0, ...) by cluster for every k; a
+    task hands on one row per non-empty cluster.
     """
-    width = len(columns)
     names = [f"s{j}" for j in range(width)]
     schema = "k int, cluster int, n bigint, cost double, " + ", ".join(f"{n} double" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {k: np.zeros((len(c), 2 + width)) for k, c in centers.items()}
-        for batch in batches:
-            for points in _points(batch, width):
-                for k, own in centers.items():
-                    nearest, apart = _nearest(points, own)
-                    for place, values in enumerate([None, apart, *points.T]):
-                        held[k][:, place] += np.bincount(nearest, values, len(own))
+        add(batches, held)
         for k, sums in held.items():
             some = np.flatnonzero(sums[:, 0])
             if len(some):
@@ -82,12 +80,52 @@ def cluster_sums(
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, ["k", "cluster", "n", "cost", *names])
 
-    partial = _rows(df, columns).mapInArrow(run, schema)
-    return partial.groupBy("k", "cluster").agg(
+    shipped(frame.sparkSession)
+    return frame.mapInArrow(run, schema).groupBy("k", "cluster").agg(
         *[F.sum(c).alias(c) for c in ["n", "cost", *names]]
     )
 
 
+def cluster_sums(
+    df: DataFrame, columns: Sequence[str], centers: dict[int, np.ndarray]
+) -> DataFrame:
+    """Rows (k, cluster, n, cost, s0, s1, ...) of the non-empty clusters of every k.
+
+    One scan, whatever the number of k; a task hands on one row per cluster.
+    """
+    width = len(columns)
+
+    def add(batches: Iterator[pa.RecordBatch], held: dict[int, np.ndarray]) -> None:
+        for batch in batches:
+            for points in _points(batch, width):
+                for k, own in centers.items():
+                    nearest, apart = _nearest(points, own)
+                    for place, values in enumerate([None, apart, *points.T]):
+                        held[k][:, place] += np.bincount(nearest, values, len(own))
+
+    return task_sums(finite_rows(df, columns), centers, width, add)
+
+
+def moved_until_settled(
+    sums: Callable[[dict[int, np.ndarray]], DataFrame],
+    centers: dict[int, np.ndarray], iterations: int, tolerance: float,
+) -> dict[int, Clustering]:
+    """Lloyd's steps from the given centers of every k, with ``sums`` of the rows."""
+    centers = dict(centers)
+    steps, moving = dict.fromkeys(centers, 0), {k for k, c in centers.items() if len(c)}
+    while moving and max(steps[k] for k in moving) < iterations:
+        new = {k: centers[k].copy() for k in moving}
+        for row in sums({k: centers[k] for k in moving}).collect():
+            new[row["k"]][row["cluster"]] = np.array(row[4:]) / row["n"]
+        for k in sorted(moving):
+            steps[k] += 1
+            far = ((new[k] - centers[k]) ** 2).sum(axis=1).max()
+            centers[k] = new[k]
+            if far <= tolerance**2:
+                moving.discard(k)
+    return {k: Clustering(centers[k], steps[k], k not in moving) for k in centers}
+
+
 def fit_all(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int], place: Column,
     iterations: int = 40, tolerance: float = 1e-5,
@@ -101,23 +139,11 @@ def fit_all(
     """
     if not ks or min(ks) < 1:
         raise ValueError("numbers of clusters are 1 or more")
-    first = _rows(df, columns, place.alias("place")).orderBy("place", *[f"v{i}" for i in range(len(columns))])
+    first = finite_rows(df, columns, place.alias("place")).orderBy("place", *[f"v{i}" for i in range(len(columns))])
     start = [list(r)[:-1] for r in first.limit(max(ks)).collect()]
     start = np.array(start, dtype=float).reshape(len(start), len(columns))
     centers = {k: start[:k].copy() for k in ks}
-    steps, moving = dict.fromkeys(ks, 0), set(ks) if len(start) else set()
-    while moving and max(steps[k] for k in moving) < iterations:
-        sums = cluster_sums(df, columns, {k: centers[k] for k in moving}).collect()
-        new = {k: centers[k].copy() for k in moving}
-        for row in sums:
-            new[row["k"]][row["cluster"]] = np.array(row[4:]) / row["n"]
-        for k in sorted(moving):
-            steps[k] += 1
-            moved = ((new[k] - centers[k]) ** 2).sum(axis=1).max()
-            centers[k] = new[k]
-            if moved <= tolerance**2:
-                moving.discard(k)
-    return {k: Clustering(centers[k], steps[k], k not in moving) for k in ks}
+    return moved_until_settled(lambda some: cluster_sums(df, columns, some), centers, iterations, tolerance)
 
 
 def assigned(df: DataFrame, columns: Sequence[str], fitted: dict[int, Clustering], keep: str) -> DataFrame:
@@ -138,7 +164,7 @@ def assigned(df: DataFrame, columns: Sequence[str], fitted: dict[int, Clustering
                 at += len(points)
                 yield pa.RecordBatch.from_arrays([kept, clusters], ["keep", "clusters"])
 
-    rows = _rows(df, columns, F.col(f"`{keep}`").alias("keep"))
+    rows = finite_rows(df, columns, F.col(f"`{keep}`").alias("keep"))
     kind = rows.schema["keep"].dataType.simpleString()
     found = rows.mapInArrow(run, f"keep {kind}, clusters array<int>")
     numbers = F.array(*[F.lit(k) for k in ks])

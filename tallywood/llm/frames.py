@@ -2,40 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywood.plans import shipped as shipped
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of one data folder, by Spark's reader."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def shipped(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session.
-
-    Their Python workers import it by name; where it is installed on every machine
-    this changes nothing.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_package_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    # Spark serves the file from the driver and keeps it as long as the session lives.
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._package_shipped = True
-
-
 def id_remainder(doc_id: str, by: int) -> Column:
     """crc32 of the id as text modulo ``by``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % by

@@ -5,6 +5,7 @@ from tallywood.plans.ordered import (
     running_sums,
 )
 from tallywood.plans.scratch import checkpoint_root, materialized, persisted, scratch_path
+from tallywood.plans.shipping import shipped
 from tallywood.plans.skew import HeavyKeys, find_heavy, heavy_among
 
 __all__ = [
@@ -19,4 +20,5 @@ __all__ = [
     "running_first_last",
     "running_sums",
     "scratch_path",
+    "shipped",
 ]
