@@ -13,7 +13,6 @@ from pyspark.ml import Model, Pipeline
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
-    RegressionEvaluator,
 )
 from pyspark.ml.feature import (
     OneHotEncoder,
@@ -104,9 +103,9 @@ def claims_severity(
     )
     fitting, validation = rows.key_split(labelled, ["id"], CLAIM_SPLIT, CLAIM_SEED)
     model = models.estimator(kind)
-    evaluator = RegressionEvaluator()
-    best = tuning.cross_validate(
-        fitting, model, tuning.param_grid(grid, model), evaluator, folds, models.SEED
+    best = tuning.cross_validate_counted(
+        fitting, ["id"], model, tuning.param_grid(grid, model), folds, models.SEED,
+        draws=kind == "forest_regression",
     )
     scored = best.transform(unlabelled)
     return Trained(
@@ -114,7 +113,7 @@ def claims_severity(
         {
             "train": evaluate.regression_report(best.transform(fitting)),
             "validation": evaluate.regression_report(best.transform(validation)),
-            "grid": tuning.leaderboard(best, evaluator, train),
+            "grid": tuning.leaderboard(best, tuning.CountedError(), train),
         },
         scored.select(F.col("id").cast("bigint").alias("id"), F.col("prediction").alias("loss")),
     )
