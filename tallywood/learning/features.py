@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -18,7 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywood.plans import number_rows
+from tallywood.plans import find_heavy, number_rows
+from tallywood.plans.skew import mark_heavy
 
 # Fixed names of the claims data: the categorical prefix, the columns that are
 # not features, and the columns with too many categories.
@@ -125,21 +127,32 @@ def term_hash(term: Column) -> Column:
 def hashed_counts(df: DataFrame, key: str, words: str, sizes: Sequence[int]) -> DataFrame:
     """Rows (key, size, place, n): how many of a key's words hash to a place below ``size``.
 
-    Words are hashed and counted once; every size takes its places from those counts by
-    the remainder. In long form, so a text may have any number of words and ``sizes``
-    any height. Null and empty lists of words give no rows.
+    Words are hashed once, to their remainder by the least common multiple of the sizes, and
+    only these numbers are shuffled, by key. In long form, so a text may have any number of
+    words and ``sizes`` any height. Null and empty lists of words give no rows.
     """
     if not sizes or min(sizes) < 1:
         raise ValueError("sizes are 1 or more")
-    terms = df.select(key, F.explode(words).alias("_term"))
-    counts = terms.groupBy(key, term_hash(F.col("_term")).alias("_hash")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    places = F.array(
-        *[F.struct(F.lit(s).alias("size"), (F.col("_hash") % s).alias("place")) for s in sizes]
-    )
-    each = counts.select(key, "_n", F.inline(places))
-    return each.groupBy(key, "size", "place").agg(F.sum("_n").alias("n"))
+    base = math.lcm(*sizes)
+    kind = "int" if base < 1 << 31 else "bigint"
+
+    def place(term: Column) -> Column:
+        return (term_hash(term) % base if kind == "int" else term_hash(term)).cast(kind)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        places = F.array(
+            *[F.struct(F.lit(s).alias("size"), (F.col("_hash") % s).cast("bigint").alias("place")) for s in sizes]
+        )
+        each = rows.select(key, F.explode("_hashes").alias("_hash")).select(key, F.inline(places))
+        return each.groupBy(key, "size", "place").agg(F.count(F.lit(1)).alias("n"))
+
+    hashed = df.select(key, F.transform(words, place).alias("_hashes"))
+    # A key's rows meet before its words are spread out, but for keys of very many rows.
+    heavy = find_heavy(df, [key])
+    marked = hashed.withColumn("_n", F.lit(None).cast("bigint")) if heavy is None else mark_heavy(hashed, heavy)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = counted(marked.where("_n IS NULL").drop("_n").repartition(parts, key))
+    return found if heavy is None else found.unionAll(counted(marked.where("_n IS NOT NULL")))
 
 
 def feature_names(df: DataFrame, features: str) -> list[str]:

@@ -250,3 +250,20 @@ def test_hashed_counts_place_every_word_for_every_size(spark):
     assert found == dict(expected)
     with pytest.raises(ValueError, match="1 or more"):
         features.hashed_counts(frame, "id", "words", [0])
+
+
+def test_hashed_counts_shuffle_hashes_by_key_once(spark, plan_text):
+    frame = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["a"]), (2, None)], "id int, words array<string>")
+    counts = features.hashed_counts(frame, "id", "words", [10, 100, 1000])
+    plan = plan_text(counts)
+    assert plan.count("Exchange\n") == 1 and "hashpartitioning(id" in plan
+    assert sum(r.n for r in counts.where("size = 100").collect()) == 4
+
+
+def test_hashed_counts_of_a_heavy_key_and_of_large_sizes(spark, monkeypatch):
+    frame = spark.createDataFrame([(i % 3 or None, ["a", f"w{i}"]) for i in range(30)], "id int, words array<string>")
+    sizes = [7, 65537, 65539]
+    plain = sorted(map(str, features.hashed_counts(frame, "id", "words", sizes).collect()))
+    real = features.find_heavy
+    monkeypatch.setattr(features, "find_heavy", lambda df, keys: real(df, keys, min_rows=5))
+    assert sorted(map(str, features.hashed_counts(frame, "id", "words", sizes).collect())) == plain
