@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tallywood.plans import materialized, running_sums
 
 
+# Most distinct values of a column whose ranks are looked up in each row, without a join.
+FEW_VALUES = 256
+
+
 def pearson_vectors(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of the dimensions of a vector column.
 
@@ -73,7 +77,8 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Ties share their mean rank. Equal rows are counted before anything else, and ranks
     come from counts of the distinct values, so neither a row nor a value that a large
     share of the rows has in common is gathered anywhere. All columns are ranked by one
-    range shuffle of (column, value) and come back by one join, however many there are.
+    range shuffle of (column, value). Ranks of columns with few values, where a value has
+    many rows, are looked up; all others come back by one join, however many there are.
     """
     return _ranked(df, columns)[0]
 
@@ -85,35 +90,47 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
     # All columns in one: a value lies in the field of its own type, so that none is cast.
     kinds = dict(base.select(*columns).dtypes)
     fields = {kind: f"_v{i}" for i, kind in enumerate(sorted(set(kinds.values())))}
-    places = [
-        F.struct(
-            F.lit(i).alias("_c"),
-            *[(F.col(c) if kinds[c] == k else F.lit(None).cast(k)).alias(f) for k, f in fields.items()],
-        )
-        for i, c in enumerate(columns)
-    ]
+    def place(i: int, c: str) -> Column:
+        own = [(F.col(c) if kinds[c] == k else F.lit(None).cast(k)).alias(f) for k, f in fields.items()]
+        return F.struct(F.lit(i).alias("_c"), *own)
+
     value = ["_c", *fields.values()]
-    stacked = base.select("_id", "n", F.inline(F.array(*places)))
+    stacked = base.select("n", F.inline(F.array(*[place(i, c) for i, c in enumerate(columns)])))
     counts = stacked.groupBy(*value).agg(F.sum("n").alias("_count"))
     # One running count through all columns; each column's begins after whole ones.
     rows = base.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
     through = F.col("_through") - F.col("_c") * F.lit(rows)
     ranks = running_sums(counts, value, {"_through": "_count"}).select(
-        *[F.col(c).alias(f"_of{c}") for c in value], (through - (F.col("_count") - 1) / 2.0).alias("_rank")
+        *value, (through - (F.col("_count") - 1) / 2.0).alias("_rank")
     )
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in value])
-    wide = (
-        stacked.join(ranks, same)
-        .groupBy("_id")
-        .agg(
-            *[F.max(F.when(F.col("_c") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)],
-            F.max("n").alias("n"),
+    ranks = materialized(ranks, "ranks")
+    sizes = {r["_c"]: r["count"] for r in ranks.groupBy("_c").count().collect()}
+    few = [i for i in range(len(columns)) if sizes.get(i, 0) <= FEW_VALUES]
+    many = [i for i in range(len(columns)) if i not in few]
+    found = base.select("_id", "n", *columns, *[_looked_up(ranks, i, c, fields[kinds[c]]).alias(f"_rank{i}")
+                                                for i, c in enumerate(columns) if i in few])
+    if many:
+        known = [f"_rank{i}" for i in few]
+        open_ = F.inline(F.array(*[place(i, columns[i]) for i in many]))
+        same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in value]
+        joined = found.select("_id", "n", *known, open_).join(
+            ranks.select(*[F.col(c).alias(f"_of{c}") for c in value], "_rank"), reduce(Column.__and__, same)
         )
-        .drop("_id")
-    )
+        if len(many) == 1:  # a row is still one row
+            found = joined.withColumnRenamed("_rank", f"_rank{many[0]}")
+        else:
+            own = [F.max(F.when(F.col("_c") == i, F.col("_rank"))).alias(f"_rank{i}") for i in many]
+            found = joined.groupBy("_id").agg(*own, *[F.max(c).alias(c) for c in ("n", *known)])
+    wide = found.select(*[F.col(f"_rank{i}").alias(c) for i, c in enumerate(columns)], "n")
     return wide, rows
 
 
+def _looked_up(ranks: DataFrame, i: int, column: str, field: str) -> Column:
+    """The rank of a value of the ``i``-th column, which has few of them."""
+    entries = F.map_from_entries(F.collect_list(F.struct(field, "_rank")))
+    return F.element_at(ranks.where(F.col("_c") == i).agg(entries.alias("m")).scalar(), F.col(column))
+
+
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spearman rank correlation: Pearson correlation of the ranks.
 

@@ -233,3 +233,13 @@ def test_chi_square_p_values_equal_spark_ml(spark):
         assert found[name].dof == r.degreesOfFreedom
         assert found[name].statistic == pytest.approx(r.statistic, abs=1e-9)
         assert found[name].p_value == pytest.approx(r.pValue, abs=1e-9)
+
+
+def test_ranks_of_few_values_come_back_without_a_shuffle_of_the_rows(spark, plan_text, monkeypatch):
+    frame = spark.range(3000).select((F.col("id") % 7).alias("a"), (F.col("id") * 37 % 200).cast("double").alias("b"))
+    whole = sorted(map(tuple, stats.correlation.average_ranks(frame, ["a", "b"]).collect()))
+    plan = plan_text(stats.correlation.average_ranks(frame, ["a", "b"]))
+    assert "hashpartitioning" not in plan and "Join" not in plan.split("(1)")[0]
+    for few in (10, 0):  # the second column by a join, then both
+        monkeypatch.setattr(stats.correlation, "FEW_VALUES", few)
+        assert sorted(map(tuple, stats.correlation.average_ranks(frame, ["a", "b"]).collect())) == whole
