@@ -40,11 +40,16 @@ def equation_residuals(
         *[F.sum(F.col("y")[i] * F.col("y")[j]) for i in range(rank) for j in range(rank)]
     ).head()
     rows = [F.array(*[F.lit(float(gram[i * rank + j] or 0.0)) for j in range(rank)]) for i in range(rank)]
+    # Factors and ratings cross the shuffles in single precision, as the model holds them.
     met = (
-        ratings.select(user, item, F.col(count).cast("float").cast("double").alias("_r"))
-        .join(other.select(F.col("id").alias(item), y.alias("_y")), item)
-        .join(own.select(F.col("id").alias(user), y.alias("_x")), user)
+        ratings.select(user, item, F.col(count).cast("float").alias("_r"))
+        .join(other.select(F.col("id").alias(item), F.col("features").alias("_y")), item)
+        .join(own.select(F.col("id").alias(user), F.col("features").alias("_x")), user)
     )
+    met = met.withColumns({
+        "_r": F.col("_r").cast("double"),
+        "_x": F.col("_x").cast("array<double>"), "_y": F.col("_y").cast("array<double>"),
+    })
     liked = F.when(F.col("_r") > 0, 1.0).otherwise(0.0)
     met = met.withColumn("_c", alpha * F.abs("_r")).withColumn("_b", liked * (1 + F.col("_c")))
     met = met.withColumn("_a", F.col("_c") * _dot(F.col("_x"), F.col("_y")))

@@ -16,7 +16,6 @@ from tallywood.plans import (
     materialized,
     number_rows,
     number_within,
-    persisted,
     running_sums,
 )
 from tallywood.plans.skew import HEAVY_ROWS
@@ -58,7 +57,10 @@ def predict_popularity(pairs: DataFrame, scores: DataFrame, item: str) -> DataFr
 def fit_als(
     train: DataFrame, user: str, item: str, count: str, seed: int, **params
 ) -> ALSModel:
-    """Implicit-feedback factorisation; user and item are integers."""
+    """Implicit-feedback factorisation; user and item are integers.
+
+    The fit reads the rows once and keeps its own blocks of them, so they are not cached.
+    """
     checkpoint_root(train.sparkSession)
     als = ALS(
         userCol=user,
@@ -68,8 +70,7 @@ def fit_als(
         seed=seed,
         **{**ALS_SMALL, **params},
     )
-    with persisted(train) as rows:
-        return als.fit(rows)
+    return als.fit(train)
 
 
 def recommend(model: ALSModel, users: DataFrame, user: str, item: str, n: int) -> DataFrame:

@@ -59,3 +59,23 @@ def test_fitted_factors_solve_their_equations_and_others_do_not(spark):
     assert len(fitted) == 40 and max(fitted) < 1e-3
     moved = model.userFactors.select("id", F.transform("features", lambda v: v * F.lit(1.01)).alias("features"))
     assert min(residuals(moved)) > 1e-3
+
+
+def test_factors_cross_the_shuffles_as_the_model_holds_them(spark, plan_text):
+    rated = spark.range(60).select((F.col("id") % 7).alias("u"), (F.col("id") % 11).alias("i"), F.lit(2).alias("c"))
+    model = spark.range(11).select(F.col("id").cast("int").alias("id"), F.array(F.lit(0.5), F.col("id") / 4.0).cast("array<float>").alias("features"))
+    found = factors.equation_residuals(rated, model.where("id < 7"), model, "u", "i", "c", 2, 0.1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = [line for line in plan_text(found).splitlines() if line.startswith("Arguments: hashpartitioning")]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    under = plan[plan.index("Join Inner") :]
+    assert lines and "as array<double>)" not in under.split("\n", 1)[1]
+
+
+def test_fit_does_not_cache_its_rows(spark, monkeypatch):
+    rated = spark.range(60).select((F.col("id") % 7).alias("u"), (F.col("id") % 11).alias("i"), F.lit(2).alias("c"))
+    monkeypatch.setattr(type(rated), "persist", None)
+    assert recommend.fit_als(rated, "u", "i", "c", seed=1).rank == 10
