@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from tallywood.plans import checkpoint_root, materialized, persisted
 
+# Rows that a task of a fit reads at least, where there are more than one such lot a core.
+TASK_ROWS = 50_000
+
 
 def param_grid(grid: Mapping[str, Sequence], *stages: Params) -> list:
     """All combinations of ``{parameter: values}``, for the stages that have them."""
@@ -35,8 +38,13 @@ def cross_validate(
     folds: int,
     seed: int,
     parallelism: int = 4,
+    n_rows: int | None = None,
 ) -> Model:
-    """Best model by k-fold cross validation; the rows are cached meanwhile."""
+    """Best model by k-fold cross validation; the rows are cached meanwhile.
+
+    ``n_rows``, where known, deals them to as many tasks as cores, or more for more than
+    ``TASK_ROWS`` each: a fit of many passes over few rows waits for its tasks to start.
+    """
     checkpoint_root(df.sparkSession)
     validator = CrossValidator(
         estimator=search,
@@ -46,8 +54,15 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    with persisted(df) as rows:
-        return validator.fit(rows)
+    if n_rows is None:
+        with persisted(df) as rows:
+            return validator.fit(rows)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // TASK_ROWS))
+    held = df.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return validator.fit(held)
+    finally:
+        held.unpersist()
 
 
 class CountedError(Evaluator):

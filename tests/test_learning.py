@@ -8,7 +8,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, StringIndexer, Tokenizer
+from pyspark.ml.feature import HashingTF, StringIndexer, Tokenizer, VectorAssembler
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from tallywood.learning import cluster, features, inspect, models, recommend, tuning
@@ -267,3 +268,19 @@ def test_hashed_counts_of_a_heavy_key_and_of_large_sizes(spark, monkeypatch):
     real = features.find_heavy
     monkeypatch.setattr(features, "find_heavy", lambda df, keys: real(df, keys, min_rows=5))
     assert sorted(map(str, features.hashed_counts(frame, "id", "words", sizes).collect())) == plain
+
+
+def test_few_rows_are_dealt_to_few_tasks(spark, monkeypatch):
+    rows = spark.range(200).select((F.col("id") % 2).cast("double").alias("label"), F.rand(1).alias("x"))
+    vectors = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    model, tasks = models.estimator("logistic", maxIter=2), []
+    fit = CrossValidator.fit
+    monkeypatch.setattr(CrossValidator, "fit", lambda own, df: tasks.append(df.rdd.getNumPartitions()) or fit(own, df))
+    tuning.cross_validate(
+        vectors, model, tuning.param_grid({"regParam": [0.1]}, model), BinaryClassificationEvaluator(), 2, 1, n_rows=200
+    )
+    monkeypatch.setattr(tuning, "TASK_ROWS", 10)
+    tuning.cross_validate(
+        vectors, model, tuning.param_grid({"regParam": [0.1]}, model), BinaryClassificationEvaluator(), 2, 1, n_rows=200
+    )
+    assert tasks == [spark.sparkContext.defaultParallelism, 20]
