@@ -3,7 +3,8 @@
 Similar documents are put into groups; the matrix says which tokens (shingles) some
 member of a group holds. What a document shares with a group's tokens bounds what it can
 share with any member, so only groups that reach the needed overlap are opened and
-their members compared.
+their members compared: first by sketches of a bit or two a token, which bound from below
+in how many tokens two sets differ, then, where these leave it open, by the tokens.
 """
 
 from __future__ import annotations
@@ -20,9 +21,15 @@ from tallywood.llm.components import connected_components
 from tallywood.llm.frames import texts_of
 from tallywood.plans.scratch import materialized
 
-# Documents whose tokens are counted to tell frequent ones, and from how many of them a
-# token is. They are compared last, which steers the work; no result depends on it.
-SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 8000, 4, 200_000
+# Documents whose tokens are counted to tell frequent ones (so many, or that share of all if
+# it is more), and from how many of them a token is. They are compared last, which steers the
+# work; no result depends on it.
+SAMPLE_DOCS, SAMPLE_SHARE, FREQUENT, MOST_FREQUENT = 8000, 1 / 8, 4, 200_000
+# Of a sampled document's tokens, in the order of their hashes, that share is counted: a prefix
+# of rare ones hardly ever goes further.
+SAMPLE_TOKENS = 0.3
+# Bits that tell, by a hash of the id, which documents' texts are not needed: 1 MB.
+TEXT_BITS = 1 << 23
 # Tokens of the members of a group, and of the queries that meet it in one task, about.
 GROUP_TOKENS, QUERY_TOKENS = 100_000, 500_000
 
@@ -70,13 +77,15 @@ def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray, rank: np.nda
 
 def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Ascending tokens that many documents of a sample hold, and their rank by count."""
-    rows = docs.count()
-    sample = docs.select("text").sample(False, min(1.0, SAMPLE_DOCS / max(rows, 1)), seed=7)
+    share = max(SAMPLE_SHARE, SAMPLE_DOCS / max(docs.count(), 1))
+    sample = docs.select("text").sample(False, min(1.0, share), seed=7)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, words))], ["token"])
+                tokens = shingle_set(text, words)
+                first = tokens[: int(SAMPLE_TOKENS * len(tokens)) + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(first)], ["token"])
 
     counts = sample.mapInArrow(run, "token bigint").groupBy("token").count()
     top = counts.where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
@@ -91,49 +100,79 @@ def _class_id(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
+def set_sketch(tokens: np.ndarray) -> bytes:
+    """For each of 64 bits or more, a power of two and at least as many as tokens, whether
+    an odd number of tokens fall to it.
+
+    A token that only one of two sets holds changes one bit, so the sketches differ in no
+    more bits than the sets in tokens.
+    """
+    width = max(64, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount(tokens & (width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _digests(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, cid, n, like, prefix) of every row: the class and the size of its set, a
-    second smallest hash, and its first tokens; without words all but n are null.
+    """(doc_id, cid, n, like, sketch, prefix) of every row: the class and the size of its set,
+    a second smallest hash, its sketch and its first tokens; without words all but n are null.
 
-    ``like`` is equal for two sets as likely as they are similar.
+    ``like`` is equal for two sets as likely as they are similar. Copies that meet in one
+    task have one prefix between them.
     """
     frequent, rank = _frequent(docs, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             rows: list[tuple] = []
             for text in texts_of(batch.column("text")):
                 tokens = shingle_set(text, words)
                 if not len(tokens):
-                    rows.append((None, 0, None, None))
+                    rows.append((None, 0, None, None, None))
                     continue
                 second = _mixed(tokens.view(np.uint64) ^ np.uint64(words)).min()
+                cid = _class_id(tokens)
                 rows.append((
-                    _class_id(tokens), len(tokens), int(second.view(np.int64)),
-                    _prefix(tokens, percent, frequent, rank),
+                    cid, len(tokens), int(second.view(np.int64)), set_sketch(tokens),
+                    None if cid in seen else _prefix(tokens, percent, frequent, rank),
                 ))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                seen.add(cid)
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["doc_id", "cid", "n", "like", "prefix"],
+                ["doc_id", "cid", "n", "like", "sketch", "prefix"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, cid bigint, n bigint, like bigint, prefix array<bigint>")
+    return docs.mapInArrow(
+        run, "doc_id bigint, cid bigint, n bigint, like bigint, sketch binary, prefix array<bigint>"
+    )
+
+
+def _perhaps_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids`` (w), and few others."""
+    # Spark's bitmaps have 32768 bits.
+    place = [F.pmod(F.xxhash64(c), F.lit(TEXT_BITS)) for c in ("w", "doc_id")]
+    block, bit = ([f(p).cast("int") for p in place] for f in (lambda p: p / 32768, lambda p: p % 32768))
+    bits = ids.groupBy(block[0].alias("block")).agg(F.bitmap_construct_agg(bit[0].cast("bigint")).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", (bit[1] / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.withColumn("block", block[1]).join(F.broadcast(bits), "block")
+    return found.where(F.getbit(byte, bit[1] % 8) == 1).select("doc_id", "text")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
     """(cid, text) of the classes in ``needed`` (cid), by the document that stands for each.
 
     Texts travel instead of tokens, as they are smaller. Where an id has several texts all
-    are there; ``_with_tokens`` takes the right one.
+    are there; ``_with_tokens`` takes the right one. A bitmap of fixed size keeps most other
+    texts from being shuffled for the join with a long list.
     """
-    # Written first, so that a small list is known to be small and no text is shuffled for it.
     wanted = materialized(
         classes.join(needed.distinct(), "cid", "left_semi").select("cid", F.col("doc_id").alias("w")), "wanted"
     )
+    near = _perhaps_in(docs, wanted.select("w"))
     texts = materialized(
-        docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["w"])).select("cid", "text"), "texts"
+        near.join(wanted, near["doc_id"].eqNullSafe(wanted["w"])).select("cid", "text"), "texts"
     )
     repeated = texts.groupBy("cid").count().where("count > 1")
     return texts if repeated.isEmpty() else materialized(texts.distinct(), "texts")
@@ -153,14 +192,10 @@ def _with_tokens(rows: pa.Table, words: int) -> pa.Table:
     return taken.append_column("tokens", pa.array(sets, pa.list_(pa.int64())))
 
 
-def _may_link(percent: int, n: Column, pos: Column, low: Column, high: Column, first: Column) -> Column:
-    """Whether a set of ``n`` tokens may be similar to one of ``low`` to ``high`` tokens whose
-    common tokens begin at places ``pos`` and ``first`` or later in the common order."""
-    both = 100 + percent
-    return (
-        (100 * n >= percent * low) & (100 * high >= percent * n)
-        & (both * (n - pos) >= percent * (n + low)) & (both * (high - first) >= percent * (n + high))
-    )
+def _reach(percent: int, n: Column, pos: Column) -> Column:
+    """``percent`` times the size of the largest set that may be similar to one of ``n`` tokens
+    when their common tokens begin at place ``pos`` or later of its order."""
+    return 100 * n.cast("bigint") - (100 + percent) * pos
 
 
 def _lists(table: pa.Table) -> list[np.ndarray]:
@@ -212,13 +247,65 @@ def open_group(queries: pa.Table, members: pa.Table, percent: int) -> list[tuple
     return links
 
 
+def sift_group(queries: pa.Table, members: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which queries and which members of one group (comp, n, sketch) may be similar to one on
+    the other side that is of another component, by size and sketch."""
+    left, right = ((t.column("comp").to_numpy(), t.column("n").to_numpy()) for t in (queries, members))
+    kept = np.zeros(len(left[0]), dtype=bool), np.zeros(len(right[0]), dtype=bool)
+    blocks: dict[int, list] = {}
+    for i, sketch in enumerate(members.column("sketch").to_pylist()):
+        blocks.setdefault(len(sketch), []).append((i, np.frombuffer(sketch, np.uint8)))
+    stacked = {w: (np.array([i for i, _ in b]), np.stack([x for _, x in b])) for w, b in blocks.items()}
+    folded: dict[tuple[int, int], np.ndarray] = {}
+    for i, sketch in enumerate(queries.column("sketch").to_pylist()):
+        own = np.frombuffer(sketch, np.uint8)
+        for width, (at, theirs) in stacked.items():
+            both = left[1][i] + right[1][at]
+            fits = (100 + percent) * np.abs(left[1][i] - right[1][at]) <= (100 - percent) * both
+            if not (fits & (right[0][at] != left[0][i])).any():
+                continue
+            # Halves of the longer sketch are added up, until both are of a length.
+            least = min(width, len(own))
+            if (width, least) not in folded:
+                folded[width, least] = np.bitwise_xor.reduce(theirs.reshape(len(at), -1, least), axis=1)
+            ours = np.bitwise_xor.reduce(own.reshape(-1, least), axis=0)
+            differ = np.bitwise_count(folded[width, least] ^ ours).sum(axis=1, dtype=np.int64)
+            good = fits & (right[0][at] != left[0][i]) & ((100 + percent) * differ <= (100 - percent) * both)
+            kept[0][i] |= good.any()
+            kept[1][at[good]] = True
+    return kept
+
+
+def _sifted(asked: DataFrame, opened: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(asks, gid, chunk, cid, comp): the queries, with ``asks``, and members that are left."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for asks, table, kept in zip((True, False), (left, right), sift_group(left, right, percent)):
+            rows = table.select(["gid", "chunk", "cid", "comp"]).filter(pa.array(kept))
+            parts.append(rows.add_column(0, "asks", pa.array([asks] * rows.num_rows, pa.bool_())))
+        return pa.concat_tables(parts)
+
+    # Fresh columns by ``toDF``: both sides stem from the same tables.
+    left, right = (
+        f.join(classes, "cid").select("gid", "chunk", "cid", "comp", "n", "sketch")
+        .toDF("gid", "chunk", "cid", "comp", "n", "sketch").groupBy("gid", "chunk")
+        for f in (asked, opened)
+    )
+    found = left.cogroup(right).applyInArrow(
+        run, "asks boolean, gid bigint, chunk bigint, cid bigint, comp bigint"
+    )
+    return materialized(found, "sifted")
+
+
 def _opened(
     queries: DataFrame, members: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """(a, b): verified links of ``queries`` (cid, comp, gid) with ``members`` (gid, cid, comp).
 
     Only groups that some query asks for are read. Many queries of one group are dealt to
-    several tasks, each with the group's members.
+    several tasks, each with the group's members. Texts are read of those queries and members
+    that the sketches leave.
     """
     load = queries.join(classes.select("cid", "n"), "cid").groupBy("gid").agg(
         F.ceil(F.sum("n") / QUERY_TOKENS).alias("chunks")
@@ -230,7 +317,8 @@ def _opened(
     opened = members.join(load, "gid").select(
         "gid", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), "cid", "comp"
     )
-    asked, opened = materialized(asked, "asking"), materialized(opened, "opened")
+    left = _sifted(asked, opened, classes, percent)
+    asked, opened = left.where("asks").drop("asks"), left.where("NOT asks").drop("asks")
     texts = _texts(docs, classes, asked.select("cid").unionAll(opened.select("cid")))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -249,6 +337,11 @@ def _opened(
     return left.cogroup(right).applyInArrow(run, "a bigint, b bigint")
 
 
+def _in_reach(percent: int) -> Column:
+    """Of rows (n, reach) beside the smallest set ``low`` and the farthest reach ``best`` of others."""
+    return (F.col("reach") >= percent * F.col("low")) & (F.col("best") >= percent * F.col("n"))
+
+
 def _leading(shared: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Queries (cid, comp, gid) and members (gid, cid, comp): documents, and the leading
     holders of their prefix tokens as groups of one.
@@ -258,8 +351,8 @@ def _leading(shared: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     that very many documents share costs no pairs.
     """
     lead = shared.groupBy("token").agg(F.min(F.struct("pos", "n", "cid")).alias("lead"))
-    near = _may_link(
-        percent, F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.n"), F.col("lead.pos")
+    near = (_reach(percent, F.col("n"), F.col("pos")) >= percent * F.col("lead.n")) & (
+        _reach(percent, F.col("lead.n"), F.col("lead.pos")) >= percent * F.col("n")
     )
     pairs = shared.join(lead, "token").where((F.col("cid") != F.col("lead.cid")) & near)
     # Of two that lead each other at different tokens one asks.
@@ -281,16 +374,32 @@ def _groups(classes: DataFrame) -> DataFrame:
     )
 
 
+def _meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """(cid, comp, gid) of documents and groups that may hold similar ones, from rows (token,
+    gid, cid, comp, n, reach, main).
+
+    The matrix is sparse: a row for a token and a group, however many components its members
+    are of, with their smallest set and component, their farthest reach, and whether the
+    token's main component is there. Documents meet the rows of their prefix tokens. Most
+    holders of a frequent token belong to one component by now; those ask nothing, as the
+    others ask them.
+    """
+    matrix = rows.groupBy("token", "gid").agg(
+        F.min("n").alias("low"), F.max("reach").alias("best"), F.min("comp").alias("least"),
+        F.max(F.col("comp") == F.col("main")).alias("leads"),
+    )
+    asking = rows.where("comp != main").select("token", "cid", "comp", "n", "reach")
+    once = F.col("leads") | (F.col("least") < F.col("comp"))
+    return asking.join(matrix, "token").where(once & _in_reach(percent)).select("cid", "comp", "gid")
+
+
 def _qualifying(
     shared: DataFrame, classes: DataFrame, known: DataFrame, percent: int
 ) -> tuple[DataFrame, DataFrame]:
     """Queries (cid, comp, gid) and members (gid, cid, comp): documents, and groups that may
     hold similar ones which ``known`` (vertex, component) does not connect with them yet.
 
-    The matrix is sparse: a row for a token, a group and a component of its members, with
-    the place of the token and the sizes of the sets at best. Documents meet the rows of
-    their prefix tokens. Most holders of a frequent token belong to one component by now;
-    those ask nothing, as the others ask them.
+    Holders of a token that no other holder can reach do not enter the matrix.
     """
     holders = classes.join(shared.select("cid").distinct(), "cid", "left_semi")
     groups = _groups(holders)
@@ -298,21 +407,18 @@ def _qualifying(
         "cid", "gid", F.coalesce("component", "cid").alias("comp")
     )
     places = materialized(places, "places")
+    reach = _reach(percent, F.col("n"), F.col("pos"))
     rows = shared.join(places, "cid")
     tokens = rows.groupBy("token").agg(
         F.min("comp").alias("least"), F.max("comp").alias("most"),
         F.min(F.struct("pos", "n", "comp"))["comp"].alias("main"),
+        F.min("n").alias("low"), F.max(reach).alias("best"),
     )
-    open_tokens = tokens.where("least != most").select("token", "main")
-    rows = materialized(rows.join(open_tokens, "token"), "placed")
-    matrix = rows.groupBy("token", "gid", F.col("comp").alias("held")).agg(
-        F.min("pos").alias("first"), F.min("n").alias("low"), F.max("n").alias("high")
-    )
-    asking = rows.where("comp != main").select("token", "main", "cid", "comp", "pos", "n")
-    near = _may_link(percent, *(F.col(c) for c in ("n", "pos", "low", "high", "first")))
-    once = (F.col("held") == F.col("main")) | (F.col("held") < F.col("comp"))
-    met = asking.join(matrix, "token").where(once & near)
-    queries = materialized(met.select("cid", "comp", "gid").distinct(), "asked")
+    open_tokens = tokens.where("least != most").select("token", "main", "low", "best")
+    rows = rows.select("token", "gid", "cid", "comp", "n", reach.alias("reach"))
+    rows = rows.join(open_tokens, "token").where(_in_reach(percent)).drop("low", "best")
+    rows = materialized(rows, "placed")
+    queries = materialized(_meetings(rows, percent).distinct(), "asked")
     return queries, places.select("gid", "cid", "comp")
 
 
@@ -334,7 +440,8 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     digests = materialized(_digests(docs, words, percent), "digests")
     classes = digests.where("cid IS NOT NULL").groupBy("cid").agg(
-        F.first("n").alias("n"), F.first("like").alias("like"), F.min("doc_id").alias("doc_id")
+        F.first("n").alias("n"), F.first("like").alias("like"), F.first("sketch").alias("sketch"),
+        F.min("doc_id").alias("doc_id"),
     )
     classes = materialized(classes, "classes")
     keyed = digests.select(

@@ -124,6 +124,69 @@ def test_groups_that_cannot_qualify_are_not_opened(monkeypatch):
     assert op.open_group(tables, members, 85) == [(1, 0)] and len(counted) == 1
 
 
+def test_sketches_keep_every_link(spark):
+    """Sketches differ in no more bits than sets in tokens; what they drop has no link."""
+    rng = np.random.default_rng(5)
+    base = [rng.integers(-(2**62), 2**62, n) for n in (1, 20, 60, 70, 500, 1030)]
+    sets = [np.unique(b) for b in base]
+    for b in base[1:]:
+        for share in (0.01, 0.05, 0.08, 0.1, 0.3, 0.6):
+            keep = b[rng.random(len(b)) > share]
+            more = rng.integers(-(2**62), 2**62, rng.integers(0, 1 + int(share * len(b))))
+            sets.append(np.unique(np.concatenate([keep, more])))
+
+    def frame(first, sets):
+        return pa.table({
+            "comp": [first + i for i in range(len(sets))], "n": [len(x) for x in sets],
+            "sketch": pa.array([op.set_sketch(x) for x in sets], pa.binary()),
+        })
+
+    dropped = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            common = len(np.intersect1d(x, y))
+            links = 100 * common >= 85 * (len(x) + len(y) - common)
+            left, right = op.sift_group(frame(0, [x]), frame(100, [y]), 85)
+            assert left.tolist() == right.tolist() and (left[0] or not links), (i, j)
+            dropped += not left[0]
+            assert not op.sift_group(frame(0, [x]), frame(0, [y]), 85)[0].any()
+    assert dropped > 0.7 * len(sets) ** 2
+    left, right = op.sift_group(frame(0, sets), frame(100, sets), 85)
+    assert left.all() and right.all()
+
+
+def test_no_text_is_read_for_documents_that_share_a_passage(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    passage = " ".join(word() for _ in range(120))
+    rows = [(i, passage + " " + " ".join(word() for _ in range(100))) for i in range(60)]
+    rows += [(100 + i, rows[7][1] + " end" * i) for i in range(1, 4)]
+    monkeypatch.setattr(op, "SAMPLE_DOCS", 1)
+    monkeypatch.setattr(op, "SAMPLE_SHARE", 0.0)
+    asked, plain = [], op._texts
+    monkeypatch.setattr(op, "_texts", lambda *a: asked.append(a[2].distinct().count()) or plain(*a))
+    same(op.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), rows)
+    assert 2 <= sum(asked) <= 8
+
+
+def test_a_document_meets_a_group_once_a_token(spark):
+    """However many components the members of a group are of."""
+    rows = [(1, g, 100 * g + i, 100 * g + i, 100, 10_000, 0) for g in range(3) for i in range(40)]
+    frame = spark.createDataFrame(
+        rows, "token bigint, gid bigint, cid bigint, comp bigint, n int, reach bigint, main bigint"
+    )
+    met = op._meetings(frame, 85)
+    assert met.count() <= 3 * 119
+    assert {tuple(r) for r in met.collect()} >= {(c, c, 0) for _, _, c, *_ in rows if c}
+
+
+def test_texts_are_kept_by_a_bitmap(spark):
+    docs = spark.createDataFrame([(i if i else None, str(i)) for i in range(3000)], "doc_id bigint, text string")
+    ids = spark.createDataFrame([(i,) for i in (None, -5, 7, 2999)], "w bigint")
+    found = {r.text for r in op._perhaps_in(docs, ids).collect()}
+    assert {"0", "7", "2999"} <= found and len(found) < 10
+
+
 def test_odd_rows(spark):
     rows = [
         (None, None), (3, ""), (1, " \t\n"), (7, "One two"), (7, "One two"), (9, "ONE  two"),
