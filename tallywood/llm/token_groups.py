@@ -23,11 +23,9 @@ from tallywood.plans.scratch import materialized
 
 # Documents whose tokens are counted to tell frequent ones (so many, or that share of all if
 # it is more), and from how many of them a token is. They are compared last, which steers the
-# work; no result depends on it.
+# work; no result depends on it. All tokens of such a document count: one of a family that
+# differs in enough tokens of its own then has no prefix token in common with the others.
 SAMPLE_DOCS, SAMPLE_SHARE, FREQUENT, MOST_FREQUENT = 8000, 1 / 8, 4, 200_000
-# Of a sampled document's tokens, in the order of their hashes, that share is counted: a prefix
-# of rare ones hardly ever goes further.
-SAMPLE_TOKENS = 0.3
 # Bits that tell, by a hash of the id, which documents' texts are not needed: 1 MB.
 TEXT_BITS = 1 << 23
 # Tokens of the members of a group, and of the queries that meet it in one task, about.
@@ -83,9 +81,7 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                tokens = shingle_set(text, words)
-                first = tokens[: int(SAMPLE_TOKENS * len(tokens)) + 1]
-                yield pa.RecordBatch.from_arrays([pa.array(first)], ["token"])
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, words))], ["token"])
 
     counts = sample.mapInArrow(run, "token bigint").groupBy("token").count()
     top = counts.where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)

@@ -180,6 +180,17 @@ def test_a_document_meets_a_group_once_a_token(spark):
     assert {tuple(r) for r in met.collect()} >= {(c, c, 0) for _, _, c, *_ in rows if c}
 
 
+def test_copies_far_from_all_others_ask_few_groups(spark, monkeypatch):
+    """What a family of near copies asks grows with its size, not with the square."""
+    met, plain = [], op._meetings
+    monkeypatch.setattr(op, "_meetings", lambda *a: met.append(plain(*a).count()) or plain(*a))
+    monkeypatch.setattr(op, "GROUP_TOKENS", 2000)
+    for size in (250, 500):
+        rows = families(size, [size], 150, 9)
+        same(op.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), rows)
+    assert met[0] < 3 * 250 and met[1] < 3 * 500, met
+
+
 def test_texts_are_kept_by_a_bitmap(spark):
     docs = spark.createDataFrame([(i if i else None, str(i)) for i in range(3000)], "doc_id bigint, text string")
     ids = spark.createDataFrame([(i,) for i in (None, -5, 7, 2999)], "w bigint")
