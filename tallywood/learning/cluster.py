@@ -20,6 +20,7 @@ from tallywood.learning import lines
 from tallywood.learning.features import category_stages
 from tallywood.learning.sweep import ROWS_AT_ONCE
 from tallywood.operators.ranking import at_least_nth_largest
+from tallywood.plans import shipped
 
 # Iteration settings, numbers of clusters tried, and the number of
 # clusters and the rank of the threshold used to find anomalies.
@@ -51,9 +52,23 @@ def feature_stages(
     return stages, "scaled"
 
 
-def prepare(df: DataFrame, stages: Sequence) -> DataFrame:
-    """Rows with their feature vector; fitted once for all numbers of clusters."""
-    return Pipeline(stages=list(stages)).fit(df).transform(df)
+def prepare(df: DataFrame, stages: Sequence, rows: DataFrame | None = None) -> DataFrame:
+    """Rows with their feature vector; fitted once for all numbers of clusters.
+
+    ``rows`` are the rows to prepare, if they are not those the stages are fitted on.
+    """
+    return Pipeline(stages=list(stages)).fit(df).transform(df if rows is None else rows)
+
+
+def counted_rows(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Different rows of the columns with their ``number``, in the order in which lines are laid out.
+
+    Several sweeps over one table prepare these rows in place of its own; the second result is the place of
+    the column that runs along the lines.
+    """
+    shipped(df.sparkSession)
+    rows, along = lines.together(df, categorical, numeric)
+    return rows.withColumnRenamed("n", "number"), along
 
 
 def fit_kmeans(
@@ -79,7 +94,7 @@ def fit_pipeline(
 
 
 def vector_lines(
-    prepared: DataFrame, features: str, keep: Sequence[str] = (), along: int | None = None
+    prepared: DataFrame, features: str, keep: Sequence[str] = (), along: int | None = None, number: str | None = None
 ) -> lines.Lines | None:
     """The vectors' values laid out as lines; none if there are no rows."""
     first = prepared.select(vector_to_array(features).alias("v")).head()
@@ -87,17 +102,21 @@ def vector_lines(
         return None
     names = [f"_x{i}" for i in range(len(first["v"]))]
     # Exploded, so that the vector is made once a row and not once a value.
-    once = prepared.select(*keep, F.explode(F.array(vector_to_array(features))).alias("_v"))
+    more = [*keep, *([] if number is None else [number])]
+    once = prepared.select(*more, F.explode(F.array(vector_to_array(features))).alias("_v"))
     values = [F.col("_v")[i].alias(n) for i, n in enumerate(names)]
-    return lines.lines(once.select(*keep, *values), names, keep, along)
+    return lines.lines(once.select(*more, *values), names, keep, along, number)
 
 
 def cost_sweep(
     prepared: DataFrame, features: str, ks: Sequence[int], seed: int = 1,
-    maxIter: int = 20, tol: float = 1e-4,
+    maxIter: int = 20, tol: float = 1e-4, along: int | None = None, number: str | None = None,
 ) -> list[tuple[int, float]]:
-    """Training cost per number of clusters, all fitted in the same scans."""
-    held = vector_lines(prepared, features)
+    """Training cost per number of clusters, all fitted in the same scans.
+
+    ``number`` and ``along`` tell of rows that ``counted_rows`` has counted.
+    """
+    held = vector_lines(prepared, features, (), along, number)
     if held is None:
         return []
     fitted = lines.fit_all(held, ks, maxIter, tol, seed)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,12 @@ from tallywood.plans import materialized, shipped
 
 # Lines and points handled at a time; they bound a task's memory.
 LINES_AT_ONCE, POINTS_AT_ONCE = 1024, 1 << 18
-# Lines of so few points are compared point by point, some points at a time.
-SHORT, SHORT_AT_ONCE = 64, 2048
+# Rows that a file of lines is made from.
+ROWS_A_FILE = 1_000_000
+# Lines of so few points are compared point by point.
+SHORT = 32
+# Distances between points and centers held at a time.
+CELLS_AT_ONCE = 1 << 17
 # Sampling rounds of the start, points drawn a round as a multiple of the centers, and
 # steps on the drawn points: those of Spark's k-means||.
 ROUNDS, OVERSAMPLING, START_STEPS = 2, 2, 30
@@ -33,7 +38,11 @@ ROUNDS, OVERSAMPLING, START_STEPS = 2, 2, 30
 
 @dataclass(frozen=True)
 class Lines:
-    """Lines as a written table (keep.., at, x, n), and which column runs along them."""
+    """Lines as a written table, and which column runs along them.
+
+    The table has columns (keep.., first, at, x, n): ``x`` and ``n`` are a line's points and
+    their numbers as packed doubles and longs, which no engine has to take apart, and ``first`` is its first point.
+    """
 
     table: DataFrame
     columns: tuple[str, ...]
@@ -51,69 +60,125 @@ class _Block:
     last: np.ndarray
 
 
+def together(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """Different rows (keys.., columns..) with their number ``n``, those that agree in all but one column lying together.
+
+    That column is the one with the most distinct values; its place is told as well. Equal rows are
+    counted before they are dealt out, and by all columns, so that nothing is gathered in one place.
+    """
+    spread = df.agg(F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(c).alias(f"v{i}") for i, c in enumerate(columns)]).head()
+    along = max(range(len(columns)), key=lambda i: spread[f"v{i}"])
+    order = [*(c for i, c in enumerate(columns) if i != along), columns[along], *keys]
+    counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange(_parts(df, spread["rows"]), *order).sortWithinPartitions(*order)
+    return materialized(ranged, "together"), along
+
+
+def _parts(df: DataFrame, rows: int) -> int:
+    """As many files as keep all cores busy, scan after scan, and of a bounded size."""
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_FILE))
+
+
 def lines(
-    df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), along: int | None = None
+    df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), along: int | None = None, number: str | None = None
 ) -> Lines:
     """The rows' values laid out as lines; rows that differ in ``keep`` lie on different ones.
 
     The column with the most distinct values runs along the lines, if none is named. Equal rows are counted
     first, and long lines are cut, so no line is gathered in one place. Rows with a null,
     NaN or infinite value are left out.
+
+    With ``number``, the column that tells how often a row occurs, rows are laid out where they lie, without
+    a shuffle: lines are the longer the more of their rows lie together already, and the result is the same.
     """
     names = [f"v{i}" for i in range(len(columns))]
-    rows = finite_rows(df, columns, *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)])
+    more = [F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)]
+    if number is not None:
+        more.append(F.col(f"`{number}`").cast("bigint").alias("n"))
+    rows = finite_rows(df, columns, *more)
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), _parts(df, 0))
     if along is None:
-        spread = rows.agg(*[F.approx_count_distinct(v).alias(v) for v in names]).head()
-        along = max(range(len(names)), key=lambda i: spread[i])
+        spread = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(v).alias(v) for v in names]).head()
+        along, parts = max(range(len(names)), key=lambda i: spread[f"v{i}"]), _parts(df, spread["rows"])
     others = [v for i, v in enumerate(names) if i != along]
     kept = [f"_keep{i}" for i in range(len(keep))]
     order = [*kept, *others, names[along]]
-    counted = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
     shipped(spark)
-    # As many files as keep all cores busy, scan after scan.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    ranged = counted.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    if number is None:
+        counted = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+        dealt = counted.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    else:
+        dealt = rows.select(*order, "n")
+
+    def laid(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        some = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+        codes = [
+            some.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for i in range(len(kept))
+        ]
+        *values, x, n = (v.to_numpy(zero_copy_only=False) for v in some.columns[len(kept) :])
+        rank = np.arange(len(x))
+        if number is not None:
+            rank = np.lexsort([x, *(v for v in [*values, *codes] if v.min() < v.max())])
+            codes, values, x, n = [v[rank] for v in codes], [v[rank] for v in values], x[rank], n[rank]
+        new = np.zeros(len(x), dtype=bool)
+        new[0] = True
+        for v in [*codes, *values]:
+            new[1:] |= v[1:] != v[:-1]
+        if number is not None:
+            # Rows told apart by a column that is not asked for are one point.
+            first = np.flatnonzero(new | np.append(True, x[1:] != x[:-1]))
+            n, x, new, rank = np.add.reduceat(n, first), x[first], new[first], rank[first]
+            values = [v[first] for v in values]
+        starts = np.flatnonzero(new)
+        ends = pa.array(np.append(starts, len(x)) * 8, pa.int32()).buffers()[1]
+        at = np.column_stack(values)[starts] if values else np.zeros((len(starts), 0))
+        places = pa.array(np.arange(len(starts) + 1) * len(others), pa.int32())
+        packed = [pa.py_buffer(np.ascontiguousarray(v, kind)) for v, kind in ((x, np.float64), (n, np.int64))]
+        return pa.RecordBatch.from_arrays(
+            [
+                *[some.column(i).take(pa.array(rank[starts])) for i in range(len(kept))],
+                pa.array(x[starts]), pa.ListArray.from_arrays(places, pa.array(at.ravel(), pa.float64())),
+                *[pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, v]) for v in packed],
+            ],
+            [*kept, "first", "at", "x", "n"],
+        )
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
         for batch in batches:
-            size = batch.num_rows
-            if not size:
-                continue
-            new = np.zeros(size, dtype=bool)
-            new[0] = True
-            for i in range(len(kept)):
-                codes = batch.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-                new[1:] |= codes[1:] != codes[:-1]
-            values = [batch.column(len(kept) + i).to_numpy(zero_copy_only=False) for i in range(len(others))]
-            for v in values:
-                new[1:] |= v[1:] != v[:-1]
-            starts = np.flatnonzero(new)
-            ends = pa.array(np.append(starts, size), pa.int32())
-            at = np.column_stack(values)[starts] if values else np.zeros((len(starts), 0))
-            places = pa.array(np.arange(len(starts) + 1) * len(others), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(i).take(pa.array(starts)) for i in range(len(kept))],
-                    pa.ListArray.from_arrays(places, pa.array(at.ravel(), pa.float64())),
-                    pa.ListArray.from_arrays(ends, batch.column(len(order) - 1)),
-                    pa.ListArray.from_arrays(ends, batch.column(len(order))),
-                ],
-                [*kept, "at", "x", "n"],
-            )
+            if batch.num_rows:
+                waiting.append(batch)
+                size += batch.num_rows
+            if size >= POINTS_AT_ONCE:
+                yield laid(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield laid(waiting)
 
     kinds = dict(rows.dtypes)
-    schema = ", ".join([*[f"{k} {kinds[k]}" for k in kept], "at array<double>, x array<double>, n array<bigint>"])
-    table = materialized(ranged.mapInArrow(gather, schema), "lines")
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in kept], "first double, at array<double>, x binary, n binary"])
+    table = materialized(dealt.mapInArrow(gather, schema), "lines")
     return Lines(table.withColumnsRenamed(dict(zip(kept, keep))), tuple(columns), along)
 
 
+def _unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """All numbers of a column of packed ones, one after the other."""
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, places, packed = column.buffers()
+    places = np.frombuffer(places, wide)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(packed, np.uint8)[places[0] : places[-1]].view(kind)
+
+
 def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, _Block]]:
     """Lines of a batch whose last columns are at, x and n, some at a time, with the first's number."""
+    if not batch.num_rows:
+        return
     at, x, n = batch.columns[-3:]
-    sizes = x.value_lengths().to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) // 8
     at = at.flatten().to_numpy(zero_copy_only=False).reshape(len(sizes), width - 1)
-    x, n = (a.flatten().to_numpy(zero_copy_only=False) for a in (x, n))
+    x, n = _unpacked(x, np.float64), _unpacked(n, np.int64)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(sizes):
@@ -139,58 +204,104 @@ def _reach(x: np.ndarray, low: np.ndarray, high: np.ndarray, limit: np.ndarray)
         high = np.where(open_ & ~up, middle, high)
 
 
+def _least(high: np.ndarray, line: np.ndarray, x: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """The center nearest to ``x`` on each of the lines, some at a time."""
+    near = np.empty(len(line), dtype=np.int64)
+    each = max(CELLS_AT_ONCE // len(twice), 1)
+    for start in range(0, len(line), each):
+        some = slice(start, start + each)
+        away = high[line[some]]
+        away -= x[some, None] * twice
+        near[some] = away.argmin(axis=1)
+    return near
+
+
 def _stretches(
     block: _Block, centers: np.ndarray, along: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Arrays (line, nearest center, from, to) that cover every point of the block once.
 
-    A point as near to several centers goes to one of them.
+    A point as near to several centers goes to one of them. Where two centers that are
+    nearest at two places of a line meet, either these two or one between them is nearest;
+    so the ends of all stretches of all lines are found in as many rounds as a line's
+    stretches can be halved, with two looks at all centers a stretch.
     """
     order = np.argsort(centers[:, along], kind="stable")
     c, own = centers[order, along], np.delete(centers, along, axis=1)[order]
+    lengths, twice = (own**2).sum(axis=1) + c**2, 2 * c
     size = block.last - block.first
-    owner, points = np.repeat(np.arange(len(size)), size), np.arange(size.sum()) + block.first[0]
-    points = points[size[owner] <= SHORT]
-    for start in range(0, len(points), SHORT_AT_ONCE):
-        some = points[start : start + SHORT_AT_ONCE]
-        line = owner[some - block.first[0]]
-        whole = np.column_stack([block.at[line], block.x[some]])
-        near = ((own**2).sum(axis=1) + c**2 - 2 * whole @ np.column_stack([own, c]).T).argmin(axis=1)
-        yield line, order[near], some, some + 1
-    line = np.flatnonzero(size > SHORT)
-    at, place = block.at[line], block.first[line]
+    short = size <= SHORT
+    if short.any():
+        owner = np.repeat(np.arange(len(size)), size)
+        points = np.flatnonzero(short[owner])
+        both = np.column_stack([own, c]).T
+        each = max(CELLS_AT_ONCE // len(c), 1)
+        near = np.empty(len(points), dtype=np.int64)
+        for start in range(0, len(points), each):
+            some = points[start : start + each]
+            whole = np.column_stack([block.at[owner[some]], block.x[some]])
+            near[start : start + each] = (lengths - 2 * whole @ both).argmin(axis=1)
+        # Neighbours on a line with the same center are one stretch.
+        line = owner[points]
+        new = np.flatnonzero(np.append(True, (line[1:] != line[:-1]) | (near[1:] != near[:-1])))
+        end = points[np.append(new[1:], len(points)) - 1] + 1
+        yield line[new], order[near[new]], points[new], end
+        if short.all():
+            return
+    line = np.flatnonzero(~short)
+    first, last = block.first[line], block.last[line]
     # Distance to a center at x, less what all centers have in common: high - 2 c x.
-    high = (own**2).sum(axis=1) + c**2 - 2 * at @ own.T
-    now = (high - 2 * block.x[place][:, None] * c).argmin(axis=1)
-    while len(line):
-        each = np.arange(len(line))
-        gap = c[None, :] - c[now][:, None]
-        rise = high - high[each, now][:, None]
-        # Only centers further along can come next; the first to cross does.
-        meets = np.full(gap.shape, np.inf)
-        np.divide(rise, 2 * gap, out=meets, where=gap > 0)
-        after = len(c) - 1 - meets[:, ::-1].argmin(axis=1)
-        end = _reach(block.x, place, block.last[line], meets[each, after])
-        yield line, order[now], place, end
-        going = end < block.last[line]
-        line, place, now, high = line[going], end[going], after[going], high[going]
-
-
-def _sums(block: _Block, centers: np.ndarray, along: int, held: np.ndarray) -> None:
-    """Adds (n, cost, sums of the columns) of every center's points to ``held``."""
-    none = np.zeros(1, dtype=np.longdouble)
+    high = lengths - 2 * block.at[line] @ own.T
+    each = np.arange(len(line))
+    now, then = _least(high, each, block.x[first], twice), _least(high, each, block.x[last - 1], twice)
+    held = [(each, now, np.full(len(line), -np.inf))]
+    line_, now, then = (v[now < then] for v in (each, now, then))
+    while len(line_):
+        gap, meets = twice[then] - twice[now], np.full(len(line_), -np.inf)
+        np.divide(high[line_, then] - high[line_, now], gap, out=meets, where=gap > 0)
+        some = np.flatnonzero(gap > 0)
+        between = now.copy()
+        between[some] = _least(high, line_[some], meets[some], twice)
+        split = (now < between) & (between < then)
+        held.append((line_[~split], then[~split], meets[~split]))
+        line_ = np.concatenate([line_[split], line_[split]])
+        now, then = np.concatenate([now[split], between[split]]), np.concatenate([between[split], then[split]])
+    which, near, meets = (np.concatenate(v) for v in zip(*held))
+    sort = np.lexsort([near, which])
+    which, near, meets = which[sort], near[sort], meets[sort]
+    # Centers that meet at one place may do so out of order by a rounding.
+    start = np.maximum.accumulate(_reach(block.x, first[which], last[which], meets))
+    new = np.append(True, which[1:] != which[:-1])
+    end = np.where(np.append(new[1:], True), last[which], np.append(start[1:], 0))
+    some = end > start
+    yield line[which[some]], order[near[some]], start[some], end[some]
+
+
+def _running(block: _Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Running sums of n, n x and n x x over the block's points, with a zero before."""
+    sums = np.zeros((3, len(block.x) + 1), dtype=np.longdouble)
     weighted = block.n * block.x.astype(np.longdouble)
-    n, x, xx = (np.concatenate([none, np.cumsum(v)]) for v in (block.n, weighted, weighted * block.x))
+    for held, v in zip(sums, (block.n, weighted, weighted * block.x)):
+        np.cumsum(v, out=held[1:])
+    return sums[0], sums[1], sums[2]
+
+
+def _sums(
+    block: _Block, running: tuple[np.ndarray, np.ndarray, np.ndarray], centers: np.ndarray, along: int,
+    held: np.ndarray,
+) -> None:
+    """Adds (n, cost, sums of the columns) of every center's points to ``held``."""
+    n, x, xx = running
     others = np.delete(np.arange(centers.shape[1]), along)
     for line, near, start, end in _stretches(block, centers, along):
-        size, total = n[end] - n[start], x[end] - x[start]
+        size, total = (n[end] - n[start]).astype(float), x[end] - x[start]
         at, c = block.at[line], centers[near, along]
         apart = ((at - centers[near][:, others]) ** 2).sum(axis=1)
         cost = size * apart + (xx[end] - xx[start]) - 2 * c * total + c * c * size
         for place, values in [(0, size), (1, np.maximum(cost, 0)), (2 + along, total)]:
             held[:, place] += np.bincount(near, values.astype(float), len(centers))
         for i, j in enumerate(others):
-            held[:, 2 + j] += np.bincount(near, (size * at[:, i]).astype(float), len(centers))
+            held[:, 2 + j] += np.bincount(near, size * at[:, i], len(centers))
 
 
 def _scanned(held: Lines, keep: Sequence[str] = ()) -> DataFrame:
@@ -204,8 +315,9 @@ def cluster_sums(held: Lines, centers: dict[int, np.ndarray]) -> DataFrame:
     def added(batches: Iterator[pa.RecordBatch], sums: dict[int, np.ndarray]) -> None:
         for batch in batches:
             for _, block in _blocks(batch, width):
+                running = _running(block)
                 for k, own in centers.items():
-                    _sums(block, own, along, sums[k])
+                    _sums(block, running, own, along, sums[k])
 
     return task_sums(_scanned(held), centers, width, added)
 
@@ -284,11 +396,11 @@ def starts(held: Lines, ks: Sequence[int], seed: int = 1) -> dict[int, np.ndarra
     from the same drawn points by k-means++, each weighted by the rows nearest to it. A k
     of more than the distinct points starts with these. Only drawn points reach the driver.
     """
-    first = held.table.select("at", F.get("x", F.lit(0)).alias("x"))
-    one = first.orderBy(F.xxhash64("at", "x", F.lit(seed)), "at", "x").limit(1).head()
+    first = held.table.select("at", "first")
+    one = first.orderBy(F.xxhash64("at", "first", F.lit(seed)), "at", "first").limit(1).head()
     if one is None:
         return {k: np.zeros((0, len(held.columns))) for k in ks}
-    points = np.insert(np.array([one["at"]], dtype=float).reshape(1, -1), held.along, one["x"], axis=1)
+    points = np.insert(np.array([one["at"]], dtype=float).reshape(1, -1), held.along, one["first"], axis=1)
     wanted = OVERSAMPLING * max(ks)
     for step in range(ROUNDS):
         cost = sum(r["cost"] for r in cluster_sums(held, {0: points}).collect())

@@ -19,6 +19,8 @@ from tallywood.plans import shipped
 
 # Rows whose distances to the centers of one k are held at a time.
 ROWS_AT_ONCE = 2048
+# Clusters whose tasks' sums are added up in one partition.
+CLUSTERS_A_PART = 512
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,9 @@ def task_sums(
                 yield pa.RecordBatch.from_arrays(arrays, ["k", "cluster", "n", "cost", *names])
 
     shipped(frame.sparkSession)
-    return frame.mapInArrow(run, schema).groupBy("k", "cluster").agg(
+    # One row per task and cluster is shuffled: few partitions do, and the many of a session's default take longer.
+    parts = -(-sum(len(c) for c in centers.values()) // CLUSTERS_A_PART) or 1
+    return frame.mapInArrow(run, schema).repartition(parts, "k", "cluster").groupBy("k", "cluster").agg(
         *[F.sum(c).alias(c) for c in ["n", "cost", *names]]
     )
 

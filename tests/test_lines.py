@@ -103,3 +103,53 @@ def test_anomalies_keep_columns_and_ties(spark):
     out = cluster.anomalies(frame, ["x"], ["c"], 2, rank=1, maxIter=5)
     assert out.columns == ["x", "c", "id", "distance"]
     assert sorted(r["id"] for r in out.collect()) == [100, 101]
+
+
+def test_stretches_are_halved_not_followed_one_by_one(monkeypatch):
+    """A line that 150 centers share takes rounds by their logarithm; ties and equal centers included."""
+    rng = np.random.default_rng(2)
+    x = np.sort(np.append(rng.integers(0, 4000, 3000), [7, 7, 9] * 20)).astype(float)
+    places = np.arange(0, 4000, 27.0)
+    centers = np.column_stack([np.zeros(len(places) + 2), np.append(places, places[[3, 60]])])
+    size = np.array([len(x) - 20, 20])
+    block = lines._Block(np.array([[0.5], [2.0]]), np.append(x[:-20], x[:20]), np.ones(len(x), np.int64), np.cumsum(size) - size, np.cumsum(size))
+    rounds, plain = [], lines._least
+    monkeypatch.setattr(lines, "_least", lambda *a: rounds.append(len(a[1])) or plain(*a))
+    seen = np.full(len(x), -1)
+    for line, near, start, end in lines._stretches(block, centers, 1):
+        for which, c, a, b in zip(line, near, start, end):
+            assert block.first[which] <= a < b <= block.last[which] and (seen[a:b] == -1).all()
+            seen[a:b] = c
+    whole = np.column_stack([np.repeat(block.at[:, 0], size), block.x])
+    away = apart(whole, centers)
+    assert away[np.arange(len(x)), seen] == pytest.approx(away.min(axis=1))
+    assert len(rounds) <= 20 and sum(rounds) <= 2 * len(centers) + 2
+
+
+@pytest.mark.parametrize("categories", [[], ["flag"]])
+def test_counted_rows_are_laid_out_as_the_rows_themselves(spark, categories):
+    """One count of the table does for sweeps that ask for some of its columns, and lays out without a shuffle."""
+    data = [(float(i % 3), float(i * i % 701), "ab"[i % 2] if i % 5 else None) for i in range(4000)]
+    frame = spark.createDataFrame(data, "a double, b double, flag string").repartition(3)
+    counted, along = cluster.counted_rows(frame, ["a", "b"], ["flag"])
+    assert along == 1 and counted.count() == len(set(data)) < len(data)
+    stages, vector = cluster.feature_stages(["a", "b"], categories, True)
+    prepared, plain = cluster.prepare(frame, stages, counted), cluster.prepare(frame, stages)
+    held = cluster.vector_lines(prepared, vector, (), along, "number")
+    whole = np.array([r.v for r in plain.select(cluster.vector_to_array(vector).alias("v")).collect()])
+    centers = whole[[0, 17, 400, 1203, 2999]] + 0.01 * np.arange(5)[:, None]
+    away = apart(whole, centers)
+    found = {r.cluster: r for r in lines.cluster_sums(held, {5: centers}).collect()}
+    assert sum(r.n for r in found.values()) == len(data)
+    for c, row in found.items():
+        own = whole[away.argmin(axis=1) == c]
+        assert row.n == len(own)
+        assert [row[f"s{j}"] for j in range(whole.shape[1])] == pytest.approx(own.sum(axis=0), abs=1e-6)
+        assert row.cost == pytest.approx(away[away.argmin(axis=1) == c, c].sum(), abs=1e-6)
+    costs = cluster.cost_sweep(prepared, vector, [2, 9], along=along, number="number")
+    assert [k for k, _ in costs] == [2, 9] and costs[0][1] > costs[1][1] >= 0
+
+
+def test_steps_shuffle_sums_to_few_partitions(held):
+    plan = lines.cluster_sums(held, {2: np.zeros((2, 3)), 600: np.ones((600, 3))})._jdf.queryExecution().toString()
+    assert "hashpartitioning(k" in plan and ", 2), REPARTITION_BY_NUM" in plan
