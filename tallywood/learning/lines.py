@@ -41,7 +41,8 @@ class Lines:
     """Lines as a written table, and which column runs along them.
 
     The table has columns (keep.., first, at, x, n): ``x`` and ``n`` are a line's points and
-    their numbers as packed doubles and longs, which no engine has to take apart, and ``first`` is its first point.
+    their numbers as packed doubles and longs, which no engine has to take apart; ``n`` is empty where
+    every point of a line is one row. ``first`` is the first point.
     """
 
     table: DataFrame
@@ -132,15 +133,16 @@ def lines(
             n, x, new, rank = np.add.reduceat(n, first), x[first], new[first], rank[first]
             values = [v[first] for v in values]
         starts = np.flatnonzero(new)
-        ends = pa.array(np.append(starts, len(x)) * 8, pa.int32()).buffers()[1]
+        size = np.diff(np.append(starts, len(x)))
+        many = np.add.reduceat(n, starts) > size
         at = np.column_stack(values)[starts] if values else np.zeros((len(starts), 0))
         places = pa.array(np.arange(len(starts) + 1) * len(others), pa.int32())
-        packed = [pa.py_buffer(np.ascontiguousarray(v, kind)) for v, kind in ((x, np.float64), (n, np.int64))]
+        packed = [(x.astype(np.float64), size), (n[np.repeat(many, size)].astype(np.int64), np.where(many, size, 0))]
         return pa.RecordBatch.from_arrays(
             [
                 *[some.column(i).take(pa.array(rank[starts])) for i in range(len(kept))],
                 pa.array(x[starts]), pa.ListArray.from_arrays(places, pa.array(at.ravel(), pa.float64())),
-                *[pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, v]) for v in packed],
+                *[_packed(v, each) for v, each in packed],
             ],
             [*kept, "first", "at", "x", "n"],
         )
@@ -163,6 +165,12 @@ def lines(
     return Lines(table.withColumnsRenamed(dict(zip(kept, keep))), tuple(columns), along)
 
 
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Numbers of 8 bytes as packed ones, so many a row."""
+    places = pa.array(np.append(0, np.cumsum(sizes)) * 8, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, places.buffers()[1], pa.py_buffer(values)])
+
+
 def _unpacked(column: pa.Array, kind: type) -> np.ndarray:
     """All numbers of a column of packed ones, one after the other."""
     wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
@@ -178,7 +186,10 @@ def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, _Block]]:
     at, x, n = batch.columns[-3:]
     sizes = pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) // 8
     at = at.flatten().to_numpy(zero_copy_only=False).reshape(len(sizes), width - 1)
-    x, n = _unpacked(x, np.float64), _unpacked(n, np.int64)
+    x, many, packed = _unpacked(x, np.float64), pc.binary_length(n).to_numpy(zero_copy_only=False) > 0, n
+    n = np.ones(len(x), dtype=np.int64)
+    if many.any():
+        n[np.repeat(many, sizes)] = _unpacked(packed, np.int64)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(sizes):
@@ -280,7 +291,9 @@ def _stretches(
 def _running(block: _Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Running sums of n, n x and n x x over the block's points, with a zero before."""
     sums = np.zeros((3, len(block.x) + 1), dtype=np.longdouble)
-    weighted = block.n * block.x.astype(np.longdouble)
+    weighted = block.x.astype(np.longdouble)
+    if (block.n != 1).any():
+        weighted *= block.n
     for held, v in zip(sums, (block.n, weighted, weighted * block.x)):
         np.cumsum(v, out=held[1:])
     return sums[0], sums[1], sums[2]
